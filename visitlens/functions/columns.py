@@ -71,6 +71,13 @@ def half_up_ratio(n: Column, d: Column, places: int = 2) -> Column:
     return F.when(d.cast("bigint") > 0, q / F.lit(float(scale)))
 
 
+def half_up_ratio_sql(n: str, d: str, places: int = 2) -> str:
+    """SQL-text form of ``half_up_ratio`` over column names (integer ``div``, exact)."""
+    scale = 10 ** places
+    return (f"CASE WHEN {d} > 0 THEN (({2 * scale} * {n} + {d}) div (2 * {d})) "
+            f"/ CAST({scale} AS DOUBLE) END")
+
+
 def nonempty(c: Column) -> Column:
     """The reference's non-empty string test: not null and not ''."""
     return c.isNotNull() & (c != F.lit(""))
@@ -84,8 +91,12 @@ def split_ids(c: Column) -> Column:
 
 
 def parse_action_time(c: Column) -> Column:
-    """Parse ``yyyy-MM-dd H:mm:ss`` (hour padded or not) to a timestamp."""
-    return F.to_timestamp(c, ACTION_TIME_PATTERN)
+    """Parse ``yyyy-MM-dd H:mm:ss`` (hour padded or not) to a timestamp; null if malformed.
+
+    The string-to-timestamp cast accepts one- or two-digit fields and needs no pattern
+    formatter, so it is cheaper than ``to_timestamp(c, pattern)``.
+    """
+    return c.try_cast("timestamp")
 
 
 def date_hour_key(ts: Column) -> Column:

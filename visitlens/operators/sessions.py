@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.columns import (
-    STEP_BUCKETS, VISIT_BUCKETS, bucket_condition, bucket_label, half_up_ratio, nonempty,
+    STEP_BUCKETS, VISIT_BUCKETS, bucket_condition, bucket_label, half_up_ratio_sql, nonempty,
     parse_action_time,
 )
 from visitlens.plans.params import TaskParams
@@ -184,13 +184,12 @@ def session_aggr_stat(sessions: DataFrame, places: int = 2) -> DataFrame:
         aggs.append(F.count_if(bucket_condition(F.col("step_length"), STEP_BUCKETS, name))
                     .alias(f"n_step_{name}"))
     counts = sessions.agg(*aggs)
-    total = F.col("session_count")
-    cols = [total]
-    for name, _, _ in VISIT_BUCKETS:
-        cols.append(half_up_ratio(F.col(f"n_visit_{name}"), total, places).alias(f"visit_{name}"))
-    for name, _, _ in STEP_BUCKETS:
-        cols.append(half_up_ratio(F.col(f"n_step_{name}"), total, places).alias(f"step_{name}"))
-    return counts.select(*cols)
+    cols = ["session_count"]
+    for prefix, buckets in (("visit", VISIT_BUCKETS), ("step", STEP_BUCKETS)):
+        for name, _, _ in buckets:
+            ratio = half_up_ratio_sql(f"n_{prefix}_{name}", "session_count", places)
+            cols.append(f"{ratio} AS {prefix}_{name}")
+    return counts.selectExpr(*cols)
 
 
 # ---------------------------------------------------------------- time keys

@@ -39,6 +39,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = (builder
                    .config("spark.ui.enabled", "false")
                    .config("spark.ui.showConsoleProgress", "false")
+                   # call-site capture costs several py4j round trips per API call
+                   .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                    .config("spark.driver.memory", os.environ.get("VISITLENS_DRIVER_MEMORY", "8g"))
                    .config("spark.sql.shuffle.partitions",
                            str(shuffle_partitions or cpus)))

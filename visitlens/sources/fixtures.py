@@ -15,6 +15,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlens.sources.readers import read_parquet
+
 # The ten city rows seeded by the reference database script
 # (city_id, city_name, area).
 CITY_ROWS = [
@@ -47,10 +49,28 @@ TASK_ROWS = [
 ]
 
 
+_MEMO: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _memo(fn):
+    """Memoise a fixture's (lazy, immutable) DataFrame per session and directory, so
+    its expression tree is built and analysed once; every action still scans."""
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark), sf_dir, fn.__name__)
+        df = _MEMO.get(key)
+        if df is None:
+            df = _MEMO[key] = fn(spark, sf_dir)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return read_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@_memo
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per user action, shaped like the reference's ``user_visit_action``.
 
@@ -72,17 +92,21 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     uid = F.col("user_id")
     et = F.col("event_type")
     kk = F.col("k")
+    d = F.col("d")
+    # yyyyMMdd and yyyy-MM-dd HH:mm:ss without a pattern formatter: for four-digit years
+    # and whole-second timestamps these casts print exactly the same text
+    ymd = (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("string")
     session_suffix = (F.when(uid % 10 == 0, F.lit("m"))
                       .when(uid % 10 == 1, F.concat(F.lit("w"), F.col("wk")))
-                      .otherwise(F.date_format("d", "yyyyMMdd")))
+                      .otherwise(ymd))
     offset_s = ((uid % 24) * 3600 + F.expr("sod div (24 * (1 + user_id % 61))")).cast("int")
-    action_ts = F.timestamp_add("SECOND", offset_s, F.col("d").cast("timestamp"))
+    action_ts = F.timestamp_add("SECOND", offset_s, d.cast("timestamp"))
     return e.select(
-        F.date_format("d", "yyyy-MM-dd").alias("session_date"),
+        d.cast("string").alias("session_date"),
         uid.alias("user_id"),
         F.concat(F.lit("s"), uid, F.lit("-"), session_suffix).alias("session_id"),
         (1 + kk % 9).alias("page_id"),
-        F.date_format(action_ts, "yyyy-MM-dd HH:mm:ss").alias("action_time"),
+        action_ts.cast("string").alias("action_time"),
         F.when(et == "view", F.concat(F.lit("kw"), kk % 10)).alias("search_keyword"),
         F.when(et == "click", kk % 20).alias("click_category_id"),
         F.when(et == "click", kk).alias("click_product_id"),
@@ -95,6 +119,7 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_info`` (user_id, username, name, age, professional, city, sex) from customer."""
     c = table(spark, sf_dir, "customer")
@@ -110,6 +135,7 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``product_info`` (product_id, product_name, extend_info JSON) from part."""
     p = table(spark, sf_dir, "part")
@@ -135,6 +161,7 @@ def _province_city(index: Column, part: int) -> Column:
     return F.element_at(arr, (index + 1).cast("int"))
 
 
+@_memo
 def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed ad clicks (ts, province, city, user_id, ad_id) mapped from events.
 
@@ -152,6 +179,7 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ad clicks rendered as the simulator's text lines
     ``epochMillis province city userId adId`` in a ``value`` column."""

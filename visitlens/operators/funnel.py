@@ -5,11 +5,11 @@ action id breaks ties). Two plans are provided:
 
 * ``page_transitions`` - a ``lag`` window partitioned by session. One shuffle; a single
   huge session lands in one task.
-* ``page_transitions_skew_safe`` - the actions are range-partitioned on
-  (session, time, id), so a hot session is split across many tasks by sampled bounds;
-  ``lag`` runs inside each (range partition, session) piece, and the first row of each
-  piece takes its predecessor from the last row of the previous piece of the same
-  session (a per-piece summary, so its size is bounded by sessions + partitions).
+* ``page_transitions_skew_safe`` - sessions above a row-count threshold ("hot") are
+  range-partitioned on (session, time, id), so a hot session is split across many
+  tasks by sampled bounds; ``lag`` runs inside each (range partition, session) piece,
+  and the first row of each piece takes its predecessor from the last row of the
+  previous piece of the same session. Ordinary sessions keep the one-shuffle window.
 
 The flow itself is a parameter (a handful of pages); its step table is broadcast.
 """
@@ -36,18 +36,20 @@ def page_transitions(actions: DataFrame) -> DataFrame:
             .select("session_id", "action_id", "prev_page_id", "page_id"))
 
 
-def page_transitions_skew_safe(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Same rows as ``page_transitions``, with no task owning a whole session."""
-    spark = actions.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (_ordered(actions)
-              .repartitionByRange(n, "session_id", "action_ts", "action_id")
+def _range_split_transitions(ordered: DataFrame, num_partitions: int) -> DataFrame:
+    """Transitions of (possibly huge) sessions without any task owning a whole session.
+
+    Rows are range-partitioned on (session, time, id) with sampled bounds, so a hot
+    session is cut into consecutive pieces spread over many tasks. ``lag`` runs inside
+    each (piece, session) group; the first row of a piece takes the last page of the
+    nearest earlier piece of its session from a per-piece summary (one row per
+    (piece, session): at most sessions + partitions rows).
+    """
+    ranged = (ordered.repartitionByRange(num_partitions, "session_id", "action_ts", "action_id")
               .withColumn("piece", F.spark_partition_id()))
     w = Window.partitionBy("piece", "session_id").orderBy("action_ts", "action_id")
-    local = ranged.withColumn("prev_local", F.lag("page_id").over(w)) \
-                  .withColumn("is_first", F.row_number().over(w) == 1)
-    # last page of each (piece, session); the predecessor of a piece's first row is the
-    # last page of the nearest earlier piece of the same session
+    local = (ranged.withColumn("prev_local", F.lag("page_id").over(w))
+             .withColumn("is_first", F.row_number().over(w) == 1))
     last_w = Window.partitionBy("piece", "session_id").orderBy(F.col("action_ts").desc(),
                                                                F.col("action_id").desc())
     pieces = (local.withColumn("rk", F.row_number().over(last_w)).where(F.col("rk") == 1)
@@ -62,6 +64,33 @@ def page_transitions_skew_safe(actions: DataFrame, num_partitions: int | None =
     return firsts.unionByName(rest).where(F.col("prev_page_id").isNotNull())
 
 
+DEFAULT_HOT_SESSION_ROWS = 2_000_000
+
+
+def page_transitions_skew_safe(actions: DataFrame, hot_session_rows: int = DEFAULT_HOT_SESSION_ROWS,
+                               num_partitions: int | None = None) -> DataFrame:
+    """Same rows as ``page_transitions``, safe when one session holds a large share of rows.
+
+    Actions are counted per session (partial aggregation, one small shuffle). Sessions
+    with more than ``hot_session_rows`` actions are hot; there are at most
+    total_rows / hot_session_rows of them, which bounds the broadcast list. Ordinary
+    sessions take the one-shuffle ``lag`` window; only the hot sessions' rows take the
+    range-split path.
+    """
+    spark = actions.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = _ordered(actions)
+    hot = (ordered.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > F.lit(hot_session_rows)).select("session_id"))
+    normal = ordered.join(F.broadcast(hot), "session_id", "left_anti")
+    w = Window.partitionBy("session_id").orderBy("action_ts", "action_id")
+    plain = (normal.withColumn("prev_page_id", F.lag("page_id").over(w))
+             .where(F.col("prev_page_id").isNotNull())
+             .select("session_id", "action_id", "prev_page_id", "page_id"))
+    heavy = _range_split_transitions(ordered.join(F.broadcast(hot), "session_id", "left_semi"), n)
+    return plain.unionByName(heavy)
+
+
 def flow_steps(spark: SparkSession, flow: list[str]) -> DataFrame:
     """(pos, prev_page_id, page_id, split) for each consecutive pair of the flow; pos
     starts at 1. Built from the parameter list - at most len(flow) - 1 rows."""
@@ -100,7 +129,7 @@ def page_convert_rate(actions: DataFrame, flow: list[str], transitions: DataFram
     if len(flow) < 2:
         spark = actions.sparkSession
         return spark.createDataFrame([], "pos int, split string, pv bigint, prev_pv bigint, convert_rate double")
-    tr = transitions if transitions is not None else page_transitions(actions)
+    tr = transitions if transitions is not None else page_transitions_skew_safe(actions)
     split_pv = page_split_pv(tr, flow)
     # the first page's views become position 0, so lag over the positions gives every
     # step its predecessor; the window sees len(flow) rows

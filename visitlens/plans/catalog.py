@@ -406,12 +406,12 @@ rates AS (
 
 
 def _transitions(spark, sf):
-    return funnel.page_transitions(_actions(spark, sf))
+    return funnel.page_transitions_skew_safe(_actions(spark, sf))
 
 
 @register("page_transitions", "SELECT * FROM trans", _FUNNEL_CTES)
 def q_page_transitions(spark, sf):
-    return _transitions(spark, sf)
+    return funnel.page_transitions(_actions(spark, sf))
 
 
 @register("page_transitions_skew_safe", "SELECT * FROM trans", _FUNNEL_CTES)
@@ -432,7 +432,7 @@ def q_page_split_pv(spark, sf):
 @register("page_convert_rate", "SELECT * FROM rates", _FUNNEL_CTES)
 def q_page_convert_rate(spark, sf):
     actions = _actions(spark, sf)
-    return funnel.page_convert_rate(actions, FLOW, funnel.page_transitions(actions))
+    return funnel.page_convert_rate(actions, FLOW, funnel.page_transitions_skew_safe(actions))
 
 
 @register("page_convert_rate_string",

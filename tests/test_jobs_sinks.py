@@ -13,7 +13,7 @@ from visitlens.sources import fixtures as fx, sinks
 def test_session_job_and_sinks(spark):
     acts, users = fx.user_visit_action(spark, SF001), fx.user_info(spark, SF001)
     params = TaskParams(start_date="2024-01-01", end_date="2024-01-31", start_age=0, end_age=100)
-    res = jobs.run_session_job(acts, users, params, task_id=1)
+    res = jobs.run_session_job(acts, users, params, task_id=1, materialize="checkpoint")
     out = tempfile.mkdtemp(prefix="vl-job-")
     for name, df in jobs.tables(res).items():
         sinks.append(df, os.path.join(out, name))

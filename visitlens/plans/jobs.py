@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from visitlens.operators import areas, categories as cat, extract, funnel, sessions as ses
 from visitlens.plans.params import TaskParams
+from visitlens.session import checkpoint_dir
 
 _PERSISTED = "_visitlens_persisted"
 
@@ -22,15 +23,25 @@ def _stamp(df: DataFrame, task_id: int) -> DataFrame:
     return df.select(F.lit(task_id).cast("int").alias("task_id"), *df.columns)
 
 
+def _materialize(df: DataFrame, how: str) -> DataFrame:
+    """``persist``: cached, recomputed from lineage if an executor is lost.
+    ``checkpoint``: written to the shared ``spark.checkpoint.dir`` (lineage cut)."""
+    if how == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def run_session_job(actions: DataFrame, users: DataFrame, params: TaskParams, task_id: int,
                     extract_total: int = 100, seed: str = "42", top_categories: int = 10,
-                    top_sessions: int = 10) -> dict[str, DataFrame]:
+                    top_sessions: int = 10, materialize: str = "persist") -> dict[str, DataFrame]:
     """Session analysis: aggregate stat, random extract (+ detail), top categories,
-    top sessions per category (+ detail)."""
+    top sessions per category (+ detail). The filtered sessions and their action rows
+    feed several results, so they are materialised once (``materialize``)."""
     scanned = ses.scan_actions_by_date(actions, params.start_date, params.end_date)
     sessions = ses.session_user_join(ses.session_rollup(scanned), users)
-    filtered = ses.filter_sessions(sessions, params).persist(StorageLevel.MEMORY_AND_DISK)
-    detail = ses.session_detail(scanned, filtered).persist(StorageLevel.MEMORY_AND_DISK)
+    filtered = _materialize(ses.filter_sessions(sessions, params), materialize)
+    detail = _materialize(ses.session_detail(scanned, filtered), materialize)
     picked = extract.random_extract(filtered, extract_total, seed)
     top = cat.top_categories(detail, top_categories)
     top_sess = cat.top_sessions_per_category(detail, top_categories, top_sessions)

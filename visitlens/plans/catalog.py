@@ -311,8 +311,9 @@ cat_ev AS (
     SELECT session_id, action_id, unnest(string_split(pay_category_ids, ',')) AS x
     FROM uva WHERE pay_category_ids IS NOT NULL) WHERE TRY_CAST(trim(x) AS BIGINT) IS NOT NULL),
 cat_counts AS (
-  SELECT category_id, count_if(kind = 'click') AS click_count, count_if(kind = 'order') AS order_count,
-         count_if(kind = 'pay') AS pay_count
+  SELECT category_id, CAST(count_if(kind = 'click') AS BIGINT) AS click_count,
+         CAST(count_if(kind = 'order') AS BIGINT) AS order_count,
+         CAST(count_if(kind = 'pay') AS BIGINT) AS pay_count
   FROM cat_ev GROUP BY category_id),
 cat_top AS (
   SELECT * FROM cat_counts
@@ -322,8 +323,8 @@ cat_sess AS (
   FROM uva WHERE click_category_id IS NOT NULL GROUP BY ALL),
 top_sess AS (
   SELECT * FROM (
-    SELECT cs.*, row_number() OVER (PARTITION BY cs.category_id
-                                    ORDER BY cs.click_count DESC, cs.session_id) AS rank
+    SELECT cs.*, CAST(row_number() OVER (PARTITION BY cs.category_id
+                                         ORDER BY cs.click_count DESC, cs.session_id) AS INTEGER) AS rank
     FROM cat_sess cs WHERE cs.category_id IN (SELECT category_id FROM cat_top))
   WHERE rank <= 10)"""
 
@@ -351,8 +352,8 @@ def q_category_counts(spark, sf):
 
 
 @register("category_ranked",
-          """SELECT *, row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC,
-                                          category_id) AS rank FROM cat_counts""", _CAT_CTES)
+          """SELECT *, CAST(row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC,
+                                               category_id) AS INTEGER) AS rank FROM cat_counts""", _CAT_CTES)
 def q_category_ranked(spark, sf):
     return cat.category_ranked(_actions(spark, sf))
 

@@ -49,14 +49,14 @@ TASK_ROWS = [
 ]
 
 
-_MEMO: dict[tuple[int, str, str], DataFrame] = {}
+_MEMO: dict[tuple[int, str, str, str], DataFrame] = {}
 
 
 def _memo(fn):
     """Memoise a fixture's (lazy, immutable) DataFrame per session and directory, so
     its expression tree is built and analysed once; every action still scans."""
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark), sf_dir, fn.__name__)
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, fn.__name__)
         df = _MEMO.get(key)
         if df is None:
             df = _MEMO[key] = fn(spark, sf_dir)

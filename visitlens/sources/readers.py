@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-_PLANS: dict[tuple[int, str, int], DataFrame] = {}
+_PLANS: dict[tuple[int, str, str, int], DataFrame] = {}
 
 
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
@@ -22,7 +22,7 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     action still reads the files afresh.
     """
     want = min_partitions or spark.sparkContext.defaultParallelism
-    key = (id(spark), path, want)
+    key = (id(spark), spark.sparkContext.applicationId, path, want)
     df = _PLANS.get(key)
     if df is None:
         df = spark.read.parquet(path)

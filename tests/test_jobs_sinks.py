@@ -65,3 +65,12 @@ def test_versioned_table_upserts_are_replay_safe(spark):
     cur = top.current()
     assert cur.where("date = '20240102'").agg(F.sum("click_count")).first()[0] == 0
     assert cur.count() == ads.province_top_ads(stat).count()
+
+
+def test_cluster_settings():
+    from visitlens.session import cluster_settings
+    big = cluster_settings(100 << 40, executor_cores=8, executors=1000)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    small = cluster_settings(10 << 30, executor_cores=8, executors=10)
+    assert small["spark.sql.shuffle.partitions"] == "160"          # two waves of 80 slots
+    assert small["spark.sql.adaptive.enabled"] == "true"

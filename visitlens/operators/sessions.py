@@ -52,14 +52,17 @@ def session_rollup(actions: DataFrame) -> DataFrame:
     keywords (sorted distinct non-empty array), categories (sorted distinct array),
     search_keywords / click_category_ids (the arrays joined by ',', null when empty).
     """
-    ts = parse_action_time(F.col("action_time"))
     kw = F.col("search_keyword")
-    agg = actions.groupBy("session_id").agg(
+    # parse the time and clean the keyword once per row, before the aggregate
+    pre = actions.select("session_id", "user_id",
+                         parse_action_time(F.col("action_time")).alias("ts"),
+                         F.when(nonempty(kw), kw).alias("kw"), "click_category_id")
+    agg = pre.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
-        F.min(ts).alias("start_ts"),
-        F.max(ts).alias("end_ts"),
+        F.min("ts").alias("start_ts"),
+        F.max("ts").alias("end_ts"),
         F.count(F.lit(1)).alias("step_length"),
-        F.array_sort(F.collect_set(F.when(nonempty(kw), kw))).alias("keywords"),
+        F.array_sort(F.collect_set("kw")).alias("keywords"),
         F.array_sort(F.collect_set("click_category_id")).alias("categories"),
     )
     kws = F.array_join("keywords", ",")

@@ -75,3 +75,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle / scan sizing for a cluster run over ``input_bytes`` of parquet.
+
+    * scan splits of ``target_partition_bytes`` (one task reads ~256 MB of parquet);
+    * initial shuffle partitions so that the largest shuffle (about the input size,
+      before map-side partial aggregation shrinks it) gives ~``target`` bytes per
+      partition, at least two waves of tasks, capped to keep the map-status table
+      manageable; AQE then coalesces small partitions toward the same advisory size and
+      splits skewed ones (a partition 5x the median and above 1 GB).
+
+    Example: 100 TB on 1000 executors x 8 cores gives 200,000 shuffle partitions
+    (capped), 256 MB scan splits.
+    """
+    slots = max(1, executor_cores * executors)
+    by_size = -(-input_bytes // target_partition_bytes)
+    partitions = int(min(max(by_size, 2 * slots), 200_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        # runtime broadcast only for sides measured below 64 MB
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    for key, value in settings.items():
+        spark.conf.set(key, value)

@@ -62,9 +62,13 @@ def test_pipeline_equals_batch_form(spark):
     base = tempfile.mkdtemp(prefix="vl-stream-")
     src = os.path.join(base, "in")
     write_day_files(spark, src)
-    pipeline = AdClickPipeline(spark, os.path.join(base, "tables"), threshold=THRESHOLD)
+    pipeline = AdClickPipeline(spark, os.path.join(base, "tables"), threshold=THRESHOLD, compact_every=3)
     run(spark, pipeline, src, os.path.join(base, "ckpt"))
     assert pipeline.blacklist().count() > 0
+    # ten batches, folded into the base tables after batches 2, 5 and 8
+    assert spark.read.parquet(os.path.join(base, "tables", "user_clicks_base")).select("upto").distinct().count() == 3
+    check_against_batch(spark, pipeline)
+    pipeline.compact(2)          # re-running an old compaction changes nothing
     check_against_batch(spark, pipeline)
 
 

@@ -104,7 +104,11 @@ def top_sessions_per_category(actions: DataFrame, k_categories: int = 10,
     category with a huge number of sessions is cut to k rows per task before its shuffle.
     """
     top = top_categories(actions, k_categories).select("category_id")
-    per = category_session_clicks(actions).join(F.broadcast(top), "category_id")
+    # keep only clicks of the top categories before counting per (category, session), so
+    # the aggregate's shuffle carries k categories' clicks, not every category's
+    clicks = actions.join(F.broadcast(top.withColumnRenamed("category_id", "click_category_id")),
+                          "click_category_id", "left_semi")
+    per = category_session_clicks(clicks)
     w = Window.partitionBy("category_id").orderBy(F.col("click_count").desc(), F.col("session_id"))
     return (per.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= F.lit(k_sessions)))

@@ -20,8 +20,11 @@ the same partitions instead of adding to them; reads that must exclude the curre
 batch filter on ``batch_id``. Cumulative counts are sums over the logs, read back
 only for the dates (partition column) present in the batch.
 
-The logs grow by one partition set per batch; readers sum over them and read only the
-dates a batch touches.
+The logs grow by one partition set per batch. With ``compact_every=k`` the pipeline
+folds each log into a ``<log>_base`` table (partition ``upto=N`` holds the sums of all
+batches <= N) every k batches; readers then sum the newest base and only the log
+partitions after it. Reads made while processing batch N use a base strictly older
+than N, so a replay of N after its own compaction still counts N exactly once.
 """
 
 from __future__ import annotations
@@ -67,16 +70,54 @@ class AdClickPipeline:
     base_path: str
     threshold: int = ads.DEFAULT_THRESHOLD
     top_k: int = 3
+    compact_every: int | None = None
+
+    LOGS = {
+        "user_clicks": (USER_CLICKS_SCHEMA, ["date", "user_id", "ad_id"]),
+        "ad_stat_log": (STAT_SCHEMA, ["date", "province", "city", "ad_id"]),
+        "trend_log": (TREND_SCHEMA, ["date", "hour", "minute", "ad_id"]),
+    }
 
     def path(self, name: str) -> str:
         return os.path.join(self.base_path, name)
 
+    # ------------------------------------------------------------- logs
+
+    def log_rows(self, name: str, through_batch: int | None = None) -> DataFrame:
+        """Rows of a log (keys, click_count) covering batches <= ``through_batch`` (all when
+        None): the newest usable base version plus the log partitions after it."""
+        schema, keys = self.LOGS[name]
+        base_schema = ", ".join(c for c in schema.split(", ") if not c.startswith("batch_id")) + ", upto bigint"
+        base = read_or_empty(self.spark, self.path(name + "_base"), base_schema)
+        if through_batch is not None:
+            base = base.where(F.col("upto") < F.lit(through_batch))
+        upto = base.agg(F.max("upto")).first()[0]      # one scalar: partition listing
+        log = read_or_empty(self.spark, self.path(name), schema)
+        if through_batch is not None:
+            log = log.where(F.col("batch_id") <= F.lit(through_batch))
+        cols = keys + ["click_count"]
+        if upto is None:
+            return log.select(*cols)
+        return (base.where(F.col("upto") == F.lit(upto)).select(*cols)
+                .unionByName(log.where(F.col("batch_id") > F.lit(upto)).select(*cols)))
+
+    def _summed(self, name: str, through_batch: int | None = None) -> DataFrame:
+        keys = self.LOGS[name][1]
+        return (self.log_rows(name, through_batch).groupBy(*keys)
+                .agg(F.sum("click_count").cast("bigint").alias("click_count")))
+
+    def compact(self, through_batch: int) -> None:
+        """Fold every log through ``through_batch`` into its base table (partition
+        ``upto=through_batch``); idempotent, so it may run again on replay."""
+        for name in self.LOGS:
+            folded = self._summed(name, through_batch).withColumn("upto", F.lit(through_batch).cast("bigint"))
+            _write(folded, self.path(name + "_base"), ["upto"])
+
     # ------------------------------------------------------------- table views
 
     def user_clicks(self) -> DataFrame:
         """Cumulative (date yyyy-MM-dd, user_id, ad_id, click_count)."""
-        log = read_or_empty(self.spark, self.path("user_clicks"), USER_CLICKS_SCHEMA)
-        return log.groupBy("date", "user_id", "ad_id").agg(F.sum("click_count").cast("bigint").alias("click_count"))
+        return self._summed("user_clicks")
 
     def blacklist(self, before_batch: int | None = None) -> DataFrame:
         """Listed users (user_id); with ``before_batch``, only those listed earlier."""
@@ -87,9 +128,7 @@ class AdClickPipeline:
 
     def ad_stat(self) -> DataFrame:
         """Running (date yyyyMMdd, province, city, ad_id, click_count)."""
-        log = read_or_empty(self.spark, self.path("ad_stat_log"), STAT_SCHEMA)
-        return (log.groupBy("date", "province", "city", "ad_id")
-                .agg(F.sum("click_count").cast("bigint").alias("click_count")))
+        return self._summed("ad_stat_log")
 
     def province_top(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("province_top"), TOP_SCHEMA) \
@@ -97,9 +136,7 @@ class AdClickPipeline:
 
     def click_trend(self) -> DataFrame:
         """(date yyyy-MM-dd, hour, minute, ad_id, click_count) per event-time minute."""
-        log = read_or_empty(self.spark, self.path("trend_log"), TREND_SCHEMA)
-        return (log.groupBy("date", "hour", "minute", "ad_id")
-                .agg(F.sum("click_count").cast("bigint").alias("click_count")))
+        return self._summed("trend_log")
 
     def rejects(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("rejects"), REJECTS_SCHEMA)
@@ -107,7 +144,6 @@ class AdClickPipeline:
     # ------------------------------------------------------------- per batch
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
-        spark = lines.sparkSession
         bid = F.lit(batch_id).cast("bigint")
         clicks, rejects = ads.parse_ad_log(lines)
         _write(rejects.withColumn("batch_id", bid), self.path("rejects"), ["batch_id"])
@@ -121,8 +157,7 @@ class AdClickPipeline:
 
             # 4. users whose cumulative count reaches the threshold; the log is read back
             #    only for the (date) partitions of this batch's keys
-            log = read_or_empty(spark, self.path("user_clicks"), USER_CLICKS_SCHEMA) \
-                .where(F.col("batch_id") <= bid)
+            log = self.log_rows("user_clicks", batch_id)
             keys = counts.select("date", "user_id", "ad_id")
             cumulative = (log.join(keys, ["date", "user_id", "ad_id"], "left_semi")
                           .groupBy("date", "user_id", "ad_id")
@@ -138,8 +173,7 @@ class AdClickPipeline:
             _write(stat, self.path("ad_stat_log"), ["date", "batch_id"])
 
             # 6. top-k per (date, province) for the dates touched by this batch
-            stat_log = read_or_empty(spark, self.path("ad_stat_log"), STAT_SCHEMA) \
-                .where(F.col("batch_id") <= bid)
+            stat_log = self.log_rows("ad_stat_log", batch_id)
             touched = stat.select("date").distinct()
             current = (stat_log.join(touched, "date", "left_semi")
                        .groupBy("date", "province", "city", "ad_id")
@@ -151,6 +185,9 @@ class AdClickPipeline:
             # 7. click trend per event minute
             trend = ads.click_trend(kept).withColumn("batch_id", bid)
             _write(trend, self.path("trend_log"), ["date", "batch_id"])
+
+            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+                self.compact(batch_id)
         finally:
             kept.unpersist()
 

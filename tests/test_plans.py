@@ -44,3 +44,19 @@ def test_rollup_is_partially_aggregated(spark):
     assert "partial_min" in p and "partial_collect_set" in p
     p = plan(cat.category_counts(fx.user_visit_action(spark, SF001)))
     assert "partial_count" in p
+
+
+def test_broadcast_only_after_size_check(spark):
+    from visitlens.operators.joins import broadcast_if_small
+    big = spark.range(50).withColumnRenamed("id", "k")
+    small = spark.range(5).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(broadcast_if_small(small, max_rows=10), "k")
+        assert "BroadcastHashJoin" in plan(hinted)
+        unhinted = big.join(broadcast_if_small(big.select("k"), max_rows=10), "k")
+        assert "BroadcastHashJoin" not in plan(unhinted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

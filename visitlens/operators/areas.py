@@ -1,7 +1,7 @@
 """Hottest products per area.
 
-Clicks are joined to the city dimension (ten seeded rows - a fixed, tiny table, so it
-is broadcast), counted per (area, product) with the distinct ``city_id:city_name``
+Clicks are joined to the city dimension, counted per (area, product) with the distinct
+``city_id:city_name``
 list, joined to the product dimension, and cut to the top k per area with
 ``row_number`` (map-side WindowGroupLimit before the shuffle).
 """
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.columns import concat_long_string, group_concat_distinct, json_field
+from visitlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 # Area names and their level, as the reference's CASE expression groups them.
 AREA_LEVELS = [
@@ -39,14 +40,19 @@ def product_status(extend_info: Column) -> Column:
         .otherwise(F.lit("third party"))
 
 
-def area_click_basic(clicks: DataFrame, cities: DataFrame) -> DataFrame:
+def area_click_basic(clicks: DataFrame, cities: DataFrame,
+                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(city_id, city_name, area, product_id) for each click in a known city.
 
-    ``cities`` is the fixed ten-row city table; broadcasting it is bounded.
+    The city table may come from JDBC, which carries no size statistics, so its row
+    count is checked (``broadcast_if_small``): broadcast when at most
+    ``max_broadcast_rows`` rows, shuffle join otherwise.
     """
-    c = cities.select(F.col("city_id").cast("bigint").alias("city_id"), "city_name", "area")
+    c = broadcast_if_small(
+        cities.select(F.col("city_id").cast("bigint").alias("city_id"), "city_name", "area"),
+        max_broadcast_rows)
     return (clicks.select(F.col("city_id").cast("bigint").alias("city_id"), "product_id")
-            .join(F.broadcast(c), "city_id", "inner")
+            .join(c, "city_id", "inner")
             .select("city_id", "city_name", "area", "product_id"))
 
 

@@ -296,6 +296,26 @@ def q_session_extract_detail(spark, sf):
     return ses.session_detail(src, picked)
 
 
+# the same sampler over the whole table (every day; 3000 draws so that hourly quotas of
+# ~100 daily draws are not all truncated to zero)
+MONTH_TOTAL = 3000
+_EXTRACT_MONTH_CTES = (_EXTRACT_CTES
+                       .replace(f"WHERE session_date BETWEEN '{EXTRACT_DATE}' AND '{EXTRACT_DATE}'", "")
+                       .replace(f"{EXTRACT_TOTAL} // (SELECT", f"{MONTH_TOTAL} // (SELECT"))
+
+
+@register("session_extract_quota_month",
+          "SELECT date, hour, session_count, day_session_count, day_quota, hour_quota FROM quota",
+          _EXTRACT_MONTH_CTES)
+def q_session_extract_quota_month(spark, sf):
+    return extract.extract_quota(_sessions(spark, sf), MONTH_TOTAL)
+
+
+@register("session_random_extract_month", "SELECT * FROM picked", _EXTRACT_MONTH_CTES)
+def q_session_random_extract_month(spark, sf):
+    return extract.random_extract(_sessions(spark, sf), MONTH_TOTAL, EXTRACT_SEED)
+
+
 # ------------------------------------------------------------------ categories
 
 _CAT_CTES = """

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from conftest import SF001, rows
 from visitlens.operators import ads, merges
 from visitlens.sources import fixtures as fx

@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
 from visitlens.operators import extract, sessions as ses
 from visitlens.plans.params import TaskParams, task_by_id, task_params
 from visitlens.sources import fixtures as fx

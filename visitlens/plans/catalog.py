@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.columns import (
-    concat_long_string, date_hour_key, json_field, minute_key, pack_record, packed_field,
-    parse_action_time,
+    date_hour_key, minute_key, pack_record, packed_field, parse_action_time,
 )
 from visitlens.functions.sql import register_sql_functions
 from visitlens.operators import ads, areas, categories as cat, extract, funnel, merges, sessions as ses

@@ -45,18 +45,20 @@ def _range_split_transitions(ordered: DataFrame, num_partitions: int) -> DataFra
     nearest earlier piece of its session from a per-piece summary (one row per
     (piece, session): at most sessions + partitions rows).
     """
-    ranged = (ordered.repartitionByRange(num_partitions, "session_id", "action_ts", "action_id")
-              .withColumn("piece", F.spark_partition_id()))
-    w = Window.partitionBy("piece", "session_id").orderBy("action_ts", "action_id")
-    local = (ranged.withColumn("prev_local", F.lag("page_id").over(w))
-             .withColumn("is_first", F.row_number().over(w) == 1))
-    last_w = Window.partitionBy("piece", "session_id").orderBy(F.col("action_ts").desc(),
-                                                               F.col("action_id").desc())
-    pieces = (local.withColumn("rk", F.row_number().over(last_w)).where(F.col("rk") == 1)
-              .select("session_id", "piece", F.col("page_id").alias("last_page")))
-    carry = pieces.withColumn(
-        "carry_page", F.lag("last_page").over(Window.partitionBy("session_id").orderBy("piece"))
-    ).select("session_id", "piece", "carry_page")
+    ranged = ordered.repartitionByRange(num_partitions, "session_id", "action_ts", "action_id") \
+        .select("*", F.spark_partition_id().alias("piece"))
+    piece = Window.partitionBy("piece", "session_id")
+    w = piece.orderBy("action_ts", "action_id")
+    last_w = piece.orderBy(F.col("action_ts").desc(), F.col("action_id").desc())
+    local = ranged.select("session_id", "action_id", "page_id", "piece",
+                          F.lag("page_id").over(w).alias("prev_local"),
+                          (F.row_number().over(w) == 1).alias("is_first"),
+                          (F.row_number().over(last_w) == 1).alias("is_last"))
+    # last page of every (piece, session); a piece's first row continues from the last
+    # page of the nearest earlier piece of the same session
+    carry = local.where("is_last").select(
+        "session_id", "piece",
+        F.lag("page_id").over(Window.partitionBy("session_id").orderBy("piece")).alias("carry_page"))
     firsts = local.where("is_first").join(carry, ["session_id", "piece"], "left") \
         .select("session_id", "action_id", F.col("carry_page").alias("prev_page_id"), "page_id")
     rest = local.where(~F.col("is_first")) \
@@ -93,10 +95,15 @@ def page_transitions_skew_safe(actions: DataFrame, hot_session_rows: int = DEFAU
 
 def flow_steps(spark: SparkSession, flow: list[str]) -> DataFrame:
     """(pos, prev_page_id, page_id, split) for each consecutive pair of the flow; pos
-    starts at 1. Built from the parameter list - at most len(flow) - 1 rows."""
-    rows = [(i, int(flow[i - 1]), int(flow[i]), f"{flow[i - 1]}_{flow[i]}")
-            for i in range(1, len(flow))]
-    return spark.createDataFrame(rows, "pos int, prev_page_id bigint, page_id bigint, split string")
+    starts at 1. Built from the parameter list - at most len(flow) - 1 rows - with
+    ``range`` and an array literal, so no local data is shipped from Python."""
+    pages = F.array(*[F.lit(int(p)).cast("bigint") for p in flow])
+    names = F.array(*[F.lit(p) for p in flow])      # the split keeps the parameter's text
+    pos = F.col("id").cast("int")
+    return spark.range(1, max(len(flow), 1)).select(
+        pos.alias("pos"), F.element_at(pages, pos).alias("prev_page_id"),
+        F.element_at(pages, pos + 1).alias("page_id"),
+        F.concat(F.element_at(names, pos), F.lit("_"), F.element_at(names, pos + 1)).alias("split"))
 
 
 def page_start_pv(actions: DataFrame, flow: list[str]) -> DataFrame:

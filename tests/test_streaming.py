@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF001, rows
 from visitlens.operators import ads
 from visitlens.sources import fixtures as fx
-from visitlens.streaming import AdClickPipeline, click_trend_updates, running_ad_stat, text_lines
+from visitlens.streaming import AdClickStreamJob, click_trend_updates, running_ad_stat, text_lines
 
 THRESHOLD = 3
 DAYS_PER_FILE = 3
@@ -34,8 +34,8 @@ def write_day_files(spark, directory, days=None):
     return sorted(by_day)
 
 
-def run(spark, pipeline, src, ckpt):
-    q = pipeline.start(text_lines(spark, src, max_files_per_trigger=1), ckpt, {"availableNow": True})
+def run(spark, job, src, ckpt):
+    q = job.start(text_lines(spark, src, max_files_per_trigger=1), ckpt, {"availableNow": True})
     q.awaitTermination(300)
     assert q.exception() is None
 
@@ -46,30 +46,30 @@ def expected(spark):
     return clicks, kept
 
 
-def check_against_batch(spark, pipeline):
+def check_against_batch(spark, job):
     clicks, kept = expected(spark)
-    assert rows(pipeline.blacklist()) == rows(ads.blacklist_users(clicks, THRESHOLD, batch_of(F.col("ts"))))
-    assert rows(pipeline.user_clicks(), "date", "user_id", "ad_id", "click_count") == \
+    assert rows(job.blacklist()) == rows(ads.blacklist_users(clicks, THRESHOLD, batch_of(F.col("ts"))))
+    assert rows(job.user_clicks(), "date", "user_id", "ad_id", "click_count") == \
         rows(ads.user_daily_clicks(kept), "date", "user_id", "ad_id", "click_count")
-    assert rows(pipeline.ad_stat(), "date", "province", "city", "ad_id", "click_count") == \
+    assert rows(job.ad_stat(), "date", "province", "city", "ad_id", "click_count") == \
         rows(ads.ad_stat(kept), "date", "province", "city", "ad_id", "click_count")
-    assert rows(pipeline.province_top(), "date", "province", "ad_id", "click_count") == \
+    assert rows(job.province_top(), "date", "province", "ad_id", "click_count") == \
         rows(ads.province_top_ads(ads.ad_stat(kept), 3), "date", "province", "ad_id", "click_count")
-    assert rows(pipeline.click_trend()) == rows(ads.click_trend(kept).select(*pipeline.click_trend().columns))
+    assert rows(job.click_trend()) == rows(ads.click_trend(kept).select(*job.click_trend().columns))
 
 
-def test_pipeline_equals_batch_form(spark):
+def test_stream_job_equals_batch_form(spark):
     base = tempfile.mkdtemp(prefix="vl-stream-")
     src = os.path.join(base, "in")
     write_day_files(spark, src)
-    pipeline = AdClickPipeline(spark, os.path.join(base, "tables"), threshold=THRESHOLD, compact_every=3)
-    run(spark, pipeline, src, os.path.join(base, "ckpt"))
-    assert pipeline.blacklist().count() > 0
+    job = AdClickStreamJob(spark, os.path.join(base, "tables"), threshold=THRESHOLD, compact_every=3)
+    run(spark, job, src, os.path.join(base, "ckpt"))
+    assert job.blacklist().count() > 0
     # ten batches, folded into the base tables after batches 2, 5 and 8
     assert spark.read.parquet(os.path.join(base, "tables", "user_clicks_base")).select("upto").distinct().count() == 3
-    check_against_batch(spark, pipeline)
-    pipeline.compact(2)          # re-running an old compaction changes nothing
-    check_against_batch(spark, pipeline)
+    check_against_batch(spark, job)
+    job.compact(2)          # re-running an old compaction changes nothing
+    check_against_batch(spark, job)
 
 
 def test_restart_from_checkpoint(spark):
@@ -78,28 +78,28 @@ def test_restart_from_checkpoint(spark):
     all_days = write_day_files(spark, src, days=set())
     first = set(all_days[:4])
     write_day_files(spark, src, days=first)
-    pipeline = AdClickPipeline(spark, os.path.join(base, "tables"), threshold=THRESHOLD)
-    run(spark, pipeline, src, os.path.join(base, "ckpt"))
+    job = AdClickStreamJob(spark, os.path.join(base, "tables"), threshold=THRESHOLD)
+    run(spark, job, src, os.path.join(base, "ckpt"))
     # the rest arrives later; a new query resumes from the same checkpoint
     write_day_files(spark, src, days=set(all_days))
     for i, d in enumerate(all_days):
         os.utime(os.path.join(src, f"clicks-{d}.txt"), (1_700_000_000 + i, 1_700_000_000 + i))
-    run(spark, pipeline, src, os.path.join(base, "ckpt"))
-    check_against_batch(spark, pipeline)
+    run(spark, job, src, os.path.join(base, "ckpt"))
+    check_against_batch(spark, job)
 
 
 def test_replayed_batch_is_idempotent(spark):
     base = tempfile.mkdtemp(prefix="vl-replay-")
-    pipeline = AdClickPipeline(spark, os.path.join(base, "tables"), threshold=2)
+    job = AdClickStreamJob(spark, os.path.join(base, "tables"), threshold=2)
     lines = fx.ad_log_lines(spark, SF001).limit(300)
     lines = spark.createDataFrame(lines.collect(), "value string")
-    pipeline.process(lines, 0)
-    once = (rows(pipeline.ad_stat()), rows(pipeline.user_clicks()), rows(pipeline.blacklist()))
-    pipeline.process(lines, 0)        # the same micro-batch delivered again
-    assert (rows(pipeline.ad_stat()), rows(pipeline.user_clicks()), rows(pipeline.blacklist())) == once
+    job.process(lines, 0)
+    once = (rows(job.ad_stat()), rows(job.user_clicks()), rows(job.blacklist()))
+    job.process(lines, 0)        # the same micro-batch delivered again
+    assert (rows(job.ad_stat()), rows(job.user_clicks()), rows(job.blacklist())) == once
     bad = spark.createDataFrame([("not a line",)], "value string")
-    pipeline.process(bad, 1)
-    assert rows(pipeline.rejects(), "raw") == [("not a line",)]
+    job.process(bad, 1)
+    assert rows(job.rejects(), "raw") == [("not a line",)]
 
 
 def test_state_store_forms(spark):

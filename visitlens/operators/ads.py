@@ -1,4 +1,4 @@
-"""Ad-click analytics in batch form (the streaming pipeline calls the same functions).
+"""Ad-click analytics in batch form (the streaming job calls the same functions).
 
 Input: parsed clicks (ts TIMESTAMP, province, city, user_id, ad_id).
 

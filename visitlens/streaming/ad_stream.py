@@ -1,6 +1,6 @@
 """Real-time ad-click processing with Structured Streaming.
 
-``AdClickPipeline`` is the reference's streaming job re-expressed as one
+``AdClickStreamJob`` is the reference's streaming job re-expressed as one
 ``foreachBatch`` function over a stream of ``epochMillis province city userId adId``
 lines. For every micro-batch, in this order:
 
@@ -20,7 +20,7 @@ the same partitions instead of adding to them; reads that must exclude the curre
 batch filter on ``batch_id``. Cumulative counts are sums over the logs, read back
 only for the dates (partition column) present in the batch.
 
-The logs grow by one partition set per batch. With ``compact_every=k`` the pipeline
+The logs grow by one partition set per batch. With ``compact_every=k`` the job
 folds each log into a ``<log>_base`` table (partition ``upto=N`` holds the sums of all
 batches <= N) every k batches; readers then sum the newest base and only the log
 partitions after it. Reads made while processing batch N use a base strictly older
@@ -63,7 +63,7 @@ def _write(df: DataFrame, path: str, partition_by: list[str]) -> None:
 
 
 @dataclass
-class AdClickPipeline:
+class AdClickStreamJob:
     """State tables live under ``base_path`` (shared storage on a cluster)."""
 
     spark: SparkSession

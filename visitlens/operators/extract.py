@@ -44,6 +44,10 @@ def random_extract(sessions: DataFrame, total: int = 100, seed: str = "42") -> D
     hour quota is at most ``total``, the rank is first cut at the literal ``total``;
     Catalyst turns that into a map-side ``WindowGroupLimit`` so a hot hour ships at most
     ``total`` rows per map task into its window partition.
+
+    ``sessions`` is read twice (ranking and hourly counts, which prune different
+    columns, so Spark cannot share one plan); persist or checkpoint it first when it is
+    expensive, as ``plans.jobs.run_session_job`` does.
     """
     keyed = sessions.select(
         "session_id", "start_time", "search_keywords", "click_category_ids",

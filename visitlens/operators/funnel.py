@@ -55,15 +55,16 @@ def _range_split_transitions(ordered: DataFrame, num_partitions: int) -> DataFra
                           (F.row_number().over(w) == 1).alias("is_first"),
                           (F.row_number().over(last_w) == 1).alias("is_last"))
     # last page of every (piece, session); a piece's first row continues from the last
-    # page of the nearest earlier piece of the same session
+    # page of the nearest earlier piece of the same session. ``local`` is already
+    # partitioned by (piece, session), so joining the small carry table onto it does not
+    # move the rows again.
     carry = local.where("is_last").select(
         "session_id", "piece",
         F.lag("page_id").over(Window.partitionBy("session_id").orderBy("piece")).alias("carry_page"))
-    firsts = local.where("is_first").join(carry, ["session_id", "piece"], "left") \
-        .select("session_id", "action_id", F.col("carry_page").alias("prev_page_id"), "page_id")
-    rest = local.where(~F.col("is_first")) \
-        .select("session_id", "action_id", F.col("prev_local").alias("prev_page_id"), "page_id")
-    return firsts.unionByName(rest).where(F.col("prev_page_id").isNotNull())
+    prev = F.when(F.col("is_first"), F.col("carry_page")).otherwise(F.col("prev_local"))
+    return (local.join(carry, ["session_id", "piece"], "left")
+            .select("session_id", "action_id", prev.alias("prev_page_id"), "page_id")
+            .where(F.col("prev_page_id").isNotNull()))
 
 
 DEFAULT_HOT_SESSION_ROWS = 2_000_000

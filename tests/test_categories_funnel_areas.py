@@ -43,6 +43,7 @@ def test_top_categories_ties_and_duplicated_detail(spark):
     detail = cat.top_session_detail(acts, 10, 1)
     # s0 has 12 actions and ranks in 10 categories: 120 detail rows, duplicates kept
     assert detail.count() == 120
+    assert cat.top_session_detail(acts, 10, 1, distinct=True).count() == 12
 
 
 def _flow_actions(spark, pages):

@@ -114,11 +114,16 @@ def top_sessions_per_category(actions: DataFrame, k_categories: int = 10,
             .where(F.col("rank") <= F.lit(k_sessions)))
 
 
-def top_session_detail(actions: DataFrame, k_categories: int = 10, k_sessions: int = 10) -> DataFrame:
+def top_session_detail(actions: DataFrame, k_categories: int = 10, k_sessions: int = 10,
+                       distinct: bool = False) -> DataFrame:
     """Action rows of the top sessions, one copy per (category, session) it ranks in.
 
-    Duplicates are intentional: a session that is top in two categories appears twice.
-    The top-session list has at most k_categories * k_sessions rows (broadcast-bounded).
+    Duplicates are intentional (as in the reference): a session that is top in two
+    categories appears twice, tagged with each category. ``distinct=True`` returns each
+    action row once, without the category. The top-session list has at most
+    k_categories * k_sessions rows (broadcast-bounded).
     """
     top = top_sessions_per_category(actions, k_categories, k_sessions).select("category_id", "session_id")
+    if distinct:
+        return actions.join(F.broadcast(top.select("session_id").distinct()), "session_id", "left_semi")
     return actions.join(F.broadcast(top), "session_id", "inner")

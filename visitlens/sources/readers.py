@@ -13,9 +13,10 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
 
     Parquet splits no finer than a row group, so a small single-row-group file is read by
     one task and every narrow step after it (all the column derivations before the first
-    shuffle) would run on one core. Only then is a round-robin repartition added; a large
-    input already has at least one split per core and is read as is, with no extra
-    shuffle. Filters and column pruning still reach the scan below the repartition.
+    shuffle) would run on one core. Only for such small inputs - fewer splits than cores
+    and at most 64 splits - is a round-robin repartition added, to at most 16 times the
+    split count; a large input is read as is, with no extra shuffle. Filters and column
+    pruning still reach the scan below the repartition.
 
     The resulting (lazy, immutable) plan is memoised per session and path, so the file
     listing, footer schema inference and split count are done once per session; each
@@ -26,8 +27,9 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     df = _PLANS.get(key)
     if df is None:
         df = spark.read.parquet(path)
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
+        n = df.rdd.getNumPartitions()
+        if n < want and n <= 64:
+            df = df.repartition(min(want, 16 * max(n, 1)))
         _PLANS[key] = df
     return df
 

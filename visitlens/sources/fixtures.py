@@ -67,7 +67,8 @@ def _memo(fn):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"))
+    # the fixture tables are read-only, so their scan plans may be memoised
+    return read_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"), memo=True)
 
 
 @_memo

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitlens.operators.joins import salted_join
+
 DEFAULT_THRESHOLD = 100
 
 
@@ -76,15 +78,26 @@ def blacklist_first_batch(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
             .groupBy("user_id").agg(F.min("batch").alias("first_batch")))
 
 
+DEFAULT_HOT_USER_ROWS = 2_000_000
+
+
 def blacklist_filter(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                     batch: Column | None = None) -> DataFrame:
+                     batch: Column | None = None, hot_user_rows: int = DEFAULT_HOT_USER_ROWS) -> DataFrame:
     """Clicks kept by the dynamic blacklist: those of unlisted users, and of listed users
-    up to and including the batch in which they were listed (a left outer join on the
-    listed users, whose count is bounded by distinct users; AQE picks the strategy)."""
+    up to and including the batch in which they were listed.
+
+    A left outer join of the clicks with the listed users. The listed side comes out of
+    an aggregate already partitioned by user, so AQE cannot split a user holding a large
+    share of the clicks; users with more than ``hot_user_rows`` clicks (at most
+    total / hot_user_rows of them, counted from the same per-batch pre-aggregate) are
+    joined salted.
+    """
     b = batch if batch is not None else daily_batch(F.col("ts"))
     listed = blacklist_first_batch(clicks, threshold, batch)
+    per_user = (clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+                .where(F.col("n") > F.lit(hot_user_rows)).select("user_id"))
     with_b = clicks.withColumn("_batch", b)
-    return (with_b.join(listed, "user_id", "left")
+    return (salted_join(with_b, listed, "user_id", per_user, "left")
             .where(F.col("first_batch").isNull() | (F.col("_batch") <= F.col("first_batch")))
             .select(*clicks.columns))
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from visitlens.operators.joins import salted_join
 
 DEFAULT_THRESHOLD = 100
+DEFAULT_HOT_USER_ROWS = 2_000_000
 
 
 def parse_ad_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -78,9 +79,6 @@ def blacklist_first_batch(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
             .groupBy("user_id").agg(F.min("batch").alias("first_batch")))
 
 
-DEFAULT_HOT_USER_ROWS = 2_000_000
-
-
 def blacklist_filter(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
                      batch: Column | None = None, hot_user_rows: int = DEFAULT_HOT_USER_ROWS) -> DataFrame:
     """Clicks kept by the dynamic blacklist: those of unlisted users, and of listed users
@@ -108,9 +106,16 @@ def blacklist_users(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     return blacklist_first_batch(clicks, threshold, batch).select("user_id")
 
 
-def anti_join_blacklist(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Drop clicks of users present in ``blacklist`` (left anti join on user_id)."""
-    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti").select(*clicks.columns)
+def anti_join_blacklist(clicks: DataFrame, blacklist: DataFrame,
+                        hot_user_rows: int = DEFAULT_HOT_USER_ROWS) -> DataFrame:
+    """Drop clicks of users present in ``blacklist`` (left anti join on user_id).
+
+    The blacklist is a distinct set (partitioned by user already), so a user with more
+    than ``hot_user_rows`` clicks is joined salted rather than left to one task.
+    """
+    hot = (clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > F.lit(hot_user_rows)).select("user_id"))
+    return salted_join(clicks, blacklist.select("user_id"), "user_id", hot, "left_anti").select(*clicks.columns)
 
 
 def user_daily_clicks(clicks: DataFrame) -> DataFrame:

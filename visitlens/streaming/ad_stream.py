@@ -149,6 +149,7 @@ class AdClickStreamJob:
         _write(rejects.withColumn("batch_id", bid), self.path("rejects"), ["batch_id"])
 
         listed_before = self.blacklist(before_batch=batch_id)
+        clicks = clicks.persist()          # read twice: hot-user count and the anti join
         kept = ads.anti_join_blacklist(clicks, listed_before).persist()
         try:
             # 3. this batch's user/ad counts
@@ -190,6 +191,7 @@ class AdClickStreamJob:
                 self.compact(batch_id)
         finally:
             kept.unpersist()
+            clicks.unpersist()
 
     # ------------------------------------------------------------- driver
 

@@ -60,6 +60,22 @@ def daily_batch(ts: Column) -> Column:
     return F.to_date(ts)
 
 
+def _per_batch_counts(clicks: DataFrame, batch: Column | None) -> DataFrame:
+    """(date, user_id, ad_id, batch, n): clicks pre-aggregated per batch (map-side partial)."""
+    b = batch if batch is not None else daily_batch(F.col("ts"))
+    return (clicks.select(day(F.col("ts")).alias("date"), "user_id", "ad_id", b.alias("batch"))
+            .groupBy("date", "user_id", "ad_id", "batch")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _first_batch(per_batch: DataFrame, threshold: int) -> DataFrame:
+    w = (Window.partitionBy("date", "user_id", "ad_id").orderBy("batch")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = per_batch.withColumn("running", F.sum("n").over(w))
+    return (running.where(F.col("running") >= F.lit(threshold))
+            .groupBy("user_id").agg(F.min("batch").alias("first_batch")))
+
+
 def blacklist_first_batch(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
                           batch: Column | None = None) -> DataFrame:
     """(user_id, first_batch): the batch in which each listed user crossed the threshold.
@@ -68,15 +84,7 @@ def blacklist_first_batch(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     partitioned by (date, user, ad) sees one row per batch of that key - bounded by the
     number of batches in a day, whatever the click volume of a hot user.
     """
-    b = batch if batch is not None else daily_batch(F.col("ts"))
-    per_batch = (clicks.select(day(F.col("ts")).alias("date"), "user_id", "ad_id", b.alias("batch"))
-                 .groupBy("date", "user_id", "ad_id", "batch")
-                 .agg(F.count(F.lit(1)).alias("n")))
-    w = (Window.partitionBy("date", "user_id", "ad_id").orderBy("batch")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = per_batch.withColumn("running", F.sum("n").over(w))
-    return (running.where(F.col("running") >= F.lit(threshold))
-            .groupBy("user_id").agg(F.min("batch").alias("first_batch")))
+    return _first_batch(_per_batch_counts(clicks, batch), threshold)
 
 
 def blacklist_filter(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
@@ -91,8 +99,10 @@ def blacklist_filter(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     joined salted.
     """
     b = batch if batch is not None else daily_batch(F.col("ts"))
-    listed = blacklist_first_batch(clicks, threshold, batch)
-    per_user = (clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    per_batch = _per_batch_counts(clicks, batch)
+    listed = _first_batch(per_batch, threshold)
+    # hot users come from the same pre-aggregate, so its shuffle is shared
+    per_user = (per_batch.groupBy("user_id").agg(F.sum("n").alias("n"))
                 .where(F.col("n") > F.lit(hot_user_rows)).select("user_id"))
     with_b = clicks.withColumn("_batch", b)
     return (salted_join(with_b, listed, "user_id", per_user, "left")

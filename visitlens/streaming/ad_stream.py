@@ -83,9 +83,12 @@ class AdClickStreamJob:
 
     # ------------------------------------------------------------- logs
 
-    def log_rows(self, name: str, through_batch: int | None = None) -> DataFrame:
+    def log_rows(self, name: str, through_batch: int | None = None,
+                 dates: list[str] | None = None) -> DataFrame:
         """Rows of a log (keys, click_count) covering batches <= ``through_batch`` (all when
-        None): the newest usable base version plus the log partitions after it."""
+        None): the newest usable base version plus the log partitions after it. With
+        ``dates``, only those ``date`` partitions are read (both tables are partitioned by
+        date, so this is partition pruning, not a scan)."""
         schema, keys = self.LOGS[name]
         base_schema = ", ".join(c for c in schema.split(", ") if not c.startswith("batch_id")) + ", upto bigint"
         base = read_or_empty(self.spark, self.path(name + "_base"), base_schema)
@@ -95,6 +98,9 @@ class AdClickStreamJob:
         log = read_or_empty(self.spark, self.path(name), schema)
         if through_batch is not None:
             log = log.where(F.col("batch_id") <= F.lit(through_batch))
+        if dates is not None:
+            base = base.where(F.col("date").isin(*dates))
+            log = log.where(F.col("date").isin(*dates))
         cols = keys + ["click_count"]
         if upto is None:
             return log.select(*cols)
@@ -111,7 +117,7 @@ class AdClickStreamJob:
         ``upto=through_batch``); idempotent, so it may run again on replay."""
         for name in self.LOGS:
             folded = self._summed(name, through_batch).withColumn("upto", F.lit(through_batch).cast("bigint"))
-            _write(folded, self.path(name + "_base"), ["upto"])
+            _write(folded, self.path(name + "_base"), ["upto", "date"])
 
     # ------------------------------------------------------------- table views
 
@@ -152,13 +158,18 @@ class AdClickStreamJob:
         clicks = clicks.persist()          # read twice: hot-user count and the anti join
         kept = ads.anti_join_blacklist(clicks, listed_before).persist()
         try:
+            # the days present in this micro-batch (one or two for a live stream; bounded by
+            # the days of late data): every read of a log below prunes to these partitions
+            days = [r[0] for r in kept.select(F.to_date("ts").alias("d")).distinct().collect()]
+            day_keys = [d.strftime("%Y-%m-%d") for d in days]
+            date_keys = [d.strftime("%Y%m%d") for d in days]
             # 3. this batch's user/ad counts
             counts = ads.user_daily_clicks(kept).withColumn("batch_id", bid)
             _write(counts, self.path("user_clicks"), ["date", "batch_id"])
 
             # 4. users whose cumulative count reaches the threshold; the log is read back
             #    only for the (date) partitions of this batch's keys
-            log = self.log_rows("user_clicks", batch_id)
+            log = self.log_rows("user_clicks", batch_id, day_keys)
             keys = counts.select("date", "user_id", "ad_id")
             cumulative = (log.join(keys, ["date", "user_id", "ad_id"], "left_semi")
                           .groupBy("date", "user_id", "ad_id")
@@ -174,9 +185,7 @@ class AdClickStreamJob:
             _write(stat, self.path("ad_stat_log"), ["date", "batch_id"])
 
             # 6. top-k per (date, province) for the dates touched by this batch
-            stat_log = self.log_rows("ad_stat_log", batch_id)
-            touched = stat.select("date").distinct()
-            current = (stat_log.join(touched, "date", "left_semi")
+            current = (self.log_rows("ad_stat_log", batch_id, date_keys)
                        .groupBy("date", "province", "city", "ad_id")
                        .agg(F.sum("click_count").cast("bigint").alias("click_count")))
             top = ads.province_top_ads(current, self.top_k)

@@ -96,3 +96,20 @@ def test_area_top_products(spark):
     assert got["华东"] == (12, "A level") and got["华北"] == (10, "A level") and got["华南"] == (13, "B level")
     lv = spark.createDataFrame([("东北",), ("西南",), ("x",)], "area string")
     assert rows(lv.select(areas.area_level(F.col("area")))) == [("C level",), ("D level",), ("D level",)]
+
+
+def test_topk_groups_never_exceed_k(spark):
+    from conftest import SF01
+    from visitlens.operators import ads, sessions as ses
+
+    acts = fx.user_visit_action(spark, SF01)
+    full = areas.area_product_full(areas.area_product_clicks(
+        areas.area_click_basic(ses.scan_click_actions(acts, None, None), fx.city_info(spark))),
+        fx.product_info(spark, SF01))
+    assert areas.area_top_products(full, 3).groupBy("area").count().where("count > 3").count() == 0
+    ts = cat.top_sessions_per_category(acts, 10, 10)
+    assert ts.select("category_id").distinct().count() == 10
+    assert ts.groupBy("category_id").count().where("count > 10").count() == 0
+    top3 = ads.province_top_ads(ads.ad_stat(fx.ad_clicks(spark, SF01)), 3)
+    assert top3.groupBy("date", "province").count().where("count > 3").count() == 0
+    assert cat.top_categories(acts, 10).count() == 10

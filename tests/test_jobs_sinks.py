@@ -74,3 +74,27 @@ def test_cluster_settings():
     small = cluster_settings(10 << 30, executor_cores=8, executors=10)
     assert small["spark.sql.shuffle.partitions"] == "160"          # two waves of 80 slots
     assert small["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_cli_runs_jobs_from_task_table(spark):
+    from visitlens.plans import cli
+
+    base = tempfile.mkdtemp(prefix="vl-cli-")
+    inp = {name: os.path.join(base, name) for name in ("actions", "users", "products", "cities")}
+    fx.user_visit_action(spark, SF001).write.parquet(inp["actions"])
+    fx.user_info(spark, SF001).write.parquet(inp["users"])
+    fx.product_info(spark, SF001).write.parquet(inp["products"])
+    fx.city_info(spark).write.parquet(inp["cities"])
+    tasks = os.path.join(base, "tasks.json")
+    fx.task_table(spark).coalesce(1).write.json(tasks)
+    out = os.path.join(base, "out")
+    cli.main(["session", "--task-id", "1", "--tasks", tasks + "/", "--actions", inp["actions"],
+              "--users", inp["users"], "--out", out], spark=spark)
+    stat = spark.read.parquet(os.path.join(out, "session_aggr_stat")).first()
+    assert stat["task_id"] == 1 and stat["session_count"] > 0
+    cli.main(["funnel", "--task-id", "3", "--params", '{"targetPageFlow": ["1,2,3"]}',
+              "--actions", inp["actions"], "--out", out], spark=spark)
+    assert spark.read.parquet(os.path.join(out, "page_split_convert_rate")).first()["task_id"] == 3
+    cli.main(["area", "--task-id", "4", "--tasks", tasks + "/", "--actions", inp["actions"],
+              "--cities", inp["cities"], "--products", inp["products"], "--out", out], spark=spark)
+    assert spark.read.parquet(os.path.join(out, "area_top3_product")).count() >= 0

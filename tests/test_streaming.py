@@ -135,3 +135,17 @@ def test_state_store_forms(spark):
     assert out["stat"] == want_stat
     assert out["stat_ret"] == want_stat
     assert out["trend"] == want_trend
+
+
+def test_cli_ads_stream(spark):
+    from visitlens.plans import cli
+
+    base = tempfile.mkdtemp(prefix="vl-cli-ads-")
+    src = os.path.join(base, "in")
+    groups = write_day_files(spark, src, days=set())
+    write_day_files(spark, src, days=set(groups[:2]))
+    cli.main(["ads", "--lines", src, "--state", os.path.join(base, "tables"),
+              "--checkpoint", os.path.join(base, "ckpt"), "--threshold", str(THRESHOLD),
+              "--available-now"], spark=spark)
+    job = AdClickStreamJob(spark, os.path.join(base, "tables"), threshold=THRESHOLD)
+    assert job.ad_stat().count() > 0 and job.user_clicks().count() > 0

@@ -48,11 +48,16 @@ def run_session_job(actions: DataFrame, users: DataFrame, params: TaskParams, ta
     results = {
         "session_aggr_stat": _stamp(ses.session_aggr_stat(filtered), task_id),
         "session_random_extract": _stamp(picked, task_id),
-        "session_detail": _stamp(ses.session_detail(detail, picked), task_id),
+        # the sample holds at most ``extract_total`` sessions: a bounded broadcast
+        "session_detail": _stamp(
+            detail.join(F.broadcast(picked.select("session_id")), "session_id", "left_semi"), task_id),
         "top10_category": _stamp(top, task_id),
         "top10_category_session": _stamp(top_sess.select("category_id", "session_id", "click_count"), task_id),
+        # one copy per (category, session) ranked, tagged with the category; at most
+        # top_categories * top_sessions pairs are broadcast
         "top10_session_detail": _stamp(
-            detail.join(F.broadcast(top_sess.select("session_id")), "session_id", "inner"), task_id),
+            detail.join(F.broadcast(top_sess.select("category_id", "session_id")), "session_id", "inner"),
+            task_id),
     }
     results[_PERSISTED] = [filtered, detail]  # type: ignore[assignment]
     return results

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,19 +17,35 @@ from visitlens.session import checkpoint_dir
 SLICE_ROWS = 256
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """In local mode, Python workers find this package where the driver did.
+
+    On a cluster the package is installed or shipped with --py-files.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and "PYTHONPATH" not in sc.environment:
+        sc.environment["PYTHONPATH"] = str(Path(__file__).parents[2])
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only id and text (null text: empty); other columns, whatever their names, fall away."""
+    let_workers_import(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage without a machine-local copy: the files outlive any executor.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,6 +14,8 @@ import regex
 BYTE_LEVEL = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Texts of only these characters are cut by BYTE_LEVEL here as in the library; others go to the library whole.
 PLAIN = regex.compile(r"[\t\n\r -~¡-ɏ‐-‧‰-⁞]*")
+#: White space that doesn't stand alone between other characters, or is neither blank nor line feed.
+RUNS = regex.compile(r"[ \n][ \n]|^[ \n]|[ \n]\Z|[\t\r]")
 
 
 class SentencePieceKeys:
@@ -41,6 +43,12 @@ class SentencePieceKeys:
     def split(self, text: str) -> list[str]:
         return sentencepiece_keys(text)
 
+    def pretokens(self, key: str) -> list[str]:
+        return [key]
+
+    def encode_pretoken(self, key: str) -> list[int]:
+        return self.encode(key)
+
     def encode(self, key: str) -> list[int]:
         if key == "":
             return [self.blank]
@@ -82,16 +90,35 @@ class ByteLevelKeys:
         if state["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
             raise ValueError("only byte-level files without normaliser and prefix space are cut here")
         self.special = [t["content"] for t in state["added_tokens"]]
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # the callers' caches are larger
+        shown = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
     def split(self, text: str) -> list[str] | None:
-        """None: the text must be encoded whole (special strings, characters outside PLAIN)."""
+        """None: the text must be encoded whole (special strings, characters outside PLAIN).
+
+        Where no two blanks or line feeds meet and none stands at an end, every blank or line
+        feed begins a pre-token, so the text is cut there; a key may be several pre-tokens.
+        """
         if any(s in text for s in self.special) or not PLAIN.fullmatch(text):
             return None
+        if text and not RUNS.search(text):
+            first, *rest = text.replace("\n", " \n").split(" ")
+            return [first, *[k if k[0] == "\n" else " " + k for k in rest]]
         return BYTE_LEVEL.findall(text)
 
+    def pretokens(self, key: str) -> list[str]:
+        return BYTE_LEVEL.findall(key)
+
     def encode(self, key: str) -> list[int]:
         return self.tokenizer.encode(key, add_special_tokens=False).ids
 
+    def encode_pretoken(self, key: str) -> list[int]:
+        """Ids of one pre-token, from the library's model without its splitting of texts."""
+        return [t.id for t in self.model.tokenize(key.encode().decode("latin-1").translate(self.letters))]
+
     def encode_whole(self, text: str) -> list[int]:
         return self.encode(text)
 

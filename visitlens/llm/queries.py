@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import sentencepiece_fst, token_counts
+from visitlens.llm import quality_rules, sentencepiece_fst, token_counts, token_files
+from visitlens.llm.common import fresh_path
 
 #: Production parameters.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -26,10 +27,48 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL, limit=4096)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-]+') AS ws,
+         list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^ 	-]')) AS ls FROM d),
+win AS (
+  SELECT rid, i, struct_pack(a := ws[i], b := ws[i + 1], c := ws[i + 2]) AS k
+  FROM w, unnest(range(1, len(ws) - 1)) AS u(i)),
+twice AS (SELECT rid, k FROM win GROUP BY rid, k HAVING count(*) > 1),
+covered AS (
+  SELECT rid, count(DISTINCT i + o) AS n FROM win JOIN twice USING (rid, k), (VALUES (0), (1), (2)) AS s(o) GROUP BY rid),
+m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN covered USING (rid)),
+b AS (
+  SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 100 * n_symbols > 15 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 10 * n_words THEN 8 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)::BIGINT AS failed
+  FROM m)
+SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM b
+"""
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fresh_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), BYTE_MODEL, out, end_id=0)
+    return token_files.read(spark, out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op4_quality_rules": op4_quality_rules,
+    "op7_token_files": op7_token_files,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_quality_rules": OP4_SQL}

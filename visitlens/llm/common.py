@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,7 +134,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) ->
     """(ids, texts) in pieces of about ``max_bytes`` of text; a longer single text comes alone."""
     for batch in batches:
         ids, column = batch.column(0), batch.column(1)
-        sizes = np.asarray(pa.compute.binary_length(column), dtype=np.int64)
+        sizes = np.asarray(pc.binary_length(column), dtype=np.int64)
         part = (np.cumsum(sizes) - sizes) // max_bytes
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):

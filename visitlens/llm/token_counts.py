@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,7 +134,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, table: bytes | N
                 keys = coder.split(text)
                 counts.append(len(coder.encode_whole(text)) if keys is None else sum(map(look, keys)))
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.compute.binary_length(piece.column(1)).cast(pa.int64()),
+                [piece.column(0), pc.binary_length(piece.column(1)).cast(pa.int64()),
                  pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     counted = id_text(docs).mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")

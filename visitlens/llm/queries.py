@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from visitlens.llm import quality_rules, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -35,8 +36,10 @@ OP4_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
-  SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-]+') AS ws,
-         list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^ 	-]')) AS ls FROM d),
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-
+]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) AS ls FROM d),
 win AS (
   SELECT rid, i, struct_pack(a := ws[i], b := ws[i + 1], c := ws[i + 2]) AS k
   FROM w, unnest(range(1, len(ws) - 1)) AS u(i)),
@@ -44,7 +47,7 @@ twice AS (SELECT rid, k FROM win GROUP BY rid, k HAVING count(*) > 1),
 covered AS (
   SELECT rid, count(DISTINCT i + o) AS n FROM win JOIN twice USING (rid, k), (VALUES (0), (1), (2)) AS s(o) GROUP BY rid),
 m AS (
-  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum([length(x) FOR x IN ws]), 0)::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN covered USING (rid)),
@@ -63,11 +66,21 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, out)
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, whose texts hold the format's control strings."""
+    odd = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(extra)
+    return reply_trees.digests(reply_trees.conversations(reply_trees.chain_messages(rows)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op7_token_files": op7_token_files,
+    "op9_chat_format": op9_chat_format,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import near_dedup, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -28,6 +28,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL, limit=4096)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
 
@@ -78,6 +82,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
+    "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op7_token_files": op7_token_files,
     "op9_chat_format": op9_chat_format,

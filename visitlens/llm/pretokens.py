@@ -7,15 +7,16 @@ key's ids (or only their number) may be looked up, whatever text it stands in.
 from __future__ import annotations
 
 import os
-
-import regex
-
-#: Fixed value: the splitting pattern of byte-level BPE files of the GPT-2 family.
-BYTE_LEVEL = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-#: Texts of only these characters are cut by BYTE_LEVEL here as in the library; others go to the library whole.
-PLAIN = regex.compile(r"[\t\n\r -~¡-ɏ‐-‧‰-⁞]*")
+import re
+
+#: Letters and numbers (\p{L}, \p{N}) among the characters of PLAIN.
+_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+#: Fixed value: the splitting pattern of byte-level BPE files of the GPT-2 family, for texts of PLAIN characters.
+BYTE_LEVEL = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
+#: A character outside PLAIN; texts with one go to the library whole.
+ODD = re.compile("[^\t\n\r -~¡-ɏ‐-‧‰-⁞]")
 #: White space that doesn't stand alone between other characters, or is neither blank nor line feed.
-RUNS = regex.compile(r"[ \n][ \n]|^[ \n]|[ \n]\Z|[\t\r]")
+RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r")
 
 
 class SentencePieceKeys:
@@ -59,7 +60,7 @@ class SentencePieceKeys:
         return self.sp.encode(text)
 
 
-_KEY = regex.compile(r"\n[^ \n]*| ( *[^ \n]*)")
+_KEY = re.compile(r"\n[^ \n]*| ( *[^ \n]*)")
 
 
 def sentencepiece_keys(text: str) -> list[str]:
@@ -101,26 +102,33 @@ class ByteLevelKeys:
 
         Where no two blanks or line feeds meet and none stands at an end, every blank or line
         feed begins a pre-token, so the text is cut there; a key may be several pre-tokens.
+        A key stands for itself with a blank ahead if it doesn't begin with a line feed or,
+        as a mark, a zero character; the mark is not part of the text.
         """
-        if any(s in text for s in self.special) or not PLAIN.fullmatch(text):
+        if ODD.search(text) or any(s in text for s in self.special):
             return None
-        if text and not RUNS.search(text):
-            first, *rest = text.replace("\n", " \n").split(" ")
-            return [first, *[k if k[0] == "\n" else " " + k for k in rest]]
-        return BYTE_LEVEL.findall(text)
+        if not text:
+            return []
+        if text[0] in " \n" or text[-1] in " \n" or any(r in text for r in RUNS):
+            return ["\0" + k for k in BYTE_LEVEL.findall(text)]
+        return ("\0" + text.replace("\n", " \n")).split(" ")
+
+    @staticmethod
+    def text_of(key: str) -> str:
+        return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
 
     def pretokens(self, key: str) -> list[str]:
-        return BYTE_LEVEL.findall(key)
+        return BYTE_LEVEL.findall(self.text_of(key))
 
     def encode(self, key: str) -> list[int]:
-        return self.tokenizer.encode(key, add_special_tokens=False).ids
+        return self.encode_whole(self.text_of(key))
 
     def encode_pretoken(self, key: str) -> list[int]:
         """Ids of one pre-token, from the library's model without its splitting of texts."""
         return [t.id for t in self.model.tokenize(key.encode().decode("latin-1").translate(self.letters))]
 
     def encode_whole(self, text: str) -> list[int]:
-        return self.encode(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def keys_of(path: str) -> SentencePieceKeys | ByteLevelKeys:

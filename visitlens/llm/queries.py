@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import near_dedup, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import embedding_dedup, near_dedup, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -64,6 +64,10 @@ SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM b
 """
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), at_least=0.95)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), BYTE_MODEL, out, end_id=0)
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_token_files": op7_token_files,
     "op9_chat_format": op9_chat_format,
 }

@@ -12,6 +12,7 @@ selector at a time.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ BITS = (0, *(60 // n for n in PER_WORD[1:]))
 MAGIC, VERSION = 0x53384231, 1
 #: A block is closed once it has this many ids (one longer document still is one block).
 BLOCK_IDS = 1 << 17
-CACHE_ENTRIES, KEY_CHARS = 1 << 18, 64
+#: Entries of the worker caches' generations: keys and, below them, pre-tokens.
+CACHE_ENTRIES, PRETOKEN_ENTRIES, KEY_CHARS = 1 << 18, 1 << 19, 64
 BLOCK_COLUMNS = "shard int, before long, n_ids long, body binary"
 
 _SELECTOR = np.zeros(61, np.uint64)
@@ -139,7 +141,7 @@ def _coder(path: str):
     if path not in _workers:
         _workers.clear()
         keys = keys_of(path)
-        pre = WorkerCache(lambda k: np.array(keys.encode_pretoken(k), "<u4").tobytes(), CACHE_ENTRIES)
+        pre = WorkerCache(lambda k: array("I", keys.encode_pretoken(k)).tobytes(), PRETOKEN_ENTRIES)
         parts = lambda k: b"".join(map(pre.__getitem__, keys.pretokens(k)))
         _workers[path] = (keys, WorkerCache(parts, CACHE_ENTRIES))
     return _workers[path]

@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import embedding_dedup, near_dedup, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import embedding_dedup, near_dedup, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Documents of at least this score are predicted good.
+KEEP_SCORE = 0.7
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -83,6 +86,22 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_trees.digests(reply_trees.conversations(reply_trees.chain_messages(rows)))
 
 
+def id_remainder(n: int) -> Column:
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % F.lit(n)
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Scores of ``docs``, learned from the labelled rows of ``documents`` whose remainder isn't 2."""
+    model = quality_knn.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder(4) != 2)
+    return quality_knn.score(docs, model).withColumn("predicted", (F.col("score") >= KEEP_SCORE).cast("int"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return scored.select("doc_id", (id_remainder(4) == 2).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -91,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_token_files": op7_token_files,
     "op9_chat_format": op9_chat_format,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import embedding_dedup, near_dedup, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -67,6 +67,16 @@ SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM b
 """
 
 
+def byte_lengths(docs: DataFrame) -> DataFrame:
+    """Lengths for packing: a byte-level model's tokens (UTF-8 bytes) and one end; nothing for a null or empty text."""
+    n = F.octet_length("text").cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(n > 0, n + 1).alias("length"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(byte_lengths(table(spark, sf_dir, "documents")))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), at_least=0.95)
 
@@ -88,7 +98,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def id_remainder(n: int) -> Column:
     """crc32 of the id as text, modulo n."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % F.lit(n)
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
 def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -107,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_packing": op5_packing,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_token_files": op7_token_files,
     "op9_chat_format": op9_chat_format,

@@ -142,3 +142,37 @@ def text_slices(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) ->
                 yield ids.slice(a, b - a), column.slice(a, b - a).to_pylist()
 
 
+
+
+class HashIndex:
+    """Positions of distinct 64-bit hashes, found for whole arrays at once (open addressing in numpy)."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.at = np.full(1 << self.bits, -1, np.int32)
+        left = np.arange(len(keys))
+        slot = self._first(keys)
+        while len(left):
+            free = self.at[slot[left]] < 0
+            now = left[free]
+            self.at[slot[now]] = now  # of several that want one slot, the last gets it
+            won = now[self.at[slot[now]] == now]
+            self.keys[slot[won]] = keys[won]
+            left = np.setdiff1d(left, won, assume_unique=True)
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The position of each key, -1 where it isn't there."""
+        slot = self._first(keys)
+        found = self.at[slot]
+        left = np.flatnonzero((found >= 0) & (self.keys[slot] != keys))
+        while len(left):
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            here = self.at[slot[left]]
+            found[left] = here
+            left = left[(here >= 0) & (self.keys[slot[left]] != keys[left])]
+        return found

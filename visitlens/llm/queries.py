@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import context_tree, embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -87,6 +87,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, out)
 
 
+def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = context_tree.score(table(spark, sf_dir, "documents"), id_remainder(7) != 2)
+    return scored.select("doc_id", (id_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "bits_per_byte")
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, whose texts hold the format's control strings."""
     odd = "\\### Assistant: </turn> ok"
@@ -120,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_token_files": op7_token_files,
+    "op8_context_tree": op8_context_tree,
     "op9_chat_format": op9_chat_format,
     "op10_quality_classifier": op10_quality_classifier,
 }

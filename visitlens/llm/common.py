@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from visitlens.session import checkpoint_dir
 
@@ -130,18 +131,50 @@ def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.nd
     return mix64(hashes), starts
 
 
+def cuts(column: pa.Array, max_bytes: int) -> list[tuple[int, int]]:
+    """Ranges of rows with about ``max_bytes`` of text each; a longer single text comes alone."""
+    if not len(column):
+        return []
+    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
+    part = (np.cumsum(sizes) - sizes) // max_bytes
+    at = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(column)]
+    return list(zip(at, at[1:]))
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[tuple[pa.Array, list[str]]]:
-    """(ids, texts) in pieces of about ``max_bytes`` of text; a longer single text comes alone."""
+    """(ids, texts) of (id, text) batches in pieces of about ``max_bytes`` of text."""
     for batch in batches:
         ids, column = batch.column(0), batch.column(1)
-        sizes = np.asarray(pc.binary_length(column), dtype=np.int64)
-        part = (np.cumsum(sizes) - sizes) // max_bytes
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                yield ids.slice(a, b - a), column.slice(a, b - a).to_pylist()
+        for a, b in cuts(column, max_bytes):
+            yield ids.slice(a, b - a), column.slice(a, b - a).to_pylist()
+
+
+def fresh_prefix(df: DataFrame) -> str:
+    """A prefix for new columns that no column of ``df`` begins with, in any case."""
+    prefix = "x_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = "x" + prefix
+    return prefix
+
+
+def append_from_text(docs: DataFrame, compute: Callable[[list[str]], list[pa.Array]], fields: str,
+                     text_col: str = "text", max_bytes: int = 1 << 20) -> DataFrame:
+    """All columns of ``docs`` and those of ``fields`` (DDL), computed from slices of texts (null: empty).
+
+    Map-only: rows stay where they are. The new names must differ from the columns of ``docs``.
+    """
+    let_workers_import(docs.sparkSession)
+    new = StructType.fromDDL(fields)
+    at, names = docs.columns.index(text_col), [*docs.columns, *new.fieldNames()]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in cuts(batch.column(at), max_bytes):
+                piece = batch.slice(a, b - a)
+                texts = [t or "" for t in piece.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*piece.columns, *compute(texts)], names=names)
 
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *new.fields]))
 
 
 class HashIndex:

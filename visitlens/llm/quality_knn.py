@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import _SPACE, id_text, mix64, text_slices, word_hashes
+from visitlens.llm.common import _SPACE, append_from_text, fresh_prefix, id_text, mix64, text_slices, word_hashes
 
 #: Labelled rows of each class to fit on, hashed features, latent dimensions, voting neighbours.
 SAMPLE, FEATURES, LATENT, NEIGHBOURS = 1500, 1024, 48, 25
@@ -188,10 +188,15 @@ def score(docs: DataFrame, model: Voters) -> DataFrame:
 
     An empty table gives none; other columns are ignored. Very long texts are scored whole.
     """
+    return _scored(id_text(docs), model, "score").drop("text")
+
+
+def _scored(docs: DataFrame, model: Voters, name: str) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    return append_from_text(docs, lambda texts: [pa.array(sent.value.score(features(texts)))], f"{name} double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_slices(batches, 1 << 20):
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sent.value.score(features(texts)))], names=["doc_id", "score"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, score double")
+def keep_good(docs: DataFrame, model: Voters, at_least: float) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, with at least this score. No shuffle."""
+    name = fresh_prefix(docs) + "score"
+    return _scored(docs, model, name).filter(F.col(name) >= at_least).select(*docs.columns)

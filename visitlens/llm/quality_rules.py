@@ -7,7 +7,6 @@ asking what one rule alone removes never reads a text again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import _SPACE, id_text, text_slices, word_hashes
+from visitlens.llm.common import _SPACE, append_from_text, fresh_prefix, id_text, word_hashes
 
 #: Symbols counted by ``n_symbols`` (fixed value).
 SYMBOLS = b"#*$%&|<>"
@@ -33,9 +32,9 @@ class Rule:
     fails: Column = field(compare=False)
 
 
-def rules() -> list[Rule]:
-    """All rules in the order of their bits. Bits are never reused for another rule."""
-    c = F.col
+def rules(prefix: str = "") -> list[Rule]:
+    """All rules in the order of their bits, on measurements named with ``prefix``. Bits are never reused for another rule."""
+    c = lambda name: F.col(prefix + name)
     tests = [
         ("too_few_words", c("n_words") < 50),
         ("repeated_windows", 100 * c("n_repeat_words") > 50 * c("n_words")),
@@ -125,17 +124,25 @@ def ledger(docs: DataFrame) -> DataFrame:
     counts from its second time on. Null ids and repeated rows are kept, an empty table gives
     an empty ledger, other columns are ignored. A single text is measured whole.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_slices(batches):
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, pa.int64()) for x in _measure(texts))],
-                                             names=["doc_id", *MEASURES])
+    return _book(id_text(docs)).drop("text")
 
-    measured = id_text(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
-    bits = [F.when(r.fails, F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long")) for r in rules()]
+
+def _book(docs: DataFrame, prefix: str = "") -> DataFrame:
+    """``docs`` with the measurements and ``failed`` appended, under names with ``prefix``."""
+    measured = append_from_text(docs, lambda texts: [pa.array(x, pa.int64()) for x in _measure(texts)],
+                                ", ".join(f"{prefix}{m} long" for m in MEASURES), max_bytes=8 << 20)
+    bits = [F.when(r.fails, F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long")) for r in rules(prefix)]
     total = bits[0]
     for b in bits[1:]:
         total = total.bitwiseOR(b)
-    return measured.withColumn("failed", total)
+    return measured.withColumn(f"{prefix}failed", total)
+
+
+def keep_passing(docs: DataFrame, version: int = max(POLICIES)) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the policy keeps. No shuffle."""
+    prefix = fresh_prefix(docs)
+    passing = F.col(f"{prefix}failed").bitwiseAND(F.lit(POLICIES[1] | POLICIES[version]).cast("long")) == 0
+    return _book(docs, prefix).filter(passing).select(*docs.columns)
 
 
 def apply_policy(book: DataFrame, version: int = max(POLICIES)) -> DataFrame:

@@ -107,15 +107,15 @@ def id_remainder(n: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Scores of ``docs``, learned from the labelled rows of ``documents`` whose remainder isn't 2."""
-    model = quality_knn.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder(4) != 2)
-    return quality_knn.score(docs, model).withColumn("predicted", (F.col("score") >= KEEP_SCORE).cast("int"))
+def quality_model(spark: SparkSession, sf_dir: str) -> quality_knn.Voters:
+    """Learned from the labelled rows of ``documents`` whose remainder isn't 2."""
+    return quality_knn.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder(4) != 2)
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality_scores(spark, table(spark, sf_dir, "documents"), sf_dir)
-    return scored.select("doc_id", (id_remainder(4) == 2).alias("held_out"), "score", "predicted")
+    scored = quality_knn.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", (id_remainder(4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -101,11 +101,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
+    """base^0 to base^(n-1) modulo 2^64; those of usual lengths are kept."""
+    if n > len(_powers.get(int(base), ())):
+        out = np.full(max(n, _KEPT_POWERS), base, np.uint64)
         out[0] = 1
+        with np.errstate(over="ignore"):
+            np.multiply.accumulate(out, out=out)
+        if n > _KEPT_POWERS:
+            return out
+        _powers[int(base)] = out
+    return _powers[int(base)][:n]
+
+
+_KEPT_POWERS = 1 << 22
+_powers: dict[int, np.ndarray] = {}
+
+
+def span_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans of a byte array: differences of prefix sums modulo 2^64."""
     with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTE[raw] * powers(_P, len(raw)), dtype=np.uint64, out=sums[1:])
+        return mix64((sums[end] - sums[begin]) * powers(_P_INV, len(raw) + 1)[begin])
 
 
 def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -123,12 +140,9 @@ def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.nd
     before = np.concatenate(([True], space[:-1]))
     begin = np.flatnonzero(before & ~space)
     end = np.flatnonzero(space & ~before)
-    with np.errstate(over="ignore"):
-        terms = _BYTE[raw] * powers(_P, len(raw))
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
-        hashes = (sums[end] - sums[begin]) * powers(_P_INV, len(raw) + 1)[begin]
+    hashes = span_hashes(raw, begin, end)
     starts = np.concatenate(([0], np.searchsorted(begin, ends_of_text))).astype(np.int64)
-    return mix64(hashes), starts
+    return hashes, starts
 
 
 def cuts(column: pa.Array, max_bytes: int) -> list[tuple[int, int]]:
@@ -180,20 +194,33 @@ def append_from_text(docs: DataFrame, compute: Callable[[list[str]], list[pa.Arr
 class HashIndex:
     """Positions of distinct 64-bit hashes, found for whole arrays at once (open addressing in numpy)."""
 
-    def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(2 * len(keys)).bit_length())
-        self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.at = np.full(1 << self.bits, -1, np.int32)
-        left = np.arange(len(keys))
+    def __init__(self, keys: np.ndarray | None = None):
+        self.size = 0
+        self._empty(4)
+        if keys is not None:
+            self.add(keys)
+
+    def _empty(self, bits: int) -> None:
+        self.bits = bits
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.at = np.full(1 << bits, -1, np.int32)
+
+    def add(self, keys: np.ndarray) -> None:
+        """Distinct new keys get the next positions."""
+        position = np.arange(self.size, self.size + len(keys), dtype=np.int32)
+        self.size += len(keys)
+        if 2 * self.size > len(self.at):
+            there = self.at >= 0
+            keys, position = np.concatenate([self.keys[there], keys]), np.concatenate([self.at[there], position])
+            self._empty(int(4 * self.size).bit_length())
         slot = self._first(keys)
+        left = np.arange(len(keys))
         while len(left):
-            free = self.at[slot[left]] < 0
-            now = left[free]
-            self.at[slot[now]] = now  # of several that want one slot, the last gets it
-            won = now[self.at[slot[now]] == now]
-            self.keys[slot[won]] = keys[won]
-            left = np.setdiff1d(left, won, assume_unique=True)
-            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            now = left[self.at[slot[left]] < 0]
+            self.at[slot[now]] = position[now]  # of several that want one slot, the last gets it
+            self.keys[slot[now]] = keys[now]
+            left = left[self.at[slot[left]] != position[left]]
+            slot[left] = (slot[left] + 1) & (len(self.at) - 1)
 
     def _first(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -204,8 +231,91 @@ class HashIndex:
         found = self.at[slot]
         left = np.flatnonzero((found >= 0) & (self.keys[slot] != keys))
         while len(left):
-            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            slot[left] = (slot[left] + 1) & (len(self.at) - 1)
             here = self.at[slot[left]]
             found[left] = here
             left = left[(here >= 0) & (self.keys[slot[left]] != keys[left])]
         return found
+
+
+class KeyedEncoder:
+    """Ids of whole texts from a growing table of the ids of their keys.
+
+    A key begins at the start of a text and at every blank or line feed. ``plain(text)`` says
+    whether a text's ids are its keys' ids one after the other; ``of_key`` encodes a key and
+    ``of_text`` any other text. Keys are known by a 64-bit hash and their length. At ``limit``
+    keys the table starts anew, so its size is bounded.
+    """
+
+    def __init__(self, plain: Callable[[str], bool], of_key: Callable[[str], bytes], of_text: Callable[[str], bytes],
+                 kind: np.dtype, limit: int = 1 << 21):
+        self.plain, self.of_key, self.of_text, self.kind, self.limit = plain, of_key, of_text, kind, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index = HashIndex()
+        self.start, self.count, self.length = (np.zeros(1 << 10, np.int32) for _ in range(3))
+        self.pool, self.filled = np.zeros(1 << 12, self.kind), 0
+
+    def _learn(self, hashes: np.ndarray, blob: bytes, begin: np.ndarray, end: np.ndarray) -> None:
+        ids = [self.of_key(blob[a:b].decode()) for a, b in zip(begin.tolist(), end.tolist())]
+        n = np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+        new = np.frombuffer(b"".join(ids), self.kind)
+        at = self.index.size
+        while at + len(n) > len(self.start):
+            self.start, self.count, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.count, self.length))
+        while self.filled + len(new) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.start[at:at + len(n)] = self.filled + np.cumsum(n) - n
+        self.count[at:at + len(n)], self.length[at:at + len(n)] = n, end - begin
+        self.pool[self.filled:self.filled + len(new)] = new
+        self.filled += len(new)
+        self.index.add(hashes)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, how many each text has)."""
+        plain = [bool(t) and self.plain(t) for t in texts]
+        ids, sizes = self._encode_plain([t for t, p in zip(texts, plain) if p])
+        if all(plain):
+            return ids, sizes
+        whole = [b"" if p else self.of_text(t) for t, p in zip(texts, plain)]
+        lengths = np.array([len(w) // self.kind.itemsize for w in whole], np.int64)
+        lengths[plain] = sizes
+        parts, at = [], 0
+        for w, p, n in zip(whole, plain, lengths.tolist()):
+            parts.append(ids[at:at + n] if p else np.frombuffer(w, self.kind))
+            at += n if p else 0
+        return np.concatenate(parts) if parts else ids, lengths
+
+    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not texts:
+            return np.empty(0, self.kind), np.empty(0, np.int64)
+        blobs = [t.encode() for t in texts]
+        blob = b"".join(blobs)
+        raw = np.frombuffer(blob, np.uint8)
+        ends = np.cumsum([len(b) for b in blobs])
+        first = (raw == 0x20) | (raw == 0x0A)
+        first[0] = True
+        first[ends[:-1]] = True
+        begin = np.flatnonzero(first)
+        end = np.append(begin[1:], len(raw))
+        hashes = span_hashes(raw, begin, end)
+        at = self.index.find(hashes)
+        if (at < 0).any():
+            if self.index.size > self.limit:
+                self._clear()
+                at[:] = -1
+            _, new = np.unique(hashes[at < 0], return_index=True)
+            new = np.flatnonzero(at < 0)[new]
+            self._learn(hashes[new], blob, begin[new], end[new])
+            at = self.index.find(hashes)
+        n = self.count[at].astype(np.int64)
+        stops = np.cumsum(n)
+        ids = self.pool[np.repeat(self.start[at] - (stops - n), n) + np.arange(stops[-1])]
+        if (wrong := np.flatnonzero(self.length[at] != end - begin)).size:  # another key of the same hash
+            parts = np.split(ids, stops[:-1])
+            for k in wrong.tolist():
+                parts[k] = np.frombuffer(self.of_key(blob[begin[k]:end[k]].decode()), self.kind)
+                n[k] = len(parts[k])
+            ids, stops = np.concatenate(parts), np.cumsum(n)
+        return ids, np.diff(stops[np.searchsorted(begin, ends) - 1], prepend=0)

@@ -97,31 +97,26 @@ class ByteLevelKeys:
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    def split(self, text: str) -> list[str] | None:
-        """None: the text must be encoded whole (special strings, characters outside PLAIN).
+    def plain(self, text: str) -> bool:
+        """Whether a pre-token begins at every blank and line feed, and all of them are cut here as in the library.
 
-        Where no two blanks or line feeds meet and none stands at an end, every blank or line
-        feed begins a pre-token, so the text is cut there; a key may be several pre-tokens.
-        A key stands for itself with a blank ahead if it doesn't begin with a line feed or,
-        as a mark, a zero character; the mark is not part of the text.
+        So it is where no two blanks or line feeds meet, none stands at an end, and there are
+        neither special strings nor characters outside PLAIN.
         """
+        return not (ODD.search(text) or text[0] in " \n" or text[-1] in " \n" or any(s in text for s in self.special)
+                    or any(r in text for r in RUNS))
+
+    def split(self, text: str) -> list[str] | None:
+        """The pre-tokens; None: the text must be encoded whole."""
         if ODD.search(text) or any(s in text for s in self.special):
             return None
-        if not text:
-            return []
-        if text[0] in " \n" or text[-1] in " \n" or any(r in text for r in RUNS):
-            return ["\0" + k for k in BYTE_LEVEL.findall(text)]
-        return ("\0" + text.replace("\n", " \n")).split(" ")
-
-    @staticmethod
-    def text_of(key: str) -> str:
-        return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
+        return BYTE_LEVEL.findall(text)
 
     def pretokens(self, key: str) -> list[str]:
-        return BYTE_LEVEL.findall(self.text_of(key))
+        return BYTE_LEVEL.findall(key)
 
     def encode(self, key: str) -> list[int]:
-        return self.encode_whole(self.text_of(key))
+        return self.encode_pretoken(key)
 
     def encode_pretoken(self, key: str) -> list[int]:
         """Ids of one pre-token, from the library's model without its splitting of texts."""

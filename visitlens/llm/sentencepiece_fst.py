@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import WorkerCache, id_text, slices
+from visitlens.llm.common import KeyedEncoder, WorkerCache, id_text, slices, text_slices
 
 BLANK = "▁"
 #: Fixed values of the model file format: kinds of pieces.
@@ -37,8 +37,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Fixed value: an unknown character's weight is the lowest score less this.
 UNKNOWN_PENALTY = 10.0
 #: Entries of a worker cache's generation; longer stretches are never kept.
-CACHE_ENTRIES, CACHE_CHARS = 1 << 18, 48
+CACHE_ENTRIES, CACHE_CHARS = 1 << 17, 48
 PAIR_ENTRIES = 1 << 20
+#: Text that a task encodes at once.
+TEXT_BYTES = 1 << 20
 
 
 def _fields(blob: bytes) -> Iterator[tuple[int, object]]:
@@ -98,6 +100,7 @@ class PieceTransducer:
         self._beside = WorkerCache(self._left_alone, PAIR_ENTRIES)
         self.paths = WorkerCache(self.shortest_path, CACHE_ENTRIES)
         self.width = np.dtype("<u2" if len(pieces) <= 1 << 16 else "<u4")
+        self.table = KeyedEncoder(self._plain, self._key, lambda t: self._packed(self.normalise(t)), self.width)
         self.out = [self._output(p, kind) for p, _, kind in pieces]
 
     @classmethod
@@ -255,10 +258,25 @@ class PieceTransducer:
                 right = split[0]
 
     # -- whole texts
-    def encode(self, text: str) -> np.ndarray:
+    def _packed(self, text: str) -> bytes:
+        """Packed ids of a normalised text."""
         look, long = self.paths.__getitem__, self.shortest_path
-        parts = [look(s) if len(s) <= CACHE_CHARS else long(s) for s in self.stretches(self.normalise(text))]
-        return np.frombuffer(b"".join(parts), self.width)
+        return b"".join([look(s) if len(s) <= CACHE_CHARS else long(s) for s in self.stretches(text)])
+
+    def _key(self, key: str) -> bytes:
+        """Packed ids of a stretch between blanks or line feeds; at a text's start the dummy prefix is its blank."""
+        return self._packed(key if key[0] == "\n" else BLANK + key.removeprefix(" "))
+
+    def _plain(self, text: str) -> bool:
+        """Whether every blank stands alone between other characters, so that each begins a stretch."""
+        return (self.dummy_prefix and not self.squeeze and text[0] not in " \n" and "  " not in text and BLANK not in text)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self._packed(self.normalise(text)), self.width)
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, how many each has)."""
+        return self.table.encode(texts)
 
     def _output(self, piece: str, kind: int) -> bytes:
         if kind == BYTE:
@@ -293,12 +311,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(path)
-        for piece in slices(batches):
-            ids = [fst.encode(t).astype(np.int32) for t in piece.column(1).to_pylist()]
-            offsets = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
-            flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat)],
-                                             names=["doc_id", "ids"])
+        for docs_of, texts in text_slices(batches, TEXT_BYTES):
+            ids, sizes = fst.encode_many(texts)
+            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([docs_of, pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -326,15 +342,17 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         fst = transducer(path)
         is_byte = np.zeros(len(fst.pieces), bool)
         is_byte[list(fst.byte_ids.values())] = True
-        for piece in slices(batches):
+        for docs_of, texts in text_slices(batches, TEXT_BYTES):
+            flat, sizes = fst.encode_many(texts)
+            stops = np.cumsum(sizes).tolist()
             rows = []
-            for text in piece.column(1).to_pylist():
-                ids = fst.encode(text)
-                rows.append((len(ids), int(is_byte[ids].sum()), zlib.crc32(ids.astype("<u4").tobytes()),
+            for text, stop, n in zip(texts, stops, sizes.tolist()):
+                ids = flat[stop - n:stop]
+                rows.append((n, int(is_byte[ids].sum()), zlib.crc32(ids.astype("<u4").tobytes()),
                              fst.decode(ids) == (fst.normalise(text)[fst.dummy_prefix:]).replace(BLANK, " ")))
             columns = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.bool_())],
+                [docs_of, *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.bool_())],
                 names=["doc_id", "n_tokens", "n_fallback", "ids_crc32", "decoded_ok"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, n_fallback long, ids_crc32 long, decoded_ok boolean")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import WorkerCache, id_text, slices
+from visitlens.llm.common import KeyedEncoder, WorkerCache, id_text, slices, text_slices
 from visitlens.llm.pretokens import keys_of
 
 #: Fixed values of the format: ids per word by selector (0 is the escape) and the bits of each.
@@ -29,8 +29,10 @@ BITS = (0, *(60 // n for n in PER_WORD[1:]))
 MAGIC, VERSION = 0x53384231, 1
 #: A block is closed once it has this many ids (one longer document still is one block).
 BLOCK_IDS = 1 << 17
-#: Entries of the worker caches' generations: keys and, below them, pre-tokens.
-CACHE_ENTRIES, PRETOKEN_ENTRIES, KEY_CHARS = 1 << 18, 1 << 19, 64
+#: Text that a task encodes at once.
+TEXT_BYTES = 1 << 20
+#: Entries of a generation of the workers' cache of pre-tokens; longer pre-tokens aren't kept.
+PRETOKEN_ENTRIES, KEY_CHARS = 1 << 18, 64
 BLOCK_COLUMNS = "shard int, before long, n_ids long, body binary"
 
 _SELECTOR = np.zeros(61, np.uint64)
@@ -133,17 +135,17 @@ def read_block(body: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if x else d for d, x in zip(named, nulls)], lengths, unpack(words, n_ids)
 
 
-_workers: dict[str, tuple] = {}
+_workers: dict[str, KeyedEncoder] = {}
 
 
-def _coder(path: str):
-    """This worker's encoder: keys of a text, then a cache of keys over a cache of their pre-tokens."""
+def _coder(path: str) -> KeyedEncoder:
+    """This worker's encoder: a table of keys over a cache of their pre-tokens over the library."""
     if path not in _workers:
         _workers.clear()
         keys = keys_of(path)
         pre = WorkerCache(lambda k: array("I", keys.encode_pretoken(k)).tobytes(), PRETOKEN_ENTRIES)
-        parts = lambda k: b"".join(map(pre.__getitem__, keys.pretokens(k)))
-        _workers[path] = (keys, WorkerCache(parts, CACHE_ENTRIES))
+        of_key = lambda k: b"".join([pre[p] if len(p) <= KEY_CHARS else pre.compute(p) for p in keys.pretokens(k)])
+        _workers[path] = KeyedEncoder(keys.plain, of_key, lambda t: array("I", keys.encode_whole(t)).tobytes(), np.dtype("<u4"))
     return _workers[path]
 
 
@@ -158,33 +160,31 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 0, block_ids: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        keys, cache = _coder(path)
-        look, end = cache.__getitem__, np.array([end_id], "<u4").tobytes()
+        coder = _coder(path)
         shard = TaskContext.get().partitionId()
         names: list[int | None] = []
         lengths: list[int] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         waiting = before = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts)
             row = {"shard": shard, "before": before, "n_ids": len(ids), "body": block_bytes(names, lengths, ids)}
             return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
 
-        for piece in slices(batches):
-            for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                split = keys.split(text)
-                if split is None:
-                    raw = np.array(keys.encode_whole(text), "<u4").tobytes()
-                else:
-                    raw = b"".join([look(k) if len(k) <= KEY_CHARS else cache.compute(k) for k in split])
-                names.append(doc)
-                lengths.append(len(raw) // 4 + 1)
-                parts += (raw, end)
-                waiting += lengths[-1]
-                if waiting >= block_ids:
-                    yield flush()
-                    names, lengths, parts, before, waiting = [], [], [], before + waiting, 0
+        for docs_of, texts in text_slices(batches, TEXT_BYTES):
+            ids, sizes = coder.encode(texts)
+            with_end = np.full(len(ids) + len(sizes), end_id, "<u4")
+            inside = np.ones(len(with_end), bool)
+            inside[np.cumsum(sizes + 1) - 1] = False
+            with_end[inside] = ids
+            names += docs_of.to_pylist()
+            lengths += (sizes + 1).tolist()
+            parts.append(with_end)
+            waiting += len(with_end)
+            if waiting >= block_ids:
+                yield flush()
+                names, lengths, parts, before, waiting = [], [], [], before + waiting, 0
         if names:
             yield flush()
 

@@ -7,13 +7,16 @@ their Jaccard similarity. Four registers of 16 bits make one band.
 
 1. Documents with equal sets are one class; only classes go on.
 2. In every bucket (classes with one band value) all classes are paired with one hub, so a
-   bucket of n classes makes n - 1 pairs, whatever n.
-3. The joint likelihood of the registers and the known set sizes estimates the similarity; pairs
-   five standard deviations below the threshold are dropped.
-4. The others are confirmed on the full sets: first every class's best pair, then the pairs
-   that still connect different components.
-5. Completion: in buckets that hold several components, the classes outside the largest one
-   are compared with all classes of other components, so that no link between components is lost.
+   bucket of n classes makes n - 1 pairs, whatever n. The joint likelihood of the registers and the
+   known set sizes estimates their similarity; a class joins the cell of the first hub, in a
+   fixed random order, that may reach the threshold. So a group of thousands of near copies is
+   one cell, or a few, whether or not its members link with each other.
+3. Cells that share a bucket, and cells with themselves, are compared whole, in blocks: first
+   the registers (pairs of blocks without a likely pair go no further; likely means an
+   estimate of at least the threshold less five standard deviations), then the full sets, whose intersections are
+   products of incidence matrices. Only a spanning forest of each block pair's links leaves
+   the task, never its pairs.
+4. Links make components.
 
 With 32 bands a pair of similarity 0.8 meets in no bucket with probability (1 - 0.8^4)^32 < 6e-8.
 """
@@ -32,6 +35,8 @@ from visitlens.llm.common import id_text, materialize, mix64, text_slices, word_
 from visitlens.llm.components import components
 
 REGISTERS, BAND = 128, 4
+#: Classes in a block of a cell, shingles in a slice of an incidence matrix.
+BLOCK, SLICE = 128, 4096
 #: The sketch's scale: base and rate. Largest value with 32-bit hashes: about 25,200.
 BASE, RATE = 1.001, 20.0
 #: A surrogate node id, for a class whose smallest document id names another class already.
@@ -140,31 +145,101 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "registers").mapInArrow(run, "bucket long, node long")
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, estimate) of the pairs that may reach the threshold, by size and likelihood."""
-    at_least = percent / 100 - 5 * np.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS)
+def _least_estimate(percent: int) -> float:
+    j = percent / 100
+    return j - 5 * np.sqrt(j * (1 - j) / REGISTERS)
+
+
+def _registers(blobs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, REGISTERS)
+
 
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, hub) of the pairs that may reach the threshold, by size and likelihood."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("ra", "rb"))
-            n_a, n_b = (np.asarray(batch.column(c), dtype=np.float64) for c in ("na", "nb"))
-            j = joint_estimate(n_a, n_b, (x > y).sum(axis=1), (x < y).sum(axis=1))
-            keep = pa.array(j >= at_least)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(j)], names=["a", "b", "estimate"]).filter(keep)
+            x, y = _registers(batch.column("rx").to_pylist()), _registers(batch.column("ry").to_pylist())
+            n_x, n_y = (np.asarray(batch.column(c), dtype=np.float64) for c in ("nx", "ny"))
+            j = joint_estimate(n_x, n_y, (x > y).sum(axis=1), (x < y).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], names=["node", "hub"]).filter(pa.array(j >= _least_estimate(percent)))
+
+    one = nodes.select("node", F.col("n_shingles").alias("nx"), F.col("registers").alias("rx"))
+    two = nodes.select(F.col("node").alias("hub"), F.col("n_shingles").alias("ny"), F.col("registers").alias("ry"))
+    sized = pairs.join(one, "node").join(two, "hub").filter(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    return sized.select("node", "hub", "nx", "ny", "rx", "ry").mapInArrow(run, "node long, hub long")
+
+
+def _likely_blocks(pairs: DataFrame, percent: int) -> DataFrame:
+    """(cx, bx, cy, by) of the block pairs with a likely pair of different classes."""
+    def likely(n_x, x, n_y, y, same: bool) -> bool:
+        for at in range(0, len(n_x), 16):  # 16 rows against a whole block at a time
+            u = x[at:at + 16, None, :]
+            above, below = (u > y).sum(axis=2), (u < y).sum(axis=2)
+            a, b = (z.ravel() for z in np.broadcast_arrays(n_x[at:at + 16, None], n_y))
+            pick = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+            if same:
+                pick &= (np.arange(at, at + len(u))[:, None] < np.arange(len(n_y))).ravel()
+            if pick.any() and (joint_estimate(a[pick], b[pick], above.ravel()[pick], below.ravel()[pick]) >= _least_estimate(percent)).any():
+                return True
+        return False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [likely(np.frombuffer(r["nx"], np.float64), _registers([r["rx"]]), np.frombuffer(r["ny"], np.float64), _registers([r["ry"]]),
+                           (r["cx"], r["bx"]) == (r["cy"], r["by"])) for r in batch.select(["cx", "bx", "cy", "by", "nx", "rx", "ny", "ry"]).to_pylist()]
+            yield batch.select(["cx", "bx", "cy", "by"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(run, "cx long, bx int, cy long, by int")
+
+
+def intersections(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``one`` with every set of ``two`` (sorted hashes)."""
+    if len(one) * len(two) <= 16:
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in two] for x in one], np.int64).reshape(len(one), len(two))
+    shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    out = np.zeros((len(one), len(two)), np.int64)
+    sides = []
+    for sets in (one, two):
+        whole, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.searchsorted(shared, whole)
+        there = at < len(shared)
+        there[there] = shared[at[there]] == whole[there]
+        order = np.argsort(at[there], kind="stable")
+        sides.append((at[there][order], owner[there][order], len(sets)))
+    for low in range(0, len(shared), SLICE):
+        slabs = []
+        for column, owner, n in sides:
+            a, b = np.searchsorted(column, (low, low + SLICE))
+            slab = np.zeros((n, SLICE), np.float32)
+            slab[owner[a:b], column[a:b] - low] = 1
+            slabs.append(slab)
+        out += (slabs[0] @ slabs[1].T).astype(np.int64)
+    return out
 
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("registers").alias(f"r{c}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").filter(
-        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return sized.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, estimate double")
 
+def _forest(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what the links ``hit`` (left x right) connect, one fewer than the nodes of each tree."""
+    parent: dict[int, int] = {}
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of the full sets.
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
 
-    The texts of the classes in question travel compressed; a task rebuilds their sets.
-    """
+    out = []
+    for i, j in zip(*(z.tolist() for z in np.nonzero(hit))):
+        a, b = find(int(left[i])), find(int(right[j]))
+        if a != b:
+            parent[a] = b
+            out.append((int(left[i]), int(right[j])))
+    return out
+
+
+def _squeezed(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, squeezed): the compressed text of each class's smallest document."""
     import zstandard
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,52 +248,60 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
             yield pa.RecordBatch.from_arrays([ids, pa.array([coder.compress(t.encode()) for t in texts], pa.binary())], names=["doc_id", "squeezed"])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Only the text with the class's marks, should an id have several texts."""
+        """Only the text with the class's mark, should an id have several texts."""
         coder = zstandard.ZstdDecompressor()
         for batch in batches:
-            blobs = batch.column("squeezed").to_pylist()
             keep = []
-            for at in range(0, len(blobs), 64):
-                for s, m in zip(shingle_sets([coder.decompress(x).decode() for x in blobs[at:at + 64]], width), batch.column("mark1").slice(at, 64).to_pylist()):
-                    with np.errstate(over="ignore"):
-                        keep.append(int(s.sum(dtype=np.uint64).view(np.int64)) == m)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("squeezed")], names=["node", "squeezed"]).filter(pa.array(keep, pa.bool_()))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = zstandard.ZstdDecompressor()
-        for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                blobs = list(dict.fromkeys(part.column("xa").to_pylist() + part.column("xb").to_pylist()))
-                sets = dict(zip(blobs, shingle_sets([coder.decompress(x).decode() for x in blobs], width)))
-                keep = []
-                for x, y in zip(part.column("xa").to_pylist(), part.column("xb").to_pylist()):
-                    x, y = sets[x], sets[y]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(wanted, "node", "left_semi").select("node", F.col("rep").alias("doc_id"), "mark1")
+                sets = shingle_sets([coder.decompress(x).decode() for x in part.column("squeezed").to_pylist()], width)
+                with np.errstate(over="ignore"):
+                    keep += [int(s.sum(dtype=np.uint64).view(np.int64)) == m for s, m in zip(sets, part.column("mark1").to_pylist())]
+            yield batch.select(["node", "squeezed"]).filter(pa.array(keep, pa.bool_()))
+
     packed = id_text(docs).mapInArrow(squeeze, "doc_id long, squeezed binary")
-    texts = materialize(packed.join(wanted, "doc_id").select("node", "mark1", "squeezed")
-                        .mapInArrow(mark, "node long, squeezed binary").dropDuplicates(["node"]), "near-texts")
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("squeezed").alias(f"x{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "xa", "xb").mapInArrow(compare, "a long, b long")
+    named = nodes.select("node", F.col("rep").alias("doc_id"), "mark1")
+    return packed.join(named, "doc_id").select("node", "mark1", "squeezed").mapInArrow(mark, "node long, squeezed binary").dropDuplicates(["node"])
+
+
+def _links(pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): for each block pair a spanning forest of its pairs with 100 * intersection >= percent * union of the full sets."""
+    import zstandard
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdDecompressor()
+
+        def side(members) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+            sets = shingle_sets([coder.decompress(m["squeezed"]).decode() for m in members], width)
+            return np.array([m["node"] for m in members]), sets, np.array([len(s) for s in sets])
+
+        for batch in batches:
+            out = []
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                (x, sx, nx), (y, sy, ny) = side(row["mx"]), side(row["my"])
+                both = intersections(sx, sy)
+                hit = (100 * both >= percent * (nx[:, None] + ny - both)) & (x[:, None] != y)
+                out += _forest(hit, x, y)
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a long, b long")
 
 
 # ---------------------------------------------------------------- the operator
-def _label(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The pairs between different components."""
-    if labels is None:
-        return pairs
-    side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
-    return (pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-            .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select(*pairs.columns))
+def _pack_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        members = batch.column(2).to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1),
+             pa.array([np.array([m["n_shingles"] for m in row], np.float64).tobytes() for row in members], pa.binary()),
+             pa.array([b"".join(m["registers"] for m in row) for row in members], pa.binary())], names=["cell", "block", "n", "r"])
 
 
-def _ordered(x: str, y: str):
-    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+def block_ids(pairs: DataFrame) -> DataFrame:
+    """The distinct (cell, block) of block pairs."""
+    sides = [pairs.select(F.col(f"c{c}").alias("cell"), F.col(f"b{c}").alias("block")) for c in "xy"]
+    return sides[0].unionByName(sides[1]).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -243,34 +326,45 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                         .dropDuplicates(["node"]), "near-nodes")
 
     bands = _bands(nodes)
-    pick = F.struct(F.xxhash64("bucket", "node").alias("h"), "node")
+    pick = F.struct(F.xxhash64("node").alias("h"), "node")
     buckets = materialize(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("hub"))
                           .filter("n > 1").select("bucket", F.col("hub.node").alias("hub")), "near-buckets")
     shared = materialize(bands.join(buckets, "bucket"), "near-shared")
-    stars = shared.filter("node != hub").select(*_ordered("node", "hub")).distinct()
-    likely = materialize(_likely(stars, nodes, percent), "near-likely")
-
-    best = likely.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
-    best = materialize(best, "near-best")
-    links = materialize(_confirm(best, nodes, docs, width, percent), "near-links")
-    labels = components(links)
-    left = materialize(_label(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "near-left")
-    links = links.unionByName(materialize(_confirm(left, nodes, docs, width, percent), "near-links"))
-    labels = components(links)
-
-    # completion
-    placed = shared.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    placed = materialize(placed, "near-placed")
-    sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = materialize(sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-                        .filter("labels > 1").select("bucket", "main"), "near-mixed")
-    several = materialize(placed.join(mixed, "bucket"), "near-several")
-    outside = several.filter("label != main").select("bucket", F.col("node").alias("x"), F.col("label").alias("lx"))
-    met = outside.join(several, "bucket").filter("label != lx and (label = main or x < node)")
-    more = met.select(*_ordered("x", "node")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialize(_likely(more, nodes, percent).select("a", "b"), "near-more")
-    links = links.unionByName(materialize(_confirm(more, nodes, docs, width, percent), "near-links"))
-    labels = components(links)
+    stars = _likely(shared.filter("node != hub").select("node", "hub").distinct(), nodes, percent)
+    first = stars.groupBy("node").agg(F.min(F.struct(F.xxhash64("hub").alias("h"), "hub")).alias("best"))
+    first = materialize(first.select("node", F.col("best.hub").alias("hub")), "near-first-hubs")
+    # a hub stays in the cell that it names; classes that share no bucket have nothing to compare
+    named = first.select(F.col("hub").alias("node")).distinct().withColumn("names", F.lit(True))
+    cells = (nodes.join(shared.select("node").distinct(), "node", "left_semi").join(first, "node", "left").join(named, "node", "left")
+             .withColumn("cell", F.when(F.col("names"), F.col("node")).otherwise(F.coalesce("hub", "node"))))
+    sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
+    dealt = cells.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+    dealt = materialize(dealt.select("node", "cell", "block", "blocks", "members", "rep", "mark1", "n_shingles", "registers"), "near-cells")
+
+    # pairs of cells that share a bucket, and cells of several classes with themselves
+    met = materialize(shared.join(dealt.select("node", "cell", "blocks"), "node").select("bucket", "cell", "blocks").distinct(), "near-bucket-cells")
+    one = met.select("bucket", F.col("cell").alias("cx"), F.col("blocks").alias("kx"))
+    two = met.select("bucket", F.col("cell").alias("cy"), F.col("blocks").alias("ky"))
+    near = one.join(two, "bucket").filter("cx < cy").select("cx", "kx", "cy", "ky").distinct()
+    own = dealt.filter("members > 1").select(F.col("cell").alias("cx"), F.col("blocks").alias("kx"), F.col("cell").alias("cy"), F.col("blocks").alias("ky")).distinct()
+    pairs = near.unionByName(own)
+    for c in "xy":
+        pairs = pairs.withColumn(f"b{c}", F.explode(F.sequence(F.lit(0), F.col(f"k{c}") - 1)))
+    pairs = pairs.filter("cx != cy or bx <= by").select("cx", "bx", "cy", "by")
+
+    sketch_blocks = materialize(dealt.groupBy("cell", "block").agg(F.sort_array(F.collect_list(F.struct("node", "n_shingles", "registers"))).alias("m"))
+                                .mapInArrow(_pack_sketches, "cell long, block int, n binary, r binary"), "near-sketch-blocks")
+    block = lambda of, c, *kept: of.select(F.col("cell").alias(f"c{c}"), F.col("block").alias(f"b{c}"), *[F.col(k).alias(f"{k}{c}") for k in kept])
+    compared = pairs.join(block(sketch_blocks, "x", "n", "r"), ["cx", "bx"]).join(block(sketch_blocks, "y", "n", "r"), ["cy", "by"])
+    likely = materialize(_likely_blocks(compared, percent), "near-block-pairs")
+
+    wanted = block_ids(likely)
+    chosen = dealt.join(wanted, ["cell", "block"], "left_semi").select("node", "rep", "mark1", "cell", "block")
+    texts = _squeezed(docs, chosen, width).join(chosen.select("node", "cell", "block"), "node")
+    text_blocks = materialize(texts.groupBy("cell", "block").agg(F.collect_list(F.struct("node", "squeezed")).alias("m")), "near-text-blocks")
+    links = _links(likely.join(block(text_blocks, "x", "m"), ["cx", "bx"]).join(block(text_blocks, "y", "m"), ["cy", "by"]).select("mx", "my"), width, percent)
+    labels = components(materialize(links, "near-links"))
 
     least = labels.join(nodes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = classes.join(labels, "node", "left").join(least, "label", "left")

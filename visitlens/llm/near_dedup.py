@@ -359,11 +359,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     compared = pairs.join(block(sketch_blocks, "x", "n", "r"), ["cx", "bx"]).join(block(sketch_blocks, "y", "n", "r"), ["cy", "by"])
     likely = materialize(_likely_blocks(compared, percent), "near-block-pairs")
 
+    # few bytes, much work: dealt evenly over a set number of tasks, which Spark doesn't merge
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = block_ids(likely)
     chosen = dealt.join(wanted, ["cell", "block"], "left_semi").select("node", "rep", "mark1", "cell", "block")
     texts = _squeezed(docs, chosen, width).join(chosen.select("node", "cell", "block"), "node")
     text_blocks = materialize(texts.groupBy("cell", "block").agg(F.collect_list(F.struct("node", "squeezed")).alias("m")), "near-text-blocks")
-    links = _links(likely.join(block(text_blocks, "x", "m"), ["cx", "bx"]).join(block(text_blocks, "y", "m"), ["cy", "by"]).select("mx", "my"), width, percent)
+    links = _links(likely.join(block(text_blocks, "x", "m"), ["cx", "bx"]).join(block(text_blocks, "y", "m"), ["cy", "by"]).select("mx", "my").repartition(tasks), width, percent)
     labels = components(materialize(links, "near-links"))
 
     least = labels.join(nodes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component_id"))

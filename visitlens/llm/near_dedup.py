@@ -9,8 +9,8 @@ their Jaccard similarity. Four registers of 16 bits make one band.
 2. In every bucket (classes with one band value) all classes are paired with one hub, so a
    bucket of n classes makes n - 1 pairs, whatever n. The joint likelihood of the registers and the
    known set sizes estimates their similarity; a class joins the cell of the first hub, in a
-   fixed random order, that may reach the threshold. So a group of thousands of near copies is
-   one cell, or a few, whether or not its members link with each other.
+   fixed random order, that is at least somewhat like it (CELL_LIKENESS). So a group of
+   thousands of near copies is one cell, or a few, whether or not its members link with each other.
 3. Cells that share a bucket, and cells with themselves, are compared whole, in blocks: first
    the registers (pairs of blocks without a likely pair go no further; likely means an
    estimate of at least the threshold less five standard deviations), then the full sets, whose intersections are
@@ -35,6 +35,8 @@ from visitlens.llm.common import id_text, materialize, mix64, text_slices, word_
 from visitlens.llm.components import components
 
 REGISTERS, BAND = 128, 4
+#: Estimated similarity at which a class joins a hub's cell; it decides what is compared together, not what is linked.
+CELL_LIKENESS = 0.3
 #: Classes in a block of a cell, shingles in a slice of an incidence matrix.
 BLOCK, SLICE = 128, 4096
 #: The sketch's scale: base and rate. Largest value with 32-bit hashes: about 25,200.
@@ -154,8 +156,8 @@ def _registers(blobs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, REGISTERS)
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(node, hub) of the pairs that may reach the threshold, by size and likelihood."""
+def _alike(pairs: DataFrame, nodes: DataFrame, at_least: float) -> DataFrame:
+    """(node, hub) of the pairs whose similarity is estimated at ``at_least`` or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -163,33 +165,50 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             x, y = _registers(batch.column("rx").to_pylist()), _registers(batch.column("ry").to_pylist())
             n_x, n_y = (np.asarray(batch.column(c), dtype=np.float64) for c in ("nx", "ny"))
             j = joint_estimate(n_x, n_y, (x > y).sum(axis=1), (x < y).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("hub")], names=["node", "hub"]).filter(pa.array(j >= _least_estimate(percent)))
+            yield batch.select(["node", "hub"]).filter(pa.array(j >= at_least))
 
     one = nodes.select("node", F.col("n_shingles").alias("nx"), F.col("registers").alias("rx"))
     two = nodes.select(F.col("node").alias("hub"), F.col("n_shingles").alias("ny"), F.col("registers").alias("ry"))
-    sized = pairs.join(one, "node").join(two, "hub").filter(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    sized = pairs.join(one, "node").join(two, "hub").filter(F.least("nx", "ny") >= at_least * F.greatest("nx", "ny"))
     return sized.select("node", "hub", "nx", "ny", "rx", "ry").mapInArrow(run, "node long, hub long")
 
 
 def _likely_blocks(pairs: DataFrame, percent: int) -> DataFrame:
     """(cx, bx, cy, by) of the block pairs with a likely pair of different classes."""
-    def likely(n_x, x, n_y, y, same: bool) -> bool:
+    def fitting(n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
+        return 100 * np.minimum(n_x, n_y) >= percent * np.maximum(n_x, n_y)
+
+    def likely(n_x: np.ndarray, n_y: np.ndarray, above: np.ndarray, below: np.ndarray) -> np.ndarray:
+        return joint_estimate(n_x, n_y, above, below) >= _least_estimate(percent)
+
+    def any_likely(n_x, x, n_y, y, same: bool) -> bool:
         for at in range(0, len(n_x), 16):  # 16 rows against a whole block at a time
-            u = x[at:at + 16, None, :]
-            above, below = (u > y).sum(axis=2), (u < y).sum(axis=2)
-            a, b = (z.ravel() for z in np.broadcast_arrays(n_x[at:at + 16, None], n_y))
-            pick = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+            pick = fitting(n_x[at:at + 16, None], n_y)
             if same:
-                pick &= (np.arange(at, at + len(u))[:, None] < np.arange(len(n_y))).ravel()
-            if pick.any() and (joint_estimate(a[pick], b[pick], above.ravel()[pick], below.ravel()[pick]) >= _least_estimate(percent)).any():
+                pick &= np.arange(at, at + len(pick))[:, None] < np.arange(len(n_y))
+            if not pick.any():
+                continue
+            u = x[at:at + 16, None, :]
+            above, below = (u > y).sum(axis=2)[pick], (u < y).sum(axis=2)[pick]
+            i, j = np.nonzero(pick)
+            if likely(n_x[at + i], n_y[j], above, below).any():
                 return True
         return False
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [likely(np.frombuffer(r["nx"], np.float64), _registers([r["rx"]]), np.frombuffer(r["ny"], np.float64), _registers([r["ry"]]),
-                           (r["cx"], r["bx"]) == (r["cy"], r["by"])) for r in batch.select(["cx", "bx", "cy", "by", "nx", "rx", "ny", "ry"]).to_pylist()]
-            yield batch.select(["cx", "bx", "cy", "by"]).filter(pa.array(keep, pa.bool_()))
+            n_x, r_x, n_y, r_y = (batch.column(c).to_pylist() for c in ("nx", "rx", "ny", "ry"))
+            keep = np.zeros(batch.num_rows, bool)
+            alone = np.array([len(a) == 8 and len(b) == 8 for a, b in zip(n_x, n_y)], bool)
+            of = np.flatnonzero(alone)
+            if len(of):  # pairs of single classes, all at once
+                a, b = (np.frombuffer(b"".join(n[k] for k in of), np.float64) for n in (n_x, n_y))
+                x, y = (_registers([r[k] for k in of]) for r in (r_x, r_y))
+                keep[of] = fitting(a, b) & likely(a, b, (x > y).sum(axis=1), (x < y).sum(axis=1))
+            same = [a == b and c == d for a, b, c, d in zip(*(batch.column(c).to_pylist() for c in ("cx", "cy", "bx", "by")))]
+            for k in np.flatnonzero(~alone).tolist():
+                keep[k] = any_likely(np.frombuffer(n_x[k], np.float64), _registers([r_x[k]]), np.frombuffer(n_y[k], np.float64), _registers([r_y[k]]), same[k])
+            yield batch.select(["cx", "bx", "cy", "by"]).filter(pa.array(keep))
 
     return pairs.mapInArrow(run, "cx long, bx int, cy long, by int")
 
@@ -330,7 +349,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     buckets = materialize(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("hub"))
                           .filter("n > 1").select("bucket", F.col("hub.node").alias("hub")), "near-buckets")
     shared = materialize(bands.join(buckets, "bucket"), "near-shared")
-    stars = _likely(shared.filter("node != hub").select("node", "hub").distinct(), nodes, percent)
+    stars = _alike(shared.filter("node != hub").select("node", "hub").distinct(), nodes, CELL_LIKENESS)
     first = stars.groupBy("node").agg(F.min(F.struct(F.xxhash64("hub").alias("h"), "hub")).alias("best"))
     first = materialize(first.select("node", F.col("best.hub").alias("hub")), "near-first-hubs")
     # a hub stays in the cell that it names; classes that share no bucket have nothing to compare
@@ -357,10 +376,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                                 .mapInArrow(_pack_sketches, "cell long, block int, n binary, r binary"), "near-sketch-blocks")
     block = lambda of, c, *kept: of.select(F.col("cell").alias(f"c{c}"), F.col("block").alias(f"b{c}"), *[F.col(k).alias(f"{k}{c}") for k in kept])
     compared = pairs.join(block(sketch_blocks, "x", "n", "r"), ["cx", "bx"]).join(block(sketch_blocks, "y", "n", "r"), ["cy", "by"])
-    likely = materialize(_likely_blocks(compared, percent), "near-block-pairs")
-
     # few bytes, much work: dealt evenly over a set number of tasks, which Spark doesn't merge
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    likely = materialize(_likely_blocks(compared.repartition(tasks), percent), "near-block-pairs")
+
     wanted = block_ids(likely)
     chosen = dealt.join(wanted, ["cell", "block"], "left_semi").select("node", "rep", "mark1", "cell", "block")
     texts = _squeezed(docs, chosen, width).join(chosen.select("node", "cell", "block"), "node")

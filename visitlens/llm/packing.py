@@ -66,6 +66,20 @@ def _best_fit(histogram: dict[int, int], sizes: list[int], overhead: int, worth:
             insort(rooms, left)
         room[left].append((first, count, used))
 
+    def fill(left: int, first: int, count: int, used: int, length: int, rank: int, n: int) -> int:
+        """Put pieces into equal sequences, each filled before the next, as the room left is then the tightest."""
+        each = left // length
+        for some, layers in ((min(count, (n - rank) // each), each), (1, (n - rank) % each)):
+            if some and layers and count and rank < n:
+                for layer in range(layers):
+                    runs.append((length * _SPAN + rank, first, used + layer * length))
+                    rank += some
+                put(left - layers * length, first, some, used + layers * length)
+                first, count = first + some, count - some
+        if count:
+            put(left, first, count, used)
+        return rank
+
     for length in sorted(histogram, reverse=True):
         n, rank = histogram[length], 0
         while rank < n:
@@ -75,29 +89,12 @@ def _best_fit(histogram: dict[int, int], sizes: list[int], overhead: int, worth:
                 first, count, used = room[left].pop()
                 if not room[left]:
                     rooms.pop(at)
-                m = min(count, n - rank)
-                runs.append((length * _SPAN + rank, first, used))
-                rank += m
-                if count > m:
-                    put(left, first + m, count - m, used)
-                put(left - length, first, m, used + length)
-                continue
-            # all other pieces of this length open sequences, each filled before the next
-            size = min((s for s in sizes if s >= length), key=lambda s: (s + overhead - worth * (s - length), s))
-            each = size // length
-            full, rest = divmod(n - rank, each)
-            if full:
-                for layer in range(each):
-                    runs.append((length * _SPAN + rank, opened, layer * length))
-                    rank += full
-                put(size - each * length, opened, full, each * length)
-                opened += full
-            if rest:
-                for layer in range(rest):
-                    runs.append((length * _SPAN + rank, opened, layer * length))
-                    rank += 1
-                put(size - rest * length, opened, 1, rest * length)
-                opened += 1
+                rank = fill(left, first, count, used, length, rank, n)
+            else:  # all other pieces of this length open sequences
+                size = min((s for s in sizes if s >= length), key=lambda s: (s + overhead - worth * (s - length), s))
+                count = -(-(n - rank) // (size // length))
+                rank = fill(size, opened, count, 0, length, rank, n)
+                opened += count
     groups = sorted(g for groups in room.values() for g in groups)
     first, count, used = (np.array([g[k] for g in groups], np.int64) for k in range(3))
     capacity = np.array(sizes, np.int64)[np.searchsorted(sizes, used)] if groups else used

@@ -137,7 +137,7 @@ def conversations(messages: DataFrame, keep: int | None = 1) -> DataFrame:
         .dropDuplicates(["message"]), "messages")
     reached = paths(clean)
     chosen = ranked_branches(clean, reached, keep)
-    turns = (reached.join(chosen.select("tree", "leaf", "rank"), ["tree", "leaf"])
+    turns = (reached.join(chosen.select("leaf", "rank"), "leaf")
              .join(clean.select("message", "role", "text"), "message"))
     listed = turns.groupBy("tree", "leaf", "rank").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from visitlens.llm.common import _LOWER, _SPACE, HashIndex, id_text, materialize, text_slices, word_hashes
 
 #: Context bytes (at most 7), and entries of the broadcast table of frequent words.
-DEPTH, FREQUENT = 4, 1 << 19
+DEPTH, FREQUENT = 6, 1 << 19
 #: The end of a text as a word of its own: its hash and its bytes.
 END_HASH, END = 0, b"\n"
 BLANK = 0x20
@@ -315,7 +315,7 @@ def _text_sums(docs: DataFrame, table) -> DataFrame:
                 whose = np.repeat(np.arange(count), np.diff(starts))
                 where = index.find(found)
                 often = where >= 0
-                sums = [np.bincount(whose[often], x[where[often]], count) for x in (known, base, log10)]
+                sums = [np.bincount(whose[often], x[where[often]], count).astype(np.float64) for x in (known, base, log10)]
                 # words and blanks as coded, and the end
                 space = np.array([len(t.encode()) for t in texts], np.int64)
                 seen, times = np.unique(np.stack([whose[~often].astype(np.uint64), found[~often]]), axis=1, return_counts=True) if (~often).any() else (np.empty((2, 0), np.uint64), np.empty(0, np.int64))

@@ -80,3 +80,24 @@ def test_merges(spark):
         [("d1", "p", 1, 5), ("d1", "p", 2, 13), ("d2", "q", 1, 1), ("d3", "p", 1, 7)]
     assert rows(merges.merge_replace_group(target, updates, ["date", "province"])) == \
         [("d1", "p", 2, 10), ("d2", "q", 1, 1), ("d3", "p", 1, 7)]
+
+
+def test_ad_log_times_out_of_range_are_rejected(spark):
+    lines = spark.createDataFrame([(f"{ms} p c 1 2",) for ms in
+                                   ("9223372036854775807", "999999999999999", "-5", "253402300800000", "1704067200000")], "value string")
+    clicks, rejects = ads.parse_ad_log(lines)
+    assert clicks.count() == 1 and rejects.count() == 4
+    assert clicks.select(ads.day(clicks.ts).alias("d")).first().d == "2024-01-01"
+
+
+def test_ad_fixture_lists_some_but_not_most_users(spark):
+    from visitlens.plans import catalog
+    from visitlens.sources import fixtures as fx
+
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        clicks = fx.ad_clicks(spark, sf)
+        listed = ads.blacklist_users(clicks, catalog.BLACKLIST_THRESHOLD).count()
+        users = clicks.select("user_id").distinct().count()
+        assert 0 < listed < users / 2
+        for name in ("merge_overwrite", "merge_add", "merge_replace_group", "ad_stat", "ad_click_trend"):
+            assert catalog.QUERIES[name](spark, sf).count() > 0

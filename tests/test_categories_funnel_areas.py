@@ -68,9 +68,9 @@ def test_skew_safe_transitions_equal_plain(spark):
     big = _flow_actions(spark, [(i * 7) % 9 + 1 for i in range(60)])
     for acts in (big, fx.user_visit_action(spark, SF001)):
         plain = rows(funnel.page_transitions(acts))
-        for hot in (10, 10 ** 9):      # hot path taken by the big session / by none
-            safe = rows(funnel.page_transitions_skew_safe(acts, hot_session_rows=hot, num_partitions=6))
-            assert plain == safe and len(plain) > 0
+        for seconds in (1, 7, 10 ** 9):      # a piece for every second / one for the whole session
+            assert plain == rows(funnel.page_transitions(acts, seconds)) and len(plain) > 0
+        assert plain == rows(funnel.page_transitions_skew_safe(acts))
 
 
 def test_area_top_products(spark):

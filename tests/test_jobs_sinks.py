@@ -98,3 +98,14 @@ def test_cli_runs_jobs_from_task_table(spark):
     cli.main(["area", "--task-id", "4", "--tasks", tasks + "/", "--actions", inp["actions"],
               "--cities", inp["cities"], "--products", inp["products"], "--out", out], spark=spark)
     assert spark.read.parquet(os.path.join(out, "area_top3_product")).count() >= 0
+
+
+def test_empty_task_parameters_mean_no_constraint(spark):
+    from visitlens.plans.params import TaskParams, task_params
+
+    text = '{"keywords":[""],"startAge":[""],"endAge":[],"cities":["a,b,,"],"sex":[","],"categoryIds":["1,,2"]}'
+    wanted = (None, None, None, ["a", "b"], None, ["1", "", "2"])
+    p = TaskParams.from_json(text)
+    assert (p.keywords, p.start_age, p.end_age, p.cities, p.sex, p.category_ids) == wanted
+    r = task_params(spark.createDataFrame([(1, text)], "task_id int, task_param string")).first()
+    assert (r.keywords, r.start_age, r.end_age, r.cities, r.sex, r.category_ids) == wanted

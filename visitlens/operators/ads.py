@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from visitlens.operators.joins import salted_join
 
 DEFAULT_THRESHOLD = 100
+#: The last millisecond of the year 9999.
+MAX_EPOCH_MS = 253_402_300_799_999
 DEFAULT_HOT_USER_ROWS = 2_000_000
 
 
@@ -25,7 +27,8 @@ def parse_ad_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, Da
     """Split ``epochMillis province city userId adId`` lines.
 
     Returns (clicks, rejects): clicks has ts, province, city, user_id, ad_id; rejects
-    holds the raw lines that do not have five fields or whose numbers do not parse.
+    holds the raw lines that do not have five fields, whose numbers do not parse or whose
+    time is outside 1970 to 9999.
     """
     parts = F.split(F.col(column), " ")
     parsed = lines.select(
@@ -37,7 +40,7 @@ def parse_ad_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, Da
         F.try_element_at(parts, F.lit(4)).try_cast("bigint").alias("user_id"),
         F.try_element_at(parts, F.lit(5)).try_cast("bigint").alias("ad_id"),
     )
-    ok = ((F.col("n") == 5) & F.col("ms").isNotNull() & F.col("user_id").isNotNull()
+    ok = ((F.col("n") == 5) & F.col("ms").between(0, MAX_EPOCH_MS) & F.col("user_id").isNotNull()
           & F.col("ad_id").isNotNull())
     clicks = parsed.where(ok).select(F.timestamp_millis("ms").alias("ts"), "province", "city",
                                      "user_id", "ad_id")

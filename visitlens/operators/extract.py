@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from visitlens.operators.sessions import session_hourly_counts
 
 
+#: Parts into which an hour's sessions are dealt before the draw.
+SALTS = 64
+
+
 def extract_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
     """(date, hour, session_count, day_session_count, day_quota, hour_quota)."""
     hourly = session_hourly_counts(sessions)
@@ -40,10 +44,10 @@ def extract_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
 def random_extract(sessions: DataFrame, total: int = 100, seed: str = "42") -> DataFrame:
     """The sampled sessions: session_id, start_time, search_keywords, click_category_ids.
 
-    ``row_number`` per (date, hour) ordered by ``md5(session_id || seed)``. Because every
-    hour quota is at most ``total``, the rank is first cut at the literal ``total``;
-    Catalyst turns that into a map-side ``WindowGroupLimit`` so a hot hour ships at most
-    ``total`` rows per map task into its window partition.
+    Sessions of an hour are ordered by ``md5(session_id || seed)``. The quota is joined
+    first (hours that draw nothing go); then each hour is cut in two steps, by rank within
+    (hour, last digits of the draw) and then within the hour, so no task sees more than
+    ``SALTS`` times an hour's quota, however many sessions the hour has or how many are drawn.
 
     ``sessions`` is read twice (ranking and hourly counts, which prune different
     columns, so Spark cannot share one plan); persist or checkpoint it first when it is
@@ -55,9 +59,12 @@ def random_extract(sessions: DataFrame, total: int = 100, seed: str = "42") -> D
         F.hour("start_ts").alias("hour"),
         F.md5(F.concat(F.col("session_id"), F.lit(seed))).alias("draw"),
     )
-    w = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
-    ranked = keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= F.lit(total))
-    quota = extract_quota(sessions, total).select("date", "hour", "hour_quota")
-    return (ranked.join(F.broadcast(quota), ["date", "hour"])
-            .where(F.col("rn") <= F.col("hour_quota"))
+    quota = extract_quota(sessions, total).select("date", "hour", "hour_quota").where("hour_quota > 0")
+    salted = keyed.join(F.broadcast(quota), ["date", "hour"]).withColumn(
+        "salt", F.pmod(F.conv(F.substring("draw", 29, 4), 16, 10).cast("int"), F.lit(SALTS)))
+    order = ["draw", "session_id"]
+    part = Window.partitionBy("date", "hour", "salt").orderBy(*order)
+    whole = Window.partitionBy("date", "hour").orderBy(*order)
+    cut = salted.withColumn("rn", F.row_number().over(part)).where(F.col("rn") <= F.col("hour_quota"))
+    return (cut.withColumn("rn", F.row_number().over(whole)).where(F.col("rn") <= F.col("hour_quota"))
             .select("session_id", "start_time", "search_keywords", "click_category_ids"))

@@ -1,15 +1,11 @@
 """One-step page conversion along a target page flow.
 
 Transitions are consecutive page views inside a session, ordered by action time (the
-action id breaks ties). Two plans are provided:
-
-* ``page_transitions`` - a ``lag`` window partitioned by session. One shuffle; a single
-  huge session lands in one task.
-* ``page_transitions_skew_safe`` - sessions above a row-count threshold ("hot") are
-  range-partitioned on (session, time, id), so a hot session is split across many
-  tasks by sampled bounds; ``lag`` runs inside each (range partition, session) piece,
-  and the first row of each piece takes its predecessor from the last row of the
-  previous piece of the same session. Ordinary sessions keep the one-shuffle window.
+action id, or without one a hash of the row, breaks ties). A session is cut into pieces of
+a fixed length of time, so a piece is a function of the row alone: ``lag`` runs inside
+(session, piece), and the first row of a piece takes its predecessor from the last row of
+the piece before it. No task owns a whole session, whatever its size, there is one
+plan for all sessions, and only the first and last row of each piece are shuffled again.
 
 The flow itself is a parameter (a handful of pages); its step table is broadcast.
 """
@@ -21,77 +17,41 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.columns import half_up_ratio, parse_action_time
 
+#: Length of a piece of a session, in seconds.
+DEFAULT_PIECE_SECONDS = 3600
+
 
 def _ordered(actions: DataFrame) -> DataFrame:
-    return actions.select("session_id", "action_id", "page_id",
+    ties = F.col("action_id") if "action_id" in actions.columns else F.xxhash64(*actions.columns)
+    return actions.select("session_id", ties.alias("action_id"), "page_id",
                           parse_action_time(F.col("action_time")).alias("action_ts"))
 
 
-def page_transitions(actions: DataFrame) -> DataFrame:
+def page_transitions(actions: DataFrame, piece_seconds: int = DEFAULT_PIECE_SECONDS) -> DataFrame:
     """(session_id, action_id, prev_page_id, page_id) for every action after the first
-    of its session."""
-    w = Window.partitionBy("session_id").orderBy("action_ts", "action_id")
-    return (_ordered(actions).withColumn("prev_page_id", F.lag("page_id").over(w))
-            .where(F.col("prev_page_id").isNotNull())
-            .select("session_id", "action_id", "prev_page_id", "page_id"))
-
-
-def _range_split_transitions(ordered: DataFrame, num_partitions: int) -> DataFrame:
-    """Transitions of (possibly huge) sessions without any task owning a whole session.
+    of its session whose predecessor has a page.
 
-    Rows are range-partitioned on (session, time, id) with sampled bounds, so a hot
-    session is cut into consecutive pieces spread over many tasks. ``lag`` runs inside
-    each (piece, session) group; the first row of a piece takes the last page of the
-    nearest earlier piece of its session from a per-piece summary (one row per
-    (piece, session): at most sessions + partitions rows).
+    Rows with an unparsable time are the session's first piece.
     """
-    ranged = ordered.repartitionByRange(num_partitions, "session_id", "action_ts", "action_id") \
-        .select("*", F.spark_partition_id().alias("piece"))
-    piece = Window.partitionBy("piece", "session_id")
-    w = piece.orderBy("action_ts", "action_id")
-    last_w = piece.orderBy(F.col("action_ts").desc(), F.col("action_id").desc())
-    local = ranged.select("session_id", "action_id", "page_id", "piece",
-                          F.lag("page_id").over(w).alias("prev_local"),
-                          (F.row_number().over(w) == 1).alias("is_first"),
-                          (F.row_number().over(last_w) == 1).alias("is_last"))
-    # last page of every (piece, session); a piece's first row continues from the last
-    # page of the nearest earlier piece of the same session. ``local`` is already
-    # partitioned by (piece, session), so joining the small carry table onto it does not
-    # move the rows again.
-    carry = local.where("is_last").select(
-        "session_id", "piece",
-        F.lag("page_id").over(Window.partitionBy("session_id").orderBy("piece")).alias("carry_page"))
-    prev = F.when(F.col("is_first"), F.col("carry_page")).otherwise(F.col("prev_local"))
-    return (local.join(carry, ["session_id", "piece"], "left")
-            .select("session_id", "action_id", prev.alias("prev_page_id"), "page_id")
+    seconds = F.unix_timestamp(F.col("action_ts").cast("timestamp"))
+    pieces = _ordered(actions).withColumn("piece", F.floor(seconds / F.lit(piece_seconds)))
+    order = ["action_ts", "action_id"]
+    here = Window.partitionBy("session_id", "piece").orderBy(*order)
+    local = (pieces.withColumn("prev_page_id", F.lag("page_id").over(here))
+             .withColumn("is_first", F.row_number().over(here) == 1)
+             .withColumn("is_last", F.lead(F.lit(1)).over(here).isNull()))
+    # at most two rows of a piece: in a session's order, a piece's first row follows the last of the piece before
+    whole = Window.partitionBy("session_id").orderBy(*order)
+    ends = (local.where("is_first or is_last").withColumn("prev_page_id", F.lag("page_id").over(whole))
+            .where("is_first"))
+    cols = ["session_id", "action_id", "prev_page_id", "page_id"]
+    return (local.where("not is_first").select(*cols).unionByName(ends.select(*cols))
             .where(F.col("prev_page_id").isNotNull()))
 
 
-DEFAULT_HOT_SESSION_ROWS = 2_000_000
-
-
-def page_transitions_skew_safe(actions: DataFrame, hot_session_rows: int = DEFAULT_HOT_SESSION_ROWS,
-                               num_partitions: int | None = None) -> DataFrame:
-    """Same rows as ``page_transitions``, safe when one session holds a large share of rows.
-
-    Actions are counted per session (partial aggregation, one small shuffle). Sessions
-    with more than ``hot_session_rows`` actions are hot; there are at most
-    total_rows / hot_session_rows of them, which bounds the broadcast list. Ordinary
-    sessions take the one-shuffle ``lag`` window; only the hot sessions' rows take the
-    range-split path.
-    """
-    spark = actions.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = _ordered(actions)
-    hot = (ordered.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > F.lit(hot_session_rows)).select("session_id"))
-    normal = ordered.join(F.broadcast(hot), "session_id", "left_anti")
-    w = Window.partitionBy("session_id").orderBy("action_ts", "action_id")
-    plain = (normal.withColumn("prev_page_id", F.lag("page_id").over(w))
-             .where(F.col("prev_page_id").isNotNull())
-             .select("session_id", "action_id", "prev_page_id", "page_id"))
-    heavy = _range_split_transitions(ordered.join(F.broadcast(hot), "session_id", "left_semi"), n)
-    return plain.unionByName(heavy)
+def page_transitions_skew_safe(actions: DataFrame, piece_seconds: int = 60) -> DataFrame:
+    """``page_transitions`` with pieces of a minute, for sessions with very many actions an hour."""
+    return page_transitions(actions, piece_seconds)
 
 
 def flow_steps(spark: SparkSession, flow: list[str]) -> DataFrame:
@@ -137,7 +97,7 @@ def page_convert_rate(actions: DataFrame, flow: list[str], transitions: DataFram
     if len(flow) < 2:
         spark = actions.sparkSession
         return spark.createDataFrame([], "pos int, split string, pv bigint, prev_pv bigint, convert_rate double")
-    tr = transitions if transitions is not None else page_transitions_skew_safe(actions)
+    tr = transitions if transitions is not None else page_transitions(actions)
     split_pv = page_split_pv(tr, flow)
     # the first page's views become position 0, so lag over the positions gives every
     # step its predecessor; the window sees len(flow) rows

@@ -24,22 +24,23 @@ DEFAULT_SALTS = 32
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: str, hot_keys: DataFrame, how: str = "inner",
-                salts: int = DEFAULT_SALTS) -> DataFrame:
+                salts: int = DEFAULT_SALTS, salt_on: list[str] | None = None) -> DataFrame:
     """Equi-join on ``on`` that spreads hot keys over ``salts`` tasks.
 
     ``hot_keys`` (one column ``on``) lists the keys known to be heavy on the ``big`` side;
-    it must be bounded (e.g. keys above a row-count threshold: at most
-    total_rows / threshold of them), and is broadcast. Rows of ``big`` with a hot key get
-    a salt from a hash of the row (deterministic, so retried tasks agree); the matching
+    its size follows the caller's threshold, so it carries no hint and Spark broadcasts it
+    only when it measures small. Rows of ``big`` with a hot key get a salt from a hash of
+    ``salt_on`` (by default three other columns; deterministic, so retried tasks agree); the matching
     ``small`` rows are replicated once per salt. Other keys keep salt 0. The result has
     the same rows as ``big.join(small, on, how)`` for ``how`` in inner, left,
     left_semi, left_anti - but no task holds all rows of a hot key. Both sides are
     shuffled on (key, salt), so AQE's own skew splitting also remains available.
     """
-    hot = F.broadcast(hot_keys.select(on).distinct().withColumn("_hot", F.lit(True)))
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    hot = hot_keys.select(on).distinct().withColumn("_hot", F.lit(True))
+    mixed = salt_on or [c for c in big.columns if c != on][:3] or [on]
+    salt = F.pmod(F.xxhash64(*mixed), F.lit(salts).cast("bigint"))
     b = (big.join(hot, on, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts).cast("bigint")))
+         .withColumn("_salt", F.when(F.col("_hot"), salt)
                      .otherwise(F.lit(0).cast("bigint")))
          .drop("_hot"))
     zero = F.lit(0).cast("bigint")

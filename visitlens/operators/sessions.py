@@ -170,7 +170,7 @@ def session_detail(actions: DataFrame, sessions: DataFrame,
     if "step_length" not in sessions.columns:
         return actions.join(ids, "session_id", "left_semi")
     hot = sessions.where(F.col("step_length") > F.lit(hot_session_rows)).select("session_id")
-    return salted_join(actions, ids, "session_id", hot, "left_semi")
+    return salted_join(actions, ids, "session_id", hot, "left_semi", salt_on=["action_time", "page_id"])
 
 
 # ---------------------------------------------------------------- histograms

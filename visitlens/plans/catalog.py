@@ -45,9 +45,8 @@ EXTRACT_DATE = "2024-01-08"
 EXTRACT_TOTAL = 100
 EXTRACT_SEED = "42"
 FLOW = "1,2,3,4,5,6,7,8,9".split(",")
-BLACKLIST_THRESHOLD = 6
+BLACKLIST_THRESHOLD = 4
 TREND_AS_OF = "2024-01-15 12:00:00"
-MERGE_SPLIT_DATE = "20240115"
 
 FILTERS: dict[str, TaskParams] = {
     "age": TaskParams(start_age=10, end_age=40),
@@ -315,6 +314,13 @@ def q_session_random_extract_month(spark, sf):
     return extract.random_extract(_sessions(spark, sf), MONTH_TOTAL, EXTRACT_SEED)
 
 
+@register("session_extract_detail_month",
+          "SELECT * FROM uva WHERE session_id IN (SELECT session_id FROM picked)", _EXTRACT_MONTH_CTES)
+def q_session_extract_detail_month(spark, sf):
+    picked = extract.random_extract(_sessions(spark, sf), MONTH_TOTAL, EXTRACT_SEED)
+    return ses.session_detail(_actions(spark, sf), picked)
+
+
 # ------------------------------------------------------------------ categories
 
 _CAT_CTES = """
@@ -426,7 +432,7 @@ rates AS (
 
 
 def _transitions(spark, sf):
-    return funnel.page_transitions_skew_safe(_actions(spark, sf))
+    return funnel.page_transitions(_actions(spark, sf))
 
 
 @register("page_transitions", "SELECT * FROM trans", _FUNNEL_CTES)
@@ -452,7 +458,7 @@ def q_page_split_pv(spark, sf):
 @register("page_convert_rate", "SELECT * FROM rates", _FUNNEL_CTES)
 def q_page_convert_rate(spark, sf):
     actions = _actions(spark, sf)
-    return funnel.page_convert_rate(actions, FLOW, funnel.page_transitions_skew_safe(actions))
+    return funnel.page_convert_rate(actions, FLOW, funnel.page_transitions(actions))
 
 
 @register("page_convert_rate_string",
@@ -699,12 +705,12 @@ def _halves(spark, sf):
 
 @register("merge_overwrite",
           f"""SELECT * FROM st_a a WHERE NOT EXISTS (
-                SELECT 1 FROM st_b b WHERE b.date >= '{MERGE_SPLIT_DATE}' AND a.date = b.date
+                SELECT 1 FROM st_b b WHERE a.date = b.date
                   AND a.province = b.province AND a.city = b.city AND a.ad_id = b.ad_id)
-              UNION ALL SELECT * FROM st_b WHERE date >= '{MERGE_SPLIT_DATE}'""", _MERGE_CTES)
+              UNION ALL SELECT * FROM st_b""", _MERGE_CTES)
 def q_merge_overwrite(spark, sf):
     a, b = _halves(spark, sf)
-    return merges.merge_overwrite(a, b.where(F.col("date") >= MERGE_SPLIT_DATE), _STAT_KEYS)
+    return merges.merge_overwrite(a, b, _STAT_KEYS)
 
 
 @register("merge_add",
@@ -724,11 +730,11 @@ _TOP3_OF = """SELECT date, province, ad_id, click_count FROM (
 @register("merge_replace_group",
           f"""SELECT * FROM ({_TOP3_OF.format(src='st_a')}) a WHERE NOT EXISTS (
                 SELECT 1 FROM ({_TOP3_OF.format(src='st_b')}) b
-                WHERE b.date >= '{MERGE_SPLIT_DATE}' AND a.date = b.date AND a.province = b.province)
-              UNION ALL SELECT * FROM ({_TOP3_OF.format(src='st_b')}) WHERE date >= '{MERGE_SPLIT_DATE}'""",
+                WHERE a.date = b.date AND a.province = b.province)
+              UNION ALL SELECT * FROM ({_TOP3_OF.format(src='st_b')})""",
           _MERGE_CTES)
 def q_merge_replace_group(spark, sf):
     a, b = _halves(spark, sf)
     top_a = ads.province_top_ads(a, 3)
-    top_b = ads.province_top_ads(b, 3).where(F.col("date") >= MERGE_SPLIT_DATE)
+    top_b = ads.province_top_ads(b, 3)
     return merges.merge_replace_group(top_a, top_b, ["date", "province"])

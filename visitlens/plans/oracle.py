@@ -54,9 +54,9 @@ city_info AS (
   SELECT * FROM (VALUES {_CITY_VALUES}) AS t(city_id, city_name, area)),
 ad_clicks AS (
   SELECT CAST(ts AS TIMESTAMP) AS ts,
-         [{_PROVINCES}][(user_id % 40) % 10 + 1] AS province,
-         [{_CITIES}][(user_id % 40) % 10 + 1] AS city,
-         user_id % 40 AS user_id,
+         [{_PROVINCES}][user_id % 10 + 1] AS province,
+         [{_CITIES}][user_id % 10 + 1] AS city,
+         user_id,
          (event_id // 7) % 5 AS ad_id
   FROM events)
 """

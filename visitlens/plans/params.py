@@ -3,7 +3,7 @@ into one filter ``Column``.
 
 A task row carries JSON like ``{"startAge": ["10"], "keywords": ["kw1,kw2"]}``. Only the
 first array element of a field is used and list-valued fields are comma separated.
-A missing field means "no constraint".
+A missing or empty field means "no constraint".
 """
 
 from __future__ import annotations
@@ -28,9 +28,8 @@ PARAM_TARGET_PAGE_FLOW = "targetPageFlow"
 
 
 def _split(value: str | None) -> list[str] | None:
-    if value is None:
-        return None
-    return value.split(",")
+    """The comma-separated items without trailing empty ones; none at all means no constraint."""
+    return value.rstrip(",").split(",") if value and value.rstrip(",") else None
 
 
 @dataclass(frozen=True)
@@ -53,8 +52,8 @@ class TaskParams:
         def first(name: str) -> str | None:
             v = raw.get(name)
             if isinstance(v, list):
-                return str(v[0]) if v else None
-            return None if v is None else str(v)
+                v = v[0] if v else None
+            return None if v is None or str(v).strip() == "" else str(v)
 
         def as_int(v: str | None) -> int | None:
             return None if v is None else int(v)
@@ -78,20 +77,25 @@ def task_params(tasks: DataFrame) -> DataFrame:
     m = F.from_json("task_param", "map<string,array<string>>")
 
     def first(name: str) -> Column:
-        return F.try_element_at(F.try_element_at(F.col("m"), F.lit(name)), F.lit(1))
+        value = F.try_element_at(F.try_element_at(F.col("m"), F.lit(name)), F.lit(1))
+        return F.when(F.trim(value) != "", value)
+
+    def items(name: str) -> Column:
+        value = F.regexp_replace(first(name), ",+$", "")
+        return F.when(value != "", F.split(value, ","))
 
     return tasks.select("task_id", m.alias("m")).select(
         "task_id",
         first(PARAM_START_DATE).alias("start_date"),
         first(PARAM_END_DATE).alias("end_date"),
-        first(PARAM_START_AGE).cast("int").alias("start_age"),
-        first(PARAM_END_AGE).cast("int").alias("end_age"),
-        F.split(first(PARAM_PROFESSIONALS), ",").alias("professionals"),
-        F.split(first(PARAM_CITIES), ",").alias("cities"),
-        F.split(first(PARAM_SEX), ",").alias("sex"),
-        F.split(first(PARAM_KEYWORDS), ",").alias("keywords"),
-        F.split(first(PARAM_CATEGORY_IDS), ",").alias("category_ids"),
-        F.split(first(PARAM_TARGET_PAGE_FLOW), ",").alias("target_page_flow"),
+        first(PARAM_START_AGE).try_cast("int").alias("start_age"),
+        first(PARAM_END_AGE).try_cast("int").alias("end_age"),
+        items(PARAM_PROFESSIONALS).alias("professionals"),
+        items(PARAM_CITIES).alias("cities"),
+        items(PARAM_SEX).alias("sex"),
+        items(PARAM_KEYWORDS).alias("keywords"),
+        items(PARAM_CATEGORY_IDS).alias("category_ids"),
+        items(PARAM_TARGET_PAGE_FLOW).alias("target_page_flow"),
     )
 
 

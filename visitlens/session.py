@@ -20,8 +20,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Parquet timestamps from the fixtures are timestamp_ntz; keep them as written.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
-    # Dynamic partition overwrite makes the per-batch sink writes idempotent.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -54,7 +52,6 @@ def ensure_defaults(spark: SparkSession) -> None:
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

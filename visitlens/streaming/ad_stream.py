@@ -29,6 +29,8 @@ than N, so a replay of N after its own compaction still counts N exactly once.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import os
 from dataclasses import dataclass
 
@@ -140,9 +142,22 @@ class AdClickStreamJob:
         return read_or_empty(self.spark, self.path("province_top"), TOP_SCHEMA) \
             .select("date", "province", "ad_id", "click_count")
 
-    def click_trend(self) -> DataFrame:
-        """(date yyyy-MM-dd, hour, minute, ad_id, click_count) per event-time minute."""
-        return self._summed("trend_log")
+    def click_trend(self, as_of: str | None = None, minutes: int = 60) -> DataFrame:
+        """(date yyyy-MM-dd, hour, minute, ad_id, click_count) per event-time minute.
+
+        With ``as_of`` (yyyy-MM-dd HH:mm:ss), only the ``minutes`` whole minutes up to and
+        including that one; just their dates' partitions are read.
+        """
+        if as_of is None:
+            return self._summed("trend_log")
+        last = datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S").replace(second=0)
+        first = last - timedelta(minutes=minutes - 1)
+        days = [(first + timedelta(days=k)).strftime("%Y-%m-%d") for k in range((last.date() - first.date()).days + 1)]
+        keys = self.LOGS["trend_log"][1]
+        minute = F.concat("date", F.lit(" "), "hour", F.lit(":"), "minute")
+        return (self.log_rows("trend_log", dates=days)
+                .where(minute.between(first.strftime("%Y-%m-%d %H:%M"), last.strftime("%Y-%m-%d %H:%M")))
+                .groupBy(*keys).agg(F.sum("click_count").cast("bigint").alias("click_count")))
 
     def rejects(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("rejects"), REJECTS_SCHEMA)
@@ -160,9 +175,8 @@ class AdClickStreamJob:
         try:
             # the days present in this micro-batch (one or two for a live stream; bounded by
             # the days of late data): every read of a log below prunes to these partitions
-            days = [r[0] for r in kept.select(F.to_date("ts").alias("d")).distinct().collect()]
-            day_keys = [d.strftime("%Y-%m-%d") for d in days]
-            date_keys = [d.strftime("%Y%m%d") for d in days]
+            day_keys = [r[0] for r in kept.select(ads.day(F.col("ts")).alias("d")).distinct().collect()]
+            date_keys = [d.replace("-", "") for d in day_keys]
             # 3. this batch's user/ad counts
             counts = ads.user_daily_clicks(kept).withColumn("batch_id", bid)
             _write(counts, self.path("user_clicks"), ["date", "batch_id"])

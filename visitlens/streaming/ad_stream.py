@@ -85,41 +85,69 @@ class AdClickStreamJob:
 
     # ------------------------------------------------------------- logs
 
+    def _newest(self, name: str, through_batch: int | None = None) -> DataFrame:
+        """(date, upto): the newest usable base version of every compacted date.
+
+        Read from a small version table (a row per compaction and date it touched), never
+        from the bases themselves.
+        """
+        versions = read_or_empty(self.spark, self.path(name + "_versions"), "date string, upto bigint")
+        if through_batch is not None:
+            versions = versions.where(F.col("upto") < F.lit(through_batch))
+        return versions.groupBy("date").agg(F.max("upto").alias("upto"))
+
     def log_rows(self, name: str, through_batch: int | None = None,
                  dates: list[str] | None = None) -> DataFrame:
         """Rows of a log (keys, click_count) covering batches <= ``through_batch`` (all when
-        None): the newest usable base version plus the log partitions after it. With
+        None): for each date its newest usable base and the log partitions after it. With
         ``dates``, only those ``date`` partitions are read (both tables are partitioned by
         date, so this is partition pruning, not a scan)."""
         schema, keys = self.LOGS[name]
         base_schema = ", ".join(c for c in schema.split(", ") if not c.startswith("batch_id")) + ", upto bigint"
+        newest = self._newest(name, through_batch)
         base = read_or_empty(self.spark, self.path(name + "_base"), base_schema)
-        if through_batch is not None:
-            base = base.where(F.col("upto") < F.lit(through_batch))
-        upto = base.agg(F.max("upto")).first()[0]      # one scalar: partition listing
         log = read_or_empty(self.spark, self.path(name), schema)
         if through_batch is not None:
             log = log.where(F.col("batch_id") <= F.lit(through_batch))
+        cols = keys + ["click_count"]
         if dates is not None:
-            base = base.where(F.col("date").isin(*dates))
+            # a version per date of the batch: literal partition filters
+            known = {r["date"]: r["upto"] for r in newest.where(F.col("date").isin(*dates)).collect()}
             log = log.where(F.col("date").isin(*dates))
-        cols = keys + ["click_count"]
-        if upto is None:
-            return log.select(*cols)
-        return (base.where(F.col("upto") == F.lit(upto)).select(*cols)
-                .unionByName(log.where(F.col("batch_id") > F.lit(upto)).select(*cols)))
-
-    def _summed(self, name: str, through_batch: int | None = None) -> DataFrame:
+            usable, later = F.lit(False), F.lit(True)
+            for date, upto in known.items():
+                usable = usable | ((F.col("date") == date) & (F.col("upto") == F.lit(upto)))
+                later = later & ((F.col("date") != date) | (F.col("batch_id") > F.lit(upto)))
+            return base.where(usable).select(*cols).unionByName(log.where(later).select(*cols))
+        after = log.join(newest, "date", "left").where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
+        return base.join(newest, ["date", "upto"], "left_semi").select(*cols).unionByName(after.select(*cols))
+
+    def _summed(self, name: str, through_batch: int | None = None, dates: list[str] | None = None) -> DataFrame:
         keys = self.LOGS[name][1]
-        return (self.log_rows(name, through_batch).groupBy(*keys)
+        return (self.log_rows(name, through_batch, dates).groupBy(*keys)
                 .agg(F.sum("click_count").cast("bigint").alias("click_count")))
 
     def compact(self, through_batch: int) -> None:
-        """Fold every log through ``through_batch`` into its base table (partition
-        ``upto=through_batch``); idempotent, so it may run again on replay."""
+        """Fold the logs through ``through_batch`` into their base tables (partition
+        ``upto=through_batch``), only for dates with log rows after their newest base.
+
+        Idempotent, so it may run again on replay: the version rows are written last, and a
+        version counts only for batches after it.
+        """
         for name in self.LOGS:
-            folded = self._summed(name, through_batch).withColumn("upto", F.lit(through_batch).cast("bigint"))
+            log = read_or_empty(self.spark, self.path(name), self.LOGS[name][0])
+            newest = self._newest(name, through_batch)
+            fresh = (log.where(F.col("batch_id") <= F.lit(through_batch)).select("date", "batch_id").distinct()
+                     .join(newest, "date", "left")
+                     .where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))))
+            touched = [r["date"] for r in fresh.select("date").distinct().collect()]
+            if not touched:
+                continue
+            upto = F.lit(through_batch).cast("bigint")
+            folded = self._summed(name, through_batch, touched).withColumn("upto", upto)
             _write(folded, self.path(name + "_base"), ["upto", "date"])
+            done = self.spark.createDataFrame([(d,) for d in touched], "date string").withColumn("upto", upto)
+            _write(done.coalesce(1), self.path(name + "_versions"), ["upto"])
 
     # ------------------------------------------------------------- table views
 
@@ -166,6 +194,7 @@ class AdClickStreamJob:
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
         bid = F.lit(batch_id).cast("bigint")
+        lines = lines.persist()            # the source is read once for clicks and rejects
         clicks, rejects = ads.parse_ad_log(lines)
         _write(rejects.withColumn("batch_id", bid), self.path("rejects"), ["batch_id"])
 
@@ -215,6 +244,7 @@ class AdClickStreamJob:
         finally:
             kept.unpersist()
             clicks.unpersist()
+            lines.unpersist()
 
     # ------------------------------------------------------------- driver
 

@@ -20,6 +20,13 @@ def test_session_job_and_sinks(spark):
     jobs.release(res)
     stat = spark.read.parquet(os.path.join(out, "session_aggr_stat")).first()
     assert stat["task_id"] == 1 and stat["session_count"] == ses.session_rollup(acts).count()
+    # the stored tables' columns, in order
+    assert list(stat.asDict()) == ["task_id", "session_count", "1s_3s", "4s_6s", "7s_9s", "10s_30s", "30s_60s", "1m_3m", "3m_10m",
+                                   "10m_30m", "30m", "1_3", "4_6", "7_9", "10_30", "30_60", "60"]
+    kept = spark.read.parquet(os.path.join(out, "session_detail"))
+    assert kept.columns == ["task_id", "user_id", "session_id", "page_id", "action_time", "search_keyword", "click_category_id",
+                            "click_product_id", "order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids"]
+    assert kept.count() >= spark.read.parquet(os.path.join(out, "top10_session_detail")).count()
     top = spark.read.parquet(os.path.join(out, "top10_category"))
     assert top.count() == 10 and rows(top.select("task_id").distinct()) == [(1,)]
     detail = spark.read.parquet(os.path.join(out, "top10_session_detail"))

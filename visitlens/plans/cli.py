@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     ap.add_argument("--products")
     ap.add_argument("--cities")
     ap.add_argument("--out")
-    ap.add_argument("--materialize", default="persist", choices=["persist", "checkpoint"])
+    ap.add_argument("--materialize", default="checkpoint", choices=["persist", "checkpoint"])
     ap.add_argument("--lines", help="directory of ad click text files (stream source)")
     ap.add_argument("--kafka-servers")
     ap.add_argument("--topics")

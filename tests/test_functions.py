@@ -65,3 +65,18 @@ def test_udf_surface(spark):
     got = rows(df.groupBy("k").agg(group_concat_distinct(concat_long_string(F.col("i"), F.col("s"))).alias("g"),
                                    group_concat_distinct(json_field(F.lit('{"a": 1}'), "a")).alias("j")))
     assert got == [(1, "1:a,2:b", "1"), (2, "null:null", "1")]
+
+
+def test_packed_and_json_fields_as_the_reference_reads_them(spark):
+    from visitlens.functions.columns import json_field, packed_field
+
+    df = spark.createDataFrame([("a=b=|c=d=e|f=|", '{"x.y": "1", "z": "2"}')], "r string, j string")
+    r = df.select(*[packed_field(F.col("r"), k).alias(k) for k in "acf"], json_field(F.col("j"), "x.y").alias("xy"), json_field(F.col("j"), "z").alias("z")).first()
+    assert (r.a, r.c, r.f, r.xy, r.z) == ("b", None, None, "1", "2")
+
+
+def test_value_in_reads_comma_separated_attributes(spark):
+    from visitlens.operators.sessions import value_in
+
+    df = spark.createDataFrame([("a,b",), ("c",), (None,)], "v string")
+    assert [r.v for r in df.where(value_in("v", ["b", "c"])).collect()] == ["a,b", "c"]

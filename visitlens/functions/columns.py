@@ -60,14 +60,11 @@ def bucket_label(c: Column, buckets) -> Column:
 def half_up_ratio(n: Column, d: Column, places: int = 2) -> Column:
     """``n / d`` rounded half-up to ``places`` decimals, exactly, with integer arithmetic.
 
-    ``floor((2 * 10^p * n + d) / (2 * d)) / 10^p``; the quotient of two integers below
-    2^52 is exact or at least 1/d away from the next integer, so ``floor`` of the double
-    quotient equals integer division. Null when ``d`` is 0 or null.
+    ``((2 * 10^p * n + d) div (2 * d)) / 10^p``. Null when ``d`` is 0 or null.
     """
     scale = 10 ** places
     num = F.lit(2 * scale) * n.cast("bigint") + d.cast("bigint")
-    den = F.lit(2) * d.cast("bigint")
-    q = F.floor(num / den)
+    q = F.call_function("div", num, F.lit(2) * d.cast("bigint"))
     return F.when(d.cast("bigint") > 0, q / F.lit(float(scale)))
 
 
@@ -120,11 +117,11 @@ def pack_record(fields: dict[str, Column]) -> Column:
 def packed_field(record: Column, key: str) -> Column:
     """Value of ``key`` in a packed ``k=v|k=v`` record.
 
-    The first segment ``key=value`` whose value is non-empty and holds no ``=`` wins;
-    otherwise null (the reference's reader skips segments that do not split into
-    exactly two parts).
+    The first segment ``key=value`` whose value is non-empty and holds no ``=`` but at its
+    end wins; otherwise null (the reference's reader skips segments that do not split into
+    exactly two parts, and its split drops trailing empty ones).
     """
-    pattern = r"(?:^|\|)\Q" + key + r"\E=([^|=]+)(?:\||$)"
+    pattern = r"(?:^|\|)\Q" + key + r"\E=([^|=]+)=*(?:\||$)"
     v = F.regexp_extract(record, pattern, 1)
     return F.when(v != F.lit(""), v)
 
@@ -137,7 +134,7 @@ def concat_long_string(v: Column, s: Column, sep: str = ":") -> Column:
 
 def json_field(js: Column, field: str) -> Column:
     """Field of a JSON object by bare name (the reference's get_json_object UDF)."""
-    return F.get_json_object(js, "$." + field)
+    return F.get_json_object(js, f"$['{field}']")
 
 
 def group_concat_distinct(c: Column, sep: str = ",") -> Column:

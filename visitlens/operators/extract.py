@@ -32,9 +32,9 @@ def extract_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
         F.sum("session_count").over(by_day).alias("day_session_count"),
         F.size(F.collect_set("date").over(all_rows)).alias("n_days"),
     )
-    day_quota = F.floor(F.lit(total) / F.col("n_days")).cast("bigint")
+    day_quota = F.call_function("div", F.lit(total).cast("bigint"), F.col("n_days").cast("bigint"))
     hour_quota = F.least(
-        F.floor(F.col("session_count") * F.col("day_quota") / F.col("day_session_count")),
+        F.call_function("div", F.col("session_count") * F.col("day_quota"), F.col("day_session_count")),
         F.col("session_count")).cast("bigint")
     return (with_day.withColumn("day_quota", day_quota)
             .select("date", "hour", "session_count", "day_session_count", "day_quota",

@@ -107,9 +107,12 @@ def age_between(params: TaskParams) -> Column | None:
 
 
 def value_in(column: str, values: list[str] | None) -> Column | None:
+    """The attribute, or one of its comma-separated items, is among the values."""
     if values is None:
         return None
-    return F.col(column).cast("string").isin(*values)
+    c = F.col(column).cast("string")
+    several = c.contains(",") & F.arrays_overlap(F.split(c, ","), F.array(*[F.lit(v) for v in values]))
+    return c.isin(*values) | several
 
 
 def array_overlaps(column: str, values: list[str] | None) -> Column | None:

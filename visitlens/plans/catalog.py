@@ -19,7 +19,7 @@ from visitlens.functions.columns import (
 )
 from visitlens.functions.sql import register_sql_functions
 from visitlens.operators import ads, areas, categories as cat, extract, funnel, merges, sessions as ses
-from visitlens.plans.oracle import with_prelude
+from visitlens.plans.oracle import LEVEL_CASE, STEP_BOUNDS, VISIT_BOUNDS, with_prelude
 from visitlens.plans.params import TaskParams
 from visitlens.sources import fixtures as fx
 
@@ -200,7 +200,7 @@ def _bucket_case(col: str, buckets) -> str:
 
 @register("session_visit_histogram",
           f"""SELECT bucket, count(*) AS session_count FROM (
-                SELECT {_bucket_case('visit_length', ses.VISIT_BUCKETS)} AS bucket FROM sess)
+                SELECT {_bucket_case('visit_length', VISIT_BOUNDS)} AS bucket FROM sess)
               WHERE bucket IS NOT NULL GROUP BY bucket""", _sess_cte())
 def q_session_visit_histogram(spark, sf):
     return ses.visit_length_histogram(_sessions(spark, sf))
@@ -208,7 +208,7 @@ def q_session_visit_histogram(spark, sf):
 
 @register("session_step_histogram",
           f"""SELECT bucket, count(*) AS session_count FROM (
-                SELECT {_bucket_case('step_length', ses.STEP_BUCKETS)} AS bucket FROM sess)
+                SELECT {_bucket_case('step_length', STEP_BOUNDS)} AS bucket FROM sess)
               WHERE bucket IS NOT NULL GROUP BY bucket""", _sess_cte())
 def q_session_step_histogram(spark, sf):
     return ses.step_length_histogram(_sessions(spark, sf))
@@ -217,8 +217,8 @@ def q_session_step_histogram(spark, sf):
 def _aggr_stat_sql(src: str) -> str:
     counts = ["count(*) AS session_count"]
     ratios = ["session_count"]
-    for prefix, col, buckets in (("visit", "visit_length", ses.VISIT_BUCKETS),
-                                 ("step", "step_length", ses.STEP_BUCKETS)):
+    for prefix, col, buckets in (("visit", "visit_length", VISIT_BOUNDS),
+                                 ("step", "step_length", STEP_BOUNDS)):
         for name, lo, hi in buckets:
             cond = f"{col} >= {lo}" + ("" if hi is None else f" AND {col} < {hi}")
             counts.append(f"count_if({cond}) AS n_{prefix}_{name}")
@@ -471,8 +471,7 @@ def q_page_convert_rate_string(spark, sf):
 
 # ------------------------------------------------------------------ areas
 
-_LEVEL_CASE = "CASE " + " ".join(f"WHEN area = '{a}' THEN '{lv}'" for a, lv in areas.AREA_LEVELS) + \
-    f" ELSE '{areas.OTHER_AREA_LEVEL}' END"
+_LEVEL_CASE = LEVEL_CASE
 _AREA_CTES = f"""
 basic AS (
   SELECT CAST(c.city_id AS BIGINT) AS city_id, c.city_name, c.area, u.click_product_id AS product_id

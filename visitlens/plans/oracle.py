@@ -7,11 +7,17 @@ pre-registered views ``events``, ``customer`` and ``part``.
 
 from __future__ import annotations
 
-from visitlens.sources.fixtures import AD_PROVINCE_CITIES, CITY_ROWS
-
-_CITY_VALUES = ", ".join(f"({i}, '{n}', '{a}')" for i, n, a in CITY_ROWS)
-_PROVINCES = ", ".join(f"'{p}'" for p, _ in AD_PROVINCE_CITIES)
-_CITIES = ", ".join(f"'{c}'" for _, c in AD_PROVINCE_CITIES)
+# Fixed values, written out here on their own so that a wrong value in the library shows.
+_CITY_VALUES = """(0, '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'), (4, '三亚', '华南'),
+    (5, '武汉', '华中'), (6, '长沙', '华中'), (7, '西安', '西北'), (8, '成都', '西南'), (9, '哈尔滨', '东北')"""
+_PROVINCES = "'Jiangsu', 'Jiangsu', 'Hubei', 'Hubei', 'Hunan', 'Hunan', 'Henan', 'Henan', 'Hebei', 'Hebei'"
+_CITIES = ("'Nanjing', 'Suzhou', 'Wuhan', 'Jingzhou', 'Changsha', 'Xiangtan', 'Zhengzhou', 'Luoyang', "
+           "'Shijiazhuang', 'Zhangjiakou'")
+VISIT_BOUNDS = [("1s_3s", 1, 4), ("4s_6s", 4, 7), ("7s_9s", 7, 10), ("10s_30s", 10, 30), ("30s_60s", 30, 60),
+                ("1m_3m", 60, 180), ("3m_10m", 180, 600), ("10m_30m", 600, 1800), ("30m", 1800, None)]
+STEP_BOUNDS = [("1_3", 1, 4), ("4_6", 4, 7), ("7_9", 7, 10), ("10_30", 10, 30), ("30_60", 30, 60), ("60", 60, None)]
+LEVEL_CASE = """CASE WHEN area IN ('华北', '华东') THEN 'A level' WHEN area IN ('华南', '华中') THEN 'B level'
+    WHEN area IN ('西北', '西南') THEN 'C level' ELSE 'D level' END"""
 
 PRELUDE = f"""
 uva_e AS (

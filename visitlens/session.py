@@ -81,8 +81,8 @@ def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
     * scan splits of ``target_partition_bytes`` (one task reads ~256 MB of parquet);
     * initial shuffle partitions so that the largest shuffle (about the input size,
       before map-side partial aggregation shrinks it) gives ~``target`` bytes per
-      partition, at least two waves of tasks, capped to keep the map-status table
-      manageable; AQE then coalesces small partitions toward the same advisory size and
+      partition, at least two waves of tasks, at most 200,000 to keep the map-status table
+      manageable (so above 50 TB partitions grow: 0.5 GB each at 100 TB); AQE then coalesces small partitions toward the same advisory size and
       splits skewed ones (a partition 5x the median and above 1 GB).
 
     Example: 100 TB on 1000 executors x 8 cores gives 200,000 shuffle partitions

@@ -66,9 +66,23 @@ def _memo(fn):
     return wrapper
 
 
+def _memo_table(fn):
+    """The same for a table's scan plan: file listing, schema and split count once a session."""
+    def wrapper(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, f"table {name}")
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, sf_dir, name)
+        return _MEMO[key]
+    return wrapper
+
+
+@_memo_table
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # the fixture tables are read-only, so their scan plans may be memoised
-    return read_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"), memo=True)
+    """A given table. Each of these small files is one row group, so one task reads it; the rows
+    are then dealt over the cores. Only the fixtures do this, never the library's readers."""
+    df = read_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"))
+    want, n = spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(min(want, 16 * max(n, 1))) if n < want and n <= 64 else df
 
 
 @_memo

@@ -5,37 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-_PLANS: dict[tuple[int, str, str, int], DataFrame] = {}
-
-
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None,
-                 memo: bool = False) -> DataFrame:
-    """Read a parquet table, spreading an input that yields fewer scan tasks than cores.
-
-    Parquet splits no finer than a row group, so a small single-row-group file is read by
-    one task and every narrow step after it (all the column derivations before the first
-    shuffle) would run on one core. Only for such small inputs - fewer splits than cores
-    and at most 64 splits - is a round-robin repartition added, to at most 16 times the
-    split count; a large input is read as is, with no extra shuffle. Filters and column
-    pruning still reach the scan below the repartition.
-
-    With ``memo=True`` the resulting (lazy, immutable) plan is memoised per session and
-    path, so the file listing, footer schema inference and split count are done once per
-    session; each action still reads the files, but files added later are not listed.
-    Use it only for tables that do not change while the session runs (the read-only
-    test fixtures).
-    """
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    key = (id(spark), spark.sparkContext.applicationId, path, want)
-    df = _PLANS.get(key) if memo else None
-    if df is None:
-        df = spark.read.parquet(path)
-        n = df.rdd.getNumPartitions()
-        if n < want and n <= 64:
-            df = df.repartition(min(want, 16 * max(n, 1)))
-        if memo:
-            _PLANS[key] = df
-    return df
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table as it is stored."""
+    return spark.read.parquet(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, user: str | None = None,

@@ -15,12 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.operators.joins import salted_join
+from visitlens.operators.joins import hot_keys, salted_join
 
 DEFAULT_THRESHOLD = 100
 #: The last millisecond of the year 9999.
 MAX_EPOCH_MS = 253_402_300_799_999
-DEFAULT_HOT_USER_ROWS = 2_000_000
 
 
 def parse_ad_log(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -91,24 +90,22 @@ def blacklist_first_batch(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 
 
 def blacklist_filter(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                     batch: Column | None = None, hot_user_rows: int = DEFAULT_HOT_USER_ROWS) -> DataFrame:
+                     batch: Column | None = None, hot_user_rows: int | None = None) -> DataFrame:
     """Clicks kept by the dynamic blacklist: those of unlisted users, and of listed users
     up to and including the batch in which they were listed.
 
     A left outer join of the clicks with the listed users. The listed side comes out of
     an aggregate already partitioned by user, so AQE cannot split a user holding a large
-    share of the clicks; users with more than ``hot_user_rows`` clicks (at most
-    total / hot_user_rows of them, counted from the same per-batch pre-aggregate) are
-    joined salted.
+    share of the clicks; users with more than ``hot_user_rows`` clicks (by default an even
+    share, ``joins.hot_keys``, counted from the same per-batch pre-aggregate) are joined salted.
     """
     b = batch if batch is not None else daily_batch(F.col("ts"))
     per_batch = _per_batch_counts(clicks, batch)
     listed = _first_batch(per_batch, threshold)
     # hot users come from the same pre-aggregate, so its shuffle is shared
-    per_user = (per_batch.groupBy("user_id").agg(F.sum("n").alias("n"))
-                .where(F.col("n") > F.lit(hot_user_rows)).select("user_id"))
+    hot = hot_keys(per_batch.groupBy("user_id").agg(F.sum("n").alias("n")), "user_id", "n", hot_user_rows)
     with_b = clicks.withColumn("_batch", b)
-    return (salted_join(with_b, listed, "user_id", per_user, "left")
+    return (salted_join(with_b, listed, "user_id", hot, "left")
             .where(F.col("first_batch").isNull() | (F.col("_batch") <= F.col("first_batch")))
             .select(*clicks.columns))
 
@@ -120,14 +117,13 @@ def blacklist_users(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 
 
 def anti_join_blacklist(clicks: DataFrame, blacklist: DataFrame,
-                        hot_user_rows: int = DEFAULT_HOT_USER_ROWS) -> DataFrame:
+                        hot_user_rows: int | None = None) -> DataFrame:
     """Drop clicks of users present in ``blacklist`` (left anti join on user_id).
 
     The blacklist is a distinct set (partitioned by user already), so a user with more
-    than ``hot_user_rows`` clicks is joined salted rather than left to one task.
+    than ``hot_user_rows`` clicks (by default an even share) is joined salted rather than left to one task.
     """
-    hot = (clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > F.lit(hot_user_rows)).select("user_id"))
+    hot = hot_keys(clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id", "n", hot_user_rows)
     return salted_join(clicks, blacklist.select("user_id"), "user_id", hot, "left_anti").select(*clicks.columns)
 
 

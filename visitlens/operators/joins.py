@@ -23,20 +23,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 DEFAULT_SALTS = 32
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: str, hot_keys: DataFrame, how: str = "inner",
+def hot_keys(counts: DataFrame, key: str, n: str, more_than: int | None = None) -> DataFrame:
+    """The keys of ``counts`` (one row per key) with more than ``more_than`` rows.
+
+    By default more than an even share, total / shuffle partitions, so that there are at most
+    as many hot keys as partitions, whatever the input.
+    """
+    if more_than is not None:
+        limit = F.lit(more_than)
+    else:
+        parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        limit = counts.agg(F.sum(n)).scalar() / F.lit(parts)
+    return counts.where(F.col(n) > limit).select(key)
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: str, hot: DataFrame, how: str = "inner",
                 salts: int = DEFAULT_SALTS, salt_on: list[str] | None = None) -> DataFrame:
     """Equi-join on ``on`` that spreads hot keys over ``salts`` tasks.
 
-    ``hot_keys`` (one column ``on``) lists the keys known to be heavy on the ``big`` side;
-    its size follows the caller's threshold, so it carries no hint and Spark broadcasts it
-    only when it measures small. Rows of ``big`` with a hot key get a salt from a hash of
+    ``hot`` (a column ``on``) lists the keys known to be heavy on the ``big`` side;
+    ``hot_keys`` makes one (at most as many as shuffle partitions). It carries no hint: Spark
+    broadcasts it when it measures small. Rows of ``big`` with a hot key get a salt from a hash of
     ``salt_on`` (by default three other columns; deterministic, so retried tasks agree); the matching
     ``small`` rows are replicated once per salt. Other keys keep salt 0. The result has
     the same rows as ``big.join(small, on, how)`` for ``how`` in inner, left,
     left_semi, left_anti - but no task holds all rows of a hot key. Both sides are
     shuffled on (key, salt), so AQE's own skew splitting also remains available.
     """
-    hot = hot_keys.select(on).distinct().withColumn("_hot", F.lit(True))
+    hot = hot.select(on).distinct().withColumn("_hot", F.lit(True))
     mixed = salt_on or [c for c in big.columns if c != on][:3] or [on]
     salt = F.pmod(F.xxhash64(*mixed), F.lit(salts).cast("bigint"))
     b = (big.join(hot, on, "left")

@@ -15,7 +15,7 @@ from visitlens.functions.columns import (
     STEP_BUCKETS, VISIT_BUCKETS, bucket_condition, bucket_label, half_up_ratio_sql, nonempty,
     parse_action_time,
 )
-from visitlens.operators.joins import salted_join
+from visitlens.operators.joins import hot_keys, salted_join
 from visitlens.plans.params import TaskParams
 
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -156,23 +156,19 @@ def filter_sessions(sessions_with_users: DataFrame, params: TaskParams) -> DataF
 
 # ---------------------------------------------------------------- detail
 
-DEFAULT_HOT_SESSION_ROWS = 2_000_000
-
-
 def session_detail(actions: DataFrame, sessions: DataFrame,
-                   hot_session_rows: int = DEFAULT_HOT_SESSION_ROWS) -> DataFrame:
+                   hot_session_rows: int | None = None) -> DataFrame:
     """Action rows of the given sessions (left semi join on session_id).
 
     The session side comes out of the roll-up already hash-partitioned by session_id,
     so AQE cannot split a skewed partition of this join. Sessions whose ``step_length``
-    (action count, when the session rows carry it) exceeds ``hot_session_rows`` are
-    therefore joined salted (``joins.salted_join``); there are at most
-    total_rows / hot_session_rows of them.
+    (action count, when the session rows carry it) exceeds ``hot_session_rows`` (by default
+    an even share of all rows, ``joins.hot_keys``) are therefore joined salted.
     """
     ids = sessions.select("session_id")
     if "step_length" not in sessions.columns:
         return actions.join(ids, "session_id", "left_semi")
-    hot = sessions.where(F.col("step_length") > F.lit(hot_session_rows)).select("session_id")
+    hot = hot_keys(sessions.select("session_id", "step_length"), "session_id", "step_length", hot_session_rows)
     return salted_join(actions, ids, "session_id", hot, "left_semi", salt_on=["action_time", "page_id"])
 
 

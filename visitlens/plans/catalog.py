@@ -188,6 +188,14 @@ def q_session_detail(spark, sf):
     return ses.session_detail(_actions(spark, sf), _filtered(spark, sf, "all"))
 
 
+# the same with a low threshold, so that the salted path is taken at every scale
+@register("session_detail_hot",
+          f"SELECT * FROM uva WHERE session_id IN (SELECT session_id FROM su WHERE {FILTER_SQL['all']})",
+          SU_CTE)
+def q_session_detail_hot(spark, sf):
+    return ses.session_detail(_actions(spark, sf), _filtered(spark, sf, "all"), hot_session_rows=3)
+
+
 # ------------------------------------------------------------------ histograms, ratios
 
 def _bucket_case(col: str, buckets) -> str:
@@ -649,6 +657,12 @@ def q_ad_blacklist_filter(spark, sf):
     return _ms(_kept(spark, sf))
 
 
+@register("ad_blacklist_filter_hot", "SELECT epoch_us(ts) // 1000 AS ts_ms, province, city, user_id, ad_id FROM kept",
+          _AD_CTES)
+def q_ad_blacklist_filter_hot(spark, sf):
+    return _ms(ads.blacklist_filter(fx.ad_clicks(spark, sf), BLACKLIST_THRESHOLD, hot_user_rows=60))
+
+
 @register("ad_user_daily_clicks",
           "SELECT strftime(ts, '%Y-%m-%d') AS date, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY ALL",
           _AD_CTES)

@@ -38,7 +38,7 @@ def main() -> None:
              f"Final adaptive plans at `{sf}` on local[8] (`python tools/plan_summary.py`). Counts of "
              "shuffles, join strategies and top-k operators per query. The round-robin shuffle "
              "appears only because each test file is a single parquet row group "
-             "(`sources/readers.read_parquet`); a large input has no such step. Broadcast joins of "
+             "(`sources/fixtures.table`); the library's readers have no such step. Broadcast joins of "
              "user / product dimensions here are AQE's run-time choice for small measured sides.",
              "", "| Query | Plan operators |", "| --- | --- |"]
     for name, fn in QUERIES.items():
@@ -47,6 +47,7 @@ def main() -> None:
         plan = df._jdf.queryExecution().executedPlan().toString()
         if "isFinalPlan=false" in plan:
             raise RuntimeError(f"{name}: not the executed plan")
+        plan = plan.split("== Initial Plan ==")[0]
         counts = Counter()
         for label, pat in PATTERNS:
             n = len(re.findall(pat, plan))

@@ -103,7 +103,7 @@ def blacklist_filter(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     per_batch = _per_batch_counts(clicks, batch)
     listed = _first_batch(per_batch, threshold)
     # hot users come from the same pre-aggregate, so its shuffle is shared
-    hot = hot_keys(per_batch.groupBy("user_id").agg(F.sum("n").alias("n")), "user_id", "n", hot_user_rows)
+    hot = hot_keys(per_batch.groupBy("user_id").agg(F.sum("n").alias("n")), "user_id", "n", clicks, hot_user_rows)
     with_b = clicks.withColumn("_batch", b)
     return (salted_join(with_b, listed, "user_id", hot, "left")
             .where(F.col("first_batch").isNull() | (F.col("_batch") <= F.col("first_batch")))
@@ -123,7 +123,7 @@ def anti_join_blacklist(clicks: DataFrame, blacklist: DataFrame,
     The blacklist is a distinct set (partitioned by user already), so a user with more
     than ``hot_user_rows`` clicks (by default an even share) is joined salted rather than left to one task.
     """
-    hot = hot_keys(clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id", "n", hot_user_rows)
+    hot = hot_keys(clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id", "n", clicks, hot_user_rows)
     return salted_join(clicks, blacklist.select("user_id"), "user_id", hot, "left_anti").select(*clicks.columns)
 
 

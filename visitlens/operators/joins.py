@@ -23,17 +23,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 DEFAULT_SALTS = 32
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, more_than: int | None = None) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str, n: str, rows: DataFrame, more_than: int | None = None) -> DataFrame:
     """The keys of ``counts`` (one row per key) with more than ``more_than`` rows.
 
-    By default more than an even share, total / shuffle partitions, so that there are at most
-    as many hot keys as partitions, whatever the input.
+    By default more than an even share of ``rows``, total / shuffle partitions, so that there
+    are at most as many hot keys as partitions, whatever the input. The total reads no column.
     """
     if more_than is not None:
         limit = F.lit(more_than)
     else:
         parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        limit = counts.agg(F.sum(n)).scalar() / F.lit(parts)
+        limit = rows.agg(F.count(F.lit(1))).scalar() / F.lit(parts)
     return counts.where(F.col(n) > limit).select(key)
 
 

@@ -168,7 +168,7 @@ def session_detail(actions: DataFrame, sessions: DataFrame,
     ids = sessions.select("session_id")
     if "step_length" not in sessions.columns:
         return actions.join(ids, "session_id", "left_semi")
-    hot = hot_keys(sessions.select("session_id", "step_length"), "session_id", "step_length", hot_session_rows)
+    hot = hot_keys(sessions.select("session_id", "step_length"), "session_id", "step_length", actions, hot_session_rows)
     return salted_join(actions, ids, "session_id", hot, "left_semi", salt_on=["action_time", "page_id"])
 
 

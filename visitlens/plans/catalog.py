@@ -711,9 +711,11 @@ _STAT_KEYS = ["date", "province", "city", "ad_id"]
 
 
 def _halves(spark, sf):
-    kept = _kept(spark, sf)
-    early = F.second("ts") < 30
-    return ads.ad_stat(kept.where(early)), ads.ad_stat(kept.where(~early))
+    # one aggregate with a count for each half; both frames read its one shuffle
+    both = (_kept(spark, sf).select(ads.date_key(F.col("ts")).alias("date"), "province", "city", "ad_id", (F.second("ts") < 30).alias("early"))
+            .groupBy(*_STAT_KEYS).agg(F.count_if("early").alias("n_early"), F.count_if(~F.col("early")).alias("n_late")))
+    half = lambda n: both.where(F.col(n) > 0).select(*_STAT_KEYS, F.col(n).alias("click_count"))
+    return half("n_early"), half("n_late")
 
 
 @register("merge_overwrite",

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from visitlens.llm.common import _LOWER, _SPACE, HashIndex, id_text, materialize, text_slices, word_hashes
 
 #: Context bytes (at most 7), and entries of the broadcast table of frequent words.
-DEPTH, FREQUENT = 6, 1 << 19
+DEPTH, FREQUENT = 5, 1 << 19
 #: The end of a text as a word of its own: its hash and its bytes.
 END_HASH, END = 0, b"\n"
 BLANK = 0x20
@@ -67,7 +67,7 @@ def _count_words(docs: DataFrame) -> DataFrame:
         parts, size = [], 0
         for batch in batches:
             at = 0
-            for _, texts in text_slices([batch.select([0, 1])], 4 << 20):
+            for _, texts in text_slices([batch.select([0, 1])], 2 << 20):
                 train = np.asarray(batch.column(2).slice(at, len(texts)).cast(pa.int8()), dtype=bool)
                 at += len(texts)
                 hashes, starts, raw, begin, end = _words(texts)
@@ -305,7 +305,7 @@ def _text_sums(docs: DataFrame, table) -> DataFrame:
         index = HashIndex(hashes)
         for batch in batches:
             at = 0
-            for ids, texts in text_slices([batch.select([0, 1])], 4 << 20):
+            for ids, texts in text_slices([batch.select([0, 1])], 2 << 20):
                 train = batch.column(2).slice(at, len(texts))
                 at += len(texts)
                 found, starts = word_hashes(texts)

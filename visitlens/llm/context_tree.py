@@ -10,7 +10,7 @@ along its path.
 
 As contexts end at word borders, a word's probability doesn't depend on its neighbours: trees
 are built from the counts of distinct words, every distinct word is scored once, and texts
-add up their words' scores. Frequent words (a table of at most FREQUENT entries) are added
+add up their words' scores (the registered query scores running texts, see ``context_stream``). Frequent words (a table of at most FREQUENT entries) are added
 up where the text is read; only rare ones are joined with the table of all words.
 """
 
@@ -247,7 +247,7 @@ def _event_arrays(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.nda
 
 
 def event_scores(counted: DataFrame) -> DataFrame:
-    """(key, log10): the trained trees' probability of every event of ``counted`` (key, c).
+    """(key, log10): the trained trees' probability of every event of ``counted`` (key, c); a count ``n`` stays, if there.
 
     Events are dealt by their last two context bytes: everything below those in the trees
     stays in one task, whose size is the number of distinct contexts and bytes there, not of
@@ -260,17 +260,21 @@ def event_scores(counted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(_parent(top["nodes"]).view(np.int64)), *(pa.array(top[k]) for k in ("zeros", "ones", "whole"))],
                                              names=["node", "zeros", "ones", "whole"])
 
+    stay = [c for c in counted.columns if c == "n"]
+
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
         keys, counts = _event_arrays(batches)
         if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(Subtree(keys, counts).log10(crown.value))], names=["key", "log10"])
+            kept = [pa.concat_arrays([b.column(c) for b in batches]) for c in stay]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *kept, pa.array(Subtree(keys, counts).log10(crown.value))], names=["key", *stay, "log10"])
 
-    dealt = counted.withColumn("last", F.shiftrightunsigned("key", 48)).repartition("last").select("key", "c")
+    dealt = counted.withColumn("last", F.shiftrightunsigned("key", 48)).repartition("last").select("key", "c", *stay)
     sums = dealt.mapInArrow(tops, "node long, zeros double, ones double, whole double").groupBy("node").agg(
         *[F.sum(k).alias(k) for k in ("zeros", "ones", "whole")]).collect()
     columns = [np.array([r[k] for r in sums], np.float64) for k in ("zeros", "ones", "whole")]
     crown = counted.sparkSession.sparkContext.broadcast(Crown(np.array([r.node for r in sums], np.uint64), *columns))
-    return dealt.mapInArrow(scores, "key long, log10 double")
+    return dealt.mapInArrow(scores, ", ".join(["key long", *[f"{c} long" for c in stay], "log10 double"]))
 
 
 def _word_scores(both: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import context_tree, embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import context_stream, embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -88,7 +88,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = context_tree.score(table(spark, sf_dir, "documents"), id_remainder(7) != 2)
+    scored = context_stream.score(table(spark, sf_dir, "documents"), id_remainder(7) != 2)
     return scored.select("doc_id", (id_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score", "bits_per_byte")
 

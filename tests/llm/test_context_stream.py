@@ -87,6 +87,14 @@ def test_untaught_and_empty(spark):
     assert cs.score(empty(spark), F.lit(True)).collect() == []
 
 
+def test_six_context_bytes(spark):
+    """Texts that differ only six bytes before a byte teach different scores."""
+    assert ct.DEPTH >= 6
+    rows = [(k, "pabcdeX") for k in range(9)] + [(10 + k, "qabcdeY") for k in range(9)] + [(30, "pabcdeX"), (31, "pabcdeY")]
+    got = {r.doc_id: r.score for r in cs.score(docs(spark, rows), F.col("doc_id") < 30).collect()}
+    assert got[30] > got[31] + 0.5
+
+
 def test_packed_counts():
     keys = np.array([3, 7, 2**64 - 1], np.uint64)
     got = cs._unpack(cs._pack((keys, np.array([0, 5, 1 << 40]), np.array([1, 5, 1 << 41]))))

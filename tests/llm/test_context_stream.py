@@ -99,3 +99,11 @@ def test_packed_counts():
     keys = np.array([3, 7, 2**64 - 1], np.uint64)
     got = cs._unpack(cs._pack((keys, np.array([0, 5, 1 << 40]), np.array([1, 5, 1 << 41]))))
     assert [x.tolist() for x in got] == [keys.tolist(), [0, 5, 1 << 40], [1, 5, 1 << 41]]
+
+
+def test_bits_per_coded_byte_of_words(spark):
+    """Word contexts: blanks that aren't coded don't lower the code length; a long text is whole."""
+    rows = [(1, " " * 100_000), (2, None), (3, "ab\n\n   cd\t"), (4, " ".join(f"w{i}" for i in range(20_000)))]
+    got = {r.doc_id: r for r in ct.score(docs(spark, rows), F.lit(False)).collect()}
+    assert [got[i].n_bytes for i in (1, 2, 3, 4)] == [0, 0, 6, len(rows[3][1]) + 1]
+    assert all(r.bits_per_byte == pytest.approx(8) for r in got.values())

@@ -312,7 +312,8 @@ def _text_sums(docs: DataFrame, table) -> DataFrame:
             for ids, texts in text_slices([batch.select([0, 1])], 2 << 20):
                 train = batch.column(2).slice(at, len(texts))
                 at += len(texts)
-                found, starts = word_hashes(texts)
+                found, starts, _, begin, end = _words(texts)
+                lengths = end - begin
                 count = len(texts)
                 rows = task + row + np.arange(count)
                 row += count
@@ -320,10 +321,10 @@ def _text_sums(docs: DataFrame, table) -> DataFrame:
                 where = index.find(found)
                 often = where >= 0
                 sums = [np.bincount(whose[often], x[where[often]], count).astype(np.float64) for x in (known, base, log10)]
-                # words and blanks as coded, and the end
-                space = np.array([len(t.encode()) for t in texts], np.int64)
+                # bytes of words and a blank for each, as coded
+                n_bytes = np.bincount(whose, lengths + 1, count).astype(np.int64)
                 seen, times = np.unique(np.stack([whose[~often].astype(np.uint64), found[~often]]), axis=1, return_counts=True) if (~often).any() else (np.empty((2, 0), np.uint64), np.empty(0, np.int64))
-                yield _sum_batch(rows, ids, train, space, np.diff(starts) + 1, sums)
+                yield _sum_batch(rows, ids, train, n_bytes, np.diff(starts) + 1, sums)
                 if len(times):
                     yield _rare_batch(rows[seen[0].astype(np.int64)], seen[1].view(np.int64), times)
 
@@ -355,7 +356,8 @@ def score(docs: DataFrame, training: Column, frequent: int = FREQUENT) -> DataFr
     ``training``: a condition on doc_id; those rows' texts teach the model, all rows are scored.
     base_score: sum over tokens (words and one end) of log10((c + 1) / (N + V + 1)) with a
     token's count c, all N and distinct V training tokens. score: the model's log10
-    probability of the text; bits_per_byte: its code length over the text's bytes (and one end).
+    probability of the text; n_bytes: the bytes coded, those of its words and one blank for each;
+    bits_per_byte: its code length over those and one end.
 
     Null or empty text: its end alone. A null condition (null id) teaches nothing; null ids and repeated rows are kept,
     repeated training rows count as often as they are there. Without any training text all

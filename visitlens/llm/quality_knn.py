@@ -1,7 +1,8 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
-Every document becomes a vector of hashed features of its writing: word shapes, word endings,
-how often words come back, marks and line lengths, each as a bounded, dampened frequency. A
+Every document becomes a vector of hashed features of its writing: sequences of byte kinds, marks
+and measures of repetition, word length, case and size, each as a bounded, dampened frequency. No
+feature holds which words a text has: texts alike in style get like vectors, whatever their terms. A
 truncated SVD of the labelled sample's weighted vectors gives the latent space. The sample's
 latent vectors (a bounded table) are broadcast; each document's exact cosines with all of them
 come from blocked matrix products, and the nearest ones vote with their similarity.
@@ -40,10 +41,10 @@ def _bucket(values: np.ndarray, family: int) -> np.ndarray:
 def features(texts: list[str]) -> np.ndarray:
     """One row per text of square roots of feature shares; an empty text has a feature of its own.
 
-    Families: sequences of four byte kinds, single marks, bytes of words' ends, and bounded
-    measures (share of distinct words, of words equal to the one before, of distinct word
-    pairs, mean word length, upper case, words on a line), each spread over the two nearest
-    of its grid points.
+    Families: sequences of four byte kinds, single marks, and bounded measures (shares of
+    distinct word pairs, of words equal to the one before, of distinct words, mean word
+    length, upper case, marks a word, number of words), each spread over the two nearest of
+    its grid points. No terms are used.
     """
     out = np.zeros((len(texts), FEATURES))
     if not texts:

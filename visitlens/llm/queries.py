@@ -73,8 +73,14 @@ def byte_lengths(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(n > 0, n + 1).alias("length"))
 
 
+def token_lengths(docs: DataFrame, path: str = BYTE_MODEL) -> DataFrame:
+    """Lengths for packing: a model's tokens and one end; nothing for a null or empty text."""
+    n = F.col("n_tokens")
+    return token_files.lengths(docs, path).select("doc_id", F.when(n > 0, n + 1).alias("length"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(byte_lengths(table(spark, sf_dir, "documents")))
+    return packing.pack(token_lengths(table(spark, sf_dir, "documents")))
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

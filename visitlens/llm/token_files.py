@@ -149,6 +149,16 @@ def _coder(path: str) -> KeyedEncoder:
     return _workers[path]
 
 
+def lengths(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens: a row for each row of ``docs``, without an end id (null or empty text: 0). Map-only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(path)
+        for ids, texts in text_slices(batches, TEXT_BYTES):
+            yield pa.RecordBatch.from_arrays([ids, pa.array(coder.encode(texts)[1].astype(np.int64))], names=["doc_id", "n_tokens"])
+
+    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long")
+
+
 def write(docs: DataFrame, path: str, out: str, end_id: int = 0, block_ids: int = BLOCK_IDS) -> None:
     """Encode every whole text, append ``end_id``, and write blocks in ascending doc_id order.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.llm import near_dedup, packing, quality_knn, quality_rules
-from visitlens.llm.common import fresh_path
+from visitlens.llm.common import fresh_path, fresh_prefix
 from visitlens.llm.queries import KEEP_SCORE, byte_lengths, quality_model
 
 
@@ -28,13 +28,14 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup on five-word shingles at 0.8: the document with the smallest id of each group stays, once.
 
-    Documents without an id link with nothing and stay.
+    Rows are told apart by id and text: of an id with several texts, those that are alike stay
+    once, and an unlike one is judged on its own. Documents without an id link with nothing and stay.
     """
-    found = near_dedup.near_duplicates(docs, width=5, percent=80)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull())
-    stay = named.join(gone, named["doc_id"] == gone["gone_id"], "left_anti").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.filter(F.col("doc_id").isNull()))
+    stay = near_dedup.survivors(docs, width=5, percent=80)
+    mark = fresh_prefix(docs) + "hash"
+    named = docs.filter(F.col("doc_id").isNotNull()).withColumn(mark, near_dedup.text_hash())
+    kept = named.join(stay, (F.col("doc_id").cast("long") == F.col("stay_id")) & (F.col(mark) == F.col("stay_hash")), "left_semi")
+    return kept.dropDuplicates(["doc_id", mark]).drop(mark).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -119,17 +119,30 @@ def joint_estimate(n_a: np.ndarray, n_b: np.ndarray, above: np.ndarray, below: n
 
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_slices(batches, 1 << 20):
-            sets = shingle_sets(texts, width)
-            with np.errstate(over="ignore"):
-                marks = np.array([[s.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(s ^ np.uint64(0x5851F42D4C957F2D)))] for s in sets], np.uint64)
-            marks = marks.reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
-                 pa.array([registers(s).tobytes() for s in sets], pa.binary())],
-                names=["doc_id", "n_shingles", "mark1", "mark2", "registers"])
+        for batch in batches:
+            at = 0
+            for ids, texts in text_slices([batch.select([0, 1])], 1 << 20):
+                text_hash = batch.column(2).slice(at, len(texts))
+                at += len(texts)
+                yield sketch(ids, texts, text_hash)
+
+    def sketch(ids: pa.Array, texts: list[str], text_hash: pa.Array) -> pa.RecordBatch:
+        sets = shingle_sets(texts, width)
+        with np.errstate(over="ignore"):
+            marks = np.array([[s.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(s ^ np.uint64(0x5851F42D4C957F2D)))] for s in sets], np.uint64)
+        marks = marks.reshape(-1, 2).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [ids, text_hash, pa.array([len(s) for s in sets], pa.int64()), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
+             pa.array([registers(s).tobytes() for s in sets], pa.binary())],
+            names=["doc_id", "text_hash", "n_shingles", "mark1", "mark2", "registers"])
+
+    return id_text(docs).withColumn("text_hash", text_hash()).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, mark1 long, mark2 long, registers binary")
+
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, mark1 long, mark2 long, registers binary")
+def text_hash() -> Column:
+    """What tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -333,6 +346,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     id with several texts has one row each, judged by its own text. An empty table gives none;
     other columns are ignored. A text is handled whole.
     """
+    return _judged(docs, width, percent).select(
+        "doc_id", "n_shingles",
+        F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id")).cast("long").alias("component_id")
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def survivors(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """stay_id, stay_hash: the id and ``text_hash`` of one row of each component, the smallest; of an id's empty sets, of one.
+
+    Texts of one id are judged each on its own: an unlike one stays. Rows without an id aren't among them.
+    """
+    named = _judged(docs, width, percent).filter(F.col("doc_id").isNotNull())
+    least = F.min(F.struct("doc_id", "text_hash")).alias("s")
+    some = named.filter("n_shingles > 0").groupBy("component").agg(least).select("s.doc_id", "s.text_hash")
+    none = named.filter("n_shingles = 0").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
+    return some.unionByName(none).toDF("stay_id", "stay_hash")
+
+
+def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, component (a component's own number): a row for each row of ``docs``."""
     sketched = materialize(_sketches(docs, width), "near-sketches")
     whole = sketched.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     key = ["n_shingles", "mark1", "mark2"]
@@ -389,9 +422,5 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     least = labels.join(nodes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = classes.join(labels, "node", "left").join(least, "label", "left")
-    of_class = materialize(of_node.select(*key, F.coalesce("component_id", "rep").alias("component_id")), "near-components")
-    found = sketched.drop("registers").join(of_class, key, "left")
-    return found.select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id")).cast("long").alias("component_id")
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    of_class = materialize(of_node.select(*key, F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("label", "node").alias("component")), "near-components")
+    return sketched.drop("registers").join(of_class, key, "left").select("doc_id", "text_hash", "n_shingles", "component_id", "component")

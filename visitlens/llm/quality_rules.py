@@ -130,7 +130,7 @@ def ledger(docs: DataFrame) -> DataFrame:
 def _book(docs: DataFrame, prefix: str = "") -> DataFrame:
     """``docs`` with the measurements and ``failed`` appended, under names with ``prefix``."""
     measured = append_from_text(docs, lambda texts: [pa.array(x, pa.int64()) for x in _measure(texts)],
-                                ", ".join(f"{prefix}{m} long" for m in MEASURES), max_bytes=8 << 20)
+                                ", ".join(f"{prefix}{m} long" for m in MEASURES))
     bits = [F.when(r.fails, F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long")) for r in rules(prefix)]
     total = bits[0]
     for b in bits[1:]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import context_stream, embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files
+from visitlens.llm import collocations, context_stream, embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files, whitening
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -124,6 +124,45 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, most=5, top=2000)
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS s
+  FROM w, unnest(range(1, 6)) AS a(k), unnest(range(1, len(ws) - k + 2)) AS b(i)),
+f AS (SELECT lang, k, s, count(*) AS f FROM g GROUP BY lang, k, s),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, s, f AS a, string_split(s, ' ') AS ws FROM f WHERE k > 1 AND f >= 100),
+sub AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS s, max(a) AS g
+  FROM c, unnest(range(2, k)) AS x(m), unnest(range(1, k - m + 2)) AS y(i) GROUP BY ALL),
+cut AS (
+  SELECT c.lang, c.s, c.a, j, l.f AS l, r.f AS r, n.n, (1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f) AS score
+  FROM c LEFT JOIN sub ON sub.lang = c.lang AND sub.s = c.s, unnest(range(1, c.k)) AS z(j)
+  JOIN f l ON l.lang = c.lang AND l.s = array_to_string(c.ws[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.s = array_to_string(c.ws[j + 1:c.k], ' ')
+  JOIN n ON n.lang = c.lang
+  WHERE sub.g IS NULL OR 100 * sub.g < 100 * c.a),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM best)
+SELECT lang, rank::BIGINT AS rank, s AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, components=32, scale=64.0, offset=1_000_000)
+    return whitening.by_component(whitening.whiten(vectors, model), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -135,7 +174,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_tree": op8_context_tree,
     "op9_chat_format": op9_chat_format,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_collocations": op12_collocations,
+    "op13_whitening": op13_whitening,
 }
 
 #: Queries that SQL can express; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {"op4_quality_rules": OP4_SQL}
+ORACLE: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op12_collocations": OP12_SQL}

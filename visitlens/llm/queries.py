@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import collocations, context_stream, embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files, whitening
+from visitlens.llm import collocations, context_stream, embedding_dedup, near_dedup, packing, quality_knn, quality_rules, reply_trees, sentencepiece_fst, token_counts, token_files, toxicity, whitening
 from visitlens.llm.common import fresh_path
 
 #: Production parameters.
@@ -18,6 +18,9 @@ BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 #: Documents of at least this score are predicted good.
 KEEP_SCORE = 0.7
 
+#: Documents of at least this score are predicted toxic.
+TOXIC_SCORE = 0.3
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -124,6 +127,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), id_remainder(4) != 2))
+    return scored.select("doc_id", (id_remainder(4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=100, most=5, top=2000)
 
@@ -174,6 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_tree": op8_context_tree,
     "op9_chat_format": op9_chat_format,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_toxicity": op11_toxicity,
     "op12_collocations": op12_collocations,
     "op13_whitening": op13_whitening,
 }

@@ -6,7 +6,8 @@ capacity is SLACK times the partition's mass over the least count, so that no co
 SLACK-th of the least count: every n-gram that frequent survives, whatever the tasks' shares of it.
 
 Second pass: a Bloom filter of fixed size over the survivors is broadcast; n-grams that pass it are added up
-in each task and then by their words, so counts are exact and false survivors fall away.
+in each task, sent in blocks to hash partitions and added up by their words: counts are exact, false survivors
+fall away.
 
 Scores, cuts and containment are joins and aggregates over the frequent phrases alone.
 """
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,9 +72,9 @@ class Grams:
 
 
 def _add_up(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their counts."""
+    """Distinct keys in order and their counts; without ``counts``, ``keys`` itself is sorted."""
     if counts is None:
-        keys = np.sort(keys)
+        keys.sort()
     else:
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
@@ -134,7 +136,10 @@ def _sent(texts: DataFrame, most: int, bits: int, parts: int) -> DataFrame:
     edges = np.array([-(-(p << bits) // parts) for p in range(parts + 1)], np.uint64)
 
     def blocks(waiting: list[np.ndarray], mass: np.ndarray) -> pa.RecordBatch:
-        cells, counts = _add_up(np.concatenate(waiting) >> np.uint64(64 - bits))
+        cells = np.concatenate(waiting)
+        waiting.clear()
+        cells >>= np.uint64(64 - bits)
+        cells, counts = _add_up(cells)
         at = np.searchsorted(cells, edges)
         sums = np.concatenate(([0], np.cumsum(counts)))
         mass += np.diff(sums[at])
@@ -157,7 +162,7 @@ def _sent(texts: DataFrame, most: int, bits: int, parts: int) -> DataFrame:
                     size += len(hashes)
                 if size >= CHUNK:
                     yield blocks(waiting, mass)
-                    waiting, size = [], 0
+                    size = 0
         if size:
             yield blocks(waiting, mass)
         some = np.flatnonzero(mass)
@@ -212,53 +217,104 @@ def _filter(bits: DataFrame) -> np.ndarray:
     return out
 
 
-def _counted(texts: DataFrame, most: int, bits: int, survivors: np.ndarray) -> DataFrame:
-    """lang, phrase, n_words, f: n-grams that pass the filter, added up per task; the phrase of no words counts all words."""
-    sent = texts.sparkSession.sparkContext.broadcast(survivors)
+_PHRASES = "part int, lang array<string>, phrase array<string>, n_words array<int>, f array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passing = sent.value
 
-        def rows(langs: list[str], phrases: list[bytes], sizes: list[int], counts: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                                               pa.array(sizes, pa.int32()), pa.array(counts, pa.int64())], names=["lang", "phrase", "n_words", "f"])
+def _counted(texts: DataFrame, most: int, bits: int, parts: int, survivors: np.ndarray) -> DataFrame:
+    """Blocks of phrases by hash partition with their counts in a task: n-grams that pass the filter; the phrase of no
+    words counts all words."""
+    sent = texts.sparkSession.sparkContext.broadcast(survivors)
 
-        def fresh() -> tuple:
-            return HashIndex(), [], [], [], np.zeros(0, np.int64)
+    class Counts:
+        """Counts of distinct n-grams by their hashes."""
+
+        def __init__(self):
+            self.index, self.keys, self.counts = HashIndex(), [], np.zeros(0, np.int64)
+            self.langs: list[str] = []
+            self.phrases: list[bytes] = []
+            self.sizes: list[int] = []
+
+        def add(self, grams: Grams, names: list[str], k: int, first: np.ndarray, hashes: np.ndarray) -> None:
+            keys, where, n = np.unique(hashes, return_index=True, return_counts=True)
+            place = self.index.find(keys)
+            new = np.flatnonzero(place < 0)
+            if len(new):
+                place[new] = self.index.size + np.arange(len(new))
+                self.index.add(keys[new])
+                self.keys.append(keys[new])
+                at = first[where[new]]
+                self.langs += [names[i] for i in grams.owner[at].tolist()]
+                self.phrases += [grams.phrase(i, k) for i in at.tolist()]
+                self.sizes += [k] * len(new)
+                self.counts = np.concatenate([self.counts, np.zeros(len(new), np.int64)])
+            self.counts[place] += n
+
+        def blocks(self, total: dict[tuple[str, int], int]) -> pa.RecordBatch:
+            keys = np.concatenate([*self.keys, np.array([h for _, h in total], np.int64).astype(np.uint64)])
+            flat = [pa.array(self.langs + [lang for lang, _ in total], pa.string()),
+                    pa.array(self.phrases + [b""] * len(total), pa.binary()).cast(pa.string()),
+                    pa.array(self.sizes + [0] * len(total), pa.int32()),
+                    pa.array(np.concatenate([self.counts, np.array(list(total.values()), np.int64)]))]
+            part = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            order = np.argsort(part, kind="stable")
+            some, at = np.unique(part[order], return_index=True)
+            at = pa.array(np.append(at, len(order)), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, column.take(pa.array(order))) for column in flat]
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *lists], names=["part", "lang", "phrase", "n_words", "f"])
 
-        index, langs, phrases, sizes, counts = fresh()
-        total: dict[str, int] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing, counts = sent.value, Counts()
+        total: dict[tuple[str, int], int] = {}
         for batch in batches:
             lang_hashes = _lang_hashes(batch.column(0))
             for a, b in cuts(batch.column(1), 1 << 20):
                 names = batch.column(2).slice(a, b - a).to_pylist()
                 grams = Grams(batch.column(1).slice(a, b - a).to_pylist(), lang_hashes[a:b], most)
-                for name, n in zip(names, np.bincount(grams.owner, minlength=b - a).tolist()):
-                    total[name] = total.get(name, 0) + n
+                n = np.bincount(grams.owner, minlength=b - a).tolist()
+                for key, words in zip(zip(names, lang_hashes[a:b].astype(np.int64).tolist()), n):
+                    total[key] = total.get(key, 0) + words
                 for k, (first, hashes) in enumerate(zip(grams.first, grams.hashes), 1):
                     hit = np.ones(len(hashes), bool)
                     for at in _bit_positions(hashes >> np.uint64(64 - bits)):
                         hit &= (passing[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                    keys, where, n = np.unique(hashes[hit], return_index=True, return_counts=True)
-                    place = index.find(keys)
-                    new = np.flatnonzero(place < 0)
-                    if len(new):
-                        place[new] = index.size + np.arange(len(new))
-                        index.add(keys[new])
-                        for i in first[hit][where[new]].tolist():
-                            langs.append(names[grams.owner[i]])
-                            phrases.append(grams.phrase(i, k))
-                            sizes.append(k)
-                        counts = np.concatenate([counts, np.zeros(len(new), np.int64)])
-                    counts[place] += n
-                if index.size >= KNOWN:
-                    yield rows(langs, phrases, sizes, counts)
-                    index, langs, phrases, sizes, counts = fresh()
-        yield rows(langs, phrases, sizes, counts)
-        yield rows(list(total), [b""] * len(total), [0] * len(total), np.array(list(total.values()), np.int64))
-
-    found = texts.select("lang_hash", "text", "lang").mapInArrow(run, "lang string, phrase string, n_words int, f long")
-    return found.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f"))
+                    counts.add(grams, names, k, first[hit], hashes[hit])
+                if counts.index.size >= KNOWN:
+                    yield counts.blocks({})
+                    counts = Counts()
+        yield counts.blocks(total)
+
+    return texts.select("lang_hash", "text", "lang").mapInArrow(run, _PHRASES)
+
+
+def _added(blocks: DataFrame, least: int, parts: int) -> DataFrame:
+    """lang, phrase, n_words, f: the blocks of each partition added up by language and words."""
+    columns = ["lang", "phrase", "n_words", "f"]
+
+    def add(tables: list[pa.Table]) -> pa.Table:
+        got = pa.concat_tables(tables).group_by(columns[:3]).aggregate([("f", "sum")])
+        return got.rename_columns(["f" if c == "f_sum" else c for c in got.column_names]).select(columns)
+
+    def out(waiting: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        if waiting:
+            done = add(waiting)
+            yield from done.filter(pc.or_(pc.greater_equal(done["f"], least), pc.equal(done["n_words"], 0))).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, waiting, size = -1, [], 0
+        for batch in batches:
+            for i, p in enumerate(batch.column(0).to_pylist()):
+                if p != part:
+                    yield from out(waiting)
+                    part, waiting, size = p, [], 0
+                waiting.append(pa.table([batch.column(k)[i].values for k in range(1, 5)], names=columns))
+                size += waiting[-1].num_rows
+                if size > 2 * waiting[0].num_rows + KNOWN // 4:  # what is kept is the sums so far, at the front
+                    waiting = [add(waiting)]
+                    size = waiting[0].num_rows
+        yield from out(waiting)
+
+    dealt = blocks.repartition(max(1, parts // 2), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "lang string, phrase string, n_words int, f long")
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, most: int = 5, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -272,8 +328,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, most: int = 5, text_col:
     # cells have 256 times as many values as there can be n-grams, so few share one; a shared cell only adds a survivor
     bits = min(max(32, (size * most // 2).bit_length() + 8), 46)
     survivors = _filter(_survivor_bits(_sent(texts, most, bits, parts), least, bits, parts))
-    counted = _counted(texts, most, bits, survivors)
-    return materialize(counted.filter((F.col("f") >= least) | (F.col("n_words") == 0)), "phrases")
+    return materialize(_added(_counted(texts, most, bits, parts, survivors), least, parts), "phrases")
 
 
 def _part(words: Column, start: Column, length: Column) -> Column:
@@ -318,5 +373,5 @@ def collocations(docs: DataFrame, least: int = 100, most: int = 5, top: int = 20
             .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"), F.first("a").alias("a"), F.first("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (best.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
-            .withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
-            .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+            .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))

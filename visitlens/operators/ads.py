@@ -156,9 +156,13 @@ def province_top_ads(stat: DataFrame, k: int = 3) -> DataFrame:
 def click_trend(clicks: DataFrame) -> DataFrame:
     """(date yyyy-MM-dd, hour, minute, ad_id, click_count) per event-time minute."""
     m = F.date_trunc("minute", F.col("ts"))
-    return (clicks.groupBy(m.alias("m"), "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
-            .select(day(F.col("m")).alias("date"), F.date_format("m", "HH").alias("hour"),
-                    F.date_format("m", "mm").alias("minute"), "ad_id", "click_count"))
+    return minute_keys(clicks.groupBy(m.alias("m"), "ad_id").agg(F.count(F.lit(1)).alias("click_count")))
+
+
+def minute_keys(counts: DataFrame) -> DataFrame:
+    """Counts per minute ``m`` under the trend table's column names."""
+    return counts.select(day(F.col("m")).alias("date"), F.date_format("m", "HH").alias("hour"),
+                         F.date_format("m", "mm").alias("minute"), "ad_id", "click_count")
 
 
 def click_trend_window(clicks: DataFrame, as_of: str, minutes: int = 60) -> DataFrame:
@@ -166,3 +170,74 @@ def click_trend_window(clicks: DataFrame, as_of: str, minutes: int = 60) -> Data
     end = F.to_timestamp(F.lit(as_of))
     start = end - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     return click_trend(clicks.where((F.col("ts") > start) & (F.col("ts") <= end)))
+
+
+#: Panes of the sliding trend and the blocks of time (a day) that its running sums are cut into.
+SLIDE_SECONDS, WINDOW_SECONDS, BLOCK_SECONDS = 10, 3600, 86_400
+
+
+def click_panes(clicks: DataFrame, slide: int = SLIDE_SECONDS) -> DataFrame:
+    """(ad_id, pane, click_count): clicks per ``slide`` seconds; pane p covers [p * slide, (p + 1) * slide) since the epoch."""
+    pane = F.floor(F.unix_seconds("ts") / slide)
+    return clicks.groupBy("ad_id", pane.alias("pane")).agg(F.count(F.lit(1)).alias("click_count"))
+
+
+def sliding_runs(panes: DataFrame, slide: int = SLIDE_SECONDS, window: int = WINDOW_SECONDS,
+                 block: int = BLOCK_SECONDS) -> DataFrame:
+    """(ad_id, first_end, last_end, click_count): runs of slide ends, counted in slides since the epoch, with one
+    positive window count. The window that ends at e holds the panes e - window / slide to e - 1.
+
+    A pane is counted once: it is added where it enters the windows and taken off where it has left them, and a
+    running sum over those changes gives all windows between. Sums run inside (ad, block of time), so a task holds at most a
+    block's slides, however many clicks or years an ad has; a pane near a block's end also opens the next block
+    at its start. Runs end with their block.
+    """
+    width, span = window // slide, block // slide
+    if window % slide or block % slide or span < width:
+        raise ValueError("window and block must be multiples of slide, and a block no shorter than a window")
+    e = F.col("pane") + 1
+    own = F.floor(e / span)
+    leaves = e + width
+
+    def change(at_block, at, n):
+        return F.struct(at_block.cast("long").alias("block"), at.cast("long").alias("e"), n.cast("long").alias("n"))
+
+    n = F.col("click_count")
+    none = F.lit(None).cast("struct<block:bigint,e:bigint,n:bigint>")
+    later = F.floor((leaves - 1) / span) > own  # still counted when the next block begins
+    changes = F.array_compact(F.array(
+        change(own, e, n),
+        F.when(~later & (leaves < (own + 1) * span), change(own, leaves, -n)).otherwise(none),
+        F.when(later, change(own + 1, (own + 1) * span, n)).otherwise(none),
+        F.when(later, change(own + 1, leaves, -n)).otherwise(none)))
+    steps = (panes.select("ad_id", F.explode(changes).alias("c")).groupBy("ad_id", "c.block", "c.e")
+             .agg(F.sum("c.n").alias("n")))
+    w = Window.partitionBy("ad_id", "block").orderBy("e")
+    runs = steps.select("ad_id", F.col("e").alias("first_end"),
+                        (F.coalesce(F.lead("e").over(w), (F.col("block") + 1) * span) - 1).alias("last_end"),
+                        F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("click_count"))
+    return runs.where(F.col("click_count") > 0)
+
+
+def sliding_trend(clicks: DataFrame, slide: int = SLIDE_SECONDS, window: int = WINDOW_SECONDS) -> DataFrame:
+    """(window_end timestamp, ad_id, click_count): for every slide end, each ad's clicks of the ``window`` seconds before
+    it (from, inclusive, to the end, exclusive); a row for each slide end and ad with clicks. No click is replicated over
+    its windows: only the finished runs are spread over their slide ends.
+    """
+    return slide_ends(sliding_runs(click_panes(clicks, slide), slide, window), slide)
+
+
+def slide_ends(runs: DataFrame, slide: int = SLIDE_SECONDS) -> DataFrame:
+    """(window_end timestamp, ad_id, click_count): the runs with a row for each of their slide ends."""
+    ends = runs.select(F.explode(F.sequence("first_end", "last_end")).alias("e"), "ad_id", "click_count")
+    return ends.select(F.timestamp_seconds(F.col("e") * slide).alias("window_end"), "ad_id", "click_count")
+
+
+def sliding_peaks(clicks: DataFrame, slide: int = SLIDE_SECONDS, window: int = WINDOW_SECONDS) -> DataFrame:
+    """(ad_id, peak_clicks, peak_end, active_seconds): each ad's greatest window count, the first slide end that has it and
+    the time covered by slide ends with clicks; from the runs alone, no slide end is listed."""
+    runs = sliding_runs(click_panes(clicks, slide), slide, window)
+    first = F.min(F.struct((-F.col("click_count")).alias("n"), "first_end"))
+    return (runs.groupBy("ad_id").agg(first.alias("p"), F.sum(F.col("last_end") - F.col("first_end") + 1).alias("ends"))
+            .select("ad_id", (-F.col("p.n")).alias("peak_clicks"), F.timestamp_seconds(F.col("p.first_end") * slide).alias("peak_end"),
+                    (F.col("ends") * slide).alias("active_seconds")))

@@ -9,6 +9,7 @@ date range, a one-hour trend window, a top-k).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,18 +22,22 @@ from visitlens.functions.sql import register_sql_functions
 from visitlens.operators import ads, areas, categories as cat, extract, funnel, merges, sessions as ses
 from visitlens.plans.oracle import LEVEL_CASE, STEP_BOUNDS, VISIT_BOUNDS, with_prelude
 from visitlens.plans.params import TaskParams
+from visitlens.session import checkpoint_dir
 from visitlens.sources import fixtures as fx
+from visitlens.sources.keyed_table import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+ORACLE_BODY: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None, ctes: str = ""):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
+            ORACLE_BODY[name] = sql
             ORACLE[name] = with_prelude(sql, ctes)
         return fn
     return deco
@@ -700,6 +705,32 @@ def q_ad_click_trend_last_hour(spark, sf):
     return ads.click_trend_window(_kept(spark, sf), TREND_AS_OF, 60)
 
 
+# Independent of the operator's running sums: a dense grid of slide ends and a frame of 360 panes.
+_SLIDE_CTES = _AD_CTES + """,
+panes AS (SELECT ad_id, CAST(floor(epoch(ts) / 10) AS BIGINT) AS pane, count(*) AS n FROM kept GROUP BY ALL),
+grid AS (
+  SELECT ad_id, unnest(range(lo + 1, hi + 361)) AS e
+  FROM (SELECT ad_id, min(pane) AS lo, max(pane) AS hi FROM panes GROUP BY ad_id)),
+slides AS (
+  SELECT g.ad_id, e, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY g.ad_id ORDER BY e
+                          ROWS BETWEEN 359 PRECEDING AND CURRENT ROW) AS BIGINT) AS click_count
+  FROM grid g LEFT JOIN panes p ON p.ad_id = g.ad_id AND p.pane = g.e - 1)"""
+
+
+@register("ad_click_trend_sliding",
+          "SELECT e * 10 AS window_end_s, ad_id, click_count FROM slides WHERE click_count > 0", _SLIDE_CTES)
+def q_ad_click_trend_sliding(spark, sf):
+    return ads.sliding_trend(_kept(spark, sf)).select(F.unix_seconds("window_end").alias("window_end_s"), "ad_id", "click_count")
+
+
+@register("ad_click_trend_peaks",
+          """SELECT ad_id, max(click_count) AS peak_clicks, arg_min(e, (-click_count, e)) * 10 AS peak_end_s,
+                    count(*) * 10 AS active_seconds
+             FROM slides WHERE click_count > 0 GROUP BY ad_id""", _SLIDE_CTES)
+def q_ad_click_trend_peaks(spark, sf):
+    return ads.sliding_peaks(_kept(spark, sf)).select("ad_id", "peak_clicks", F.unix_seconds("peak_end").alias("peak_end_s"), "active_seconds")
+
+
 # merges: the earlier half-minute's stat is the stored table, the later half the update
 
 _MERGE_CTES = _AD_CTES + """,
@@ -753,3 +784,42 @@ def q_merge_replace_group(spark, sf):
     top_a = ads.province_top_ads(a, 3)
     top_b = ads.province_top_ads(b, 3)
     return merges.merge_replace_group(top_a, top_b, ["date", "province"])
+
+
+# the same merges through the stored merge-on-read table: two commits, the second one folded
+
+def _stat_store(spark: SparkSession, schema: str, keys: list[str], group: list[str] | None = None) -> KeyedTable:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}"
+    return KeyedTable(spark, path, schema, keys, ["click_count"], group, buckets=8)
+
+
+_STAT_DDL = "date string, province string, city string, ad_id bigint, click_count bigint"
+
+
+@register("keyed_table_overwrite", ORACLE_BODY["merge_overwrite"], _MERGE_CTES)
+def q_keyed_table_overwrite(spark, sf):
+    a, b = _halves(spark, sf)
+    store = _stat_store(spark, _STAT_DDL, _STAT_KEYS)
+    store.overwrite(a, 0)
+    store.overwrite(b, 1)
+    return store.current()
+
+
+@register("keyed_table_add", ORACLE_BODY["merge_add"], _MERGE_CTES)
+def q_keyed_table_add(spark, sf):
+    a, b = _halves(spark, sf)
+    store = _stat_store(spark, _STAT_DDL, _STAT_KEYS)
+    store.add(a, 0)
+    store.compact(0, least=1)
+    store.add(b, 1)
+    return store.current()
+
+
+@register("keyed_table_replace_group", ORACLE_BODY["merge_replace_group"], _MERGE_CTES)
+def q_keyed_table_replace_group(spark, sf):
+    a, b = _halves(spark, sf)
+    store = _stat_store(spark, "date string, province string, ad_id bigint, click_count bigint", ["date", "province", "ad_id"],
+                        ["date", "province"])
+    store.replace_groups(ads.province_top_ads(a, 3), 0)
+    store.replace_groups(ads.province_top_ads(b, 3), 1)
+    return store.current()

@@ -1,5 +1,5 @@
 """Structured Streaming jobs (ad clicks)."""
 
 from visitlens.streaming.ad_stream import (  # noqa: F401
-    AdClickStreamJob, click_trend_updates, kafka_lines, running_ad_stat, text_lines,
+    AdClickStreamJob, click_pane_updates, click_trend_updates, kafka_lines, running_ad_stat, text_lines,
 )

@@ -12,7 +12,8 @@ lines. For every micro-batch, in this order:
 5. append this batch's (date, province, city, ad) counts to ``ad_stat_log``;
 6. recompute the top-k ads of every (date, province) touched by this batch and
    replace those dates in ``province_top`` (dynamic partition overwrite);
-7. append this batch's (minute, ad) counts to ``trend_log``.
+7. append this batch's (ten-second pane, ad) counts to ``trend_log``; minutes and sliding
+   hours are sums of panes.
 
 Exactly-once: every append goes to a partition keyed by ``batch_id`` and is written
 with dynamic partition overwrite, so a micro-batch replayed after a failure rewrites
@@ -34,7 +35,7 @@ from datetime import datetime, timedelta
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql.utils import AnalysisException
@@ -45,10 +46,19 @@ USER_CLICKS_SCHEMA = "user_id bigint, ad_id bigint, click_count bigint, date str
 BLACKLIST_SCHEMA = "user_id bigint, batch_id bigint"
 STAT_SCHEMA = "province string, city string, ad_id bigint, click_count bigint, date string, batch_id bigint"
 TOP_SCHEMA = "province string, ad_id bigint, click_count bigint, date string"
-TREND_SCHEMA = "hour string, minute string, ad_id bigint, click_count bigint, date string, batch_id bigint"
+TREND_SCHEMA = "pane bigint, ad_id bigint, click_count bigint, date string, batch_id bigint"
 REJECTS_SCHEMA = "raw string, batch_id bigint"
 
 
+def pane_start() -> Column:
+    """Where a pane of the trend begins."""
+    return F.timestamp_seconds(F.col("pane") * ads.SLIDE_SECONDS)
+
+
+def _days(first: datetime, last: datetime) -> list[str]:
+    return [(first + timedelta(days=k)).strftime("%Y-%m-%d") for k in range((last.date() - first.date()).days + 1)]
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read a parquet table; an absent table reads as empty with ``schema``."""
     try:
@@ -77,7 +87,7 @@ class AdClickStreamJob:
     LOGS = {
         "user_clicks": (USER_CLICKS_SCHEMA, ["date", "user_id", "ad_id"]),
         "ad_stat_log": (STAT_SCHEMA, ["date", "province", "city", "ad_id"]),
-        "trend_log": (TREND_SCHEMA, ["date", "hour", "minute", "ad_id"]),
+        "trend_log": (TREND_SCHEMA, ["date", "pane", "ad_id"]),
     }
 
     def path(self, name: str) -> str:
@@ -177,15 +187,31 @@ class AdClickStreamJob:
         including that one; just their dates' partitions are read.
         """
         if as_of is None:
-            return self._summed("trend_log")
+            return self._minutes(self.log_rows("trend_log"))
         last = datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S").replace(second=0)
         first = last - timedelta(minutes=minutes - 1)
-        days = [(first + timedelta(days=k)).strftime("%Y-%m-%d") for k in range((last.date() - first.date()).days + 1)]
-        keys = self.LOGS["trend_log"][1]
-        minute = F.concat("date", F.lit(" "), "hour", F.lit(":"), "minute")
-        return (self.log_rows("trend_log", dates=days)
-                .where(minute.between(first.strftime("%Y-%m-%d %H:%M"), last.strftime("%Y-%m-%d %H:%M")))
-                .groupBy(*keys).agg(F.sum("click_count").cast("bigint").alias("click_count")))
+        panes = self.log_rows("trend_log", dates=_days(first, last)).where(
+            pane_start().between(F.lit(first.isoformat(" ")), F.lit((last + timedelta(seconds=59)).isoformat(" "))))
+        return self._minutes(panes)
+
+    @staticmethod
+    def _minutes(panes: DataFrame) -> DataFrame:
+        return ads.minute_keys(panes.groupBy(F.date_trunc("minute", pane_start()).alias("m"), "ad_id")
+                               .agg(F.sum("click_count").cast("bigint").alias("click_count")))
+
+    def sliding_trend(self, first_end: str, last_end: str, window: int = ads.WINDOW_SECONDS) -> DataFrame:
+        """(window_end, ad_id, click_count): each ad's clicks of the ``window`` seconds before every
+        slide end (ten seconds apart) from ``first_end`` to ``last_end`` (yyyy-MM-dd HH:mm:ss); a
+        row where there are any. Only the dates that these windows touch are read.
+        """
+        first, last = (datetime.strptime(t, "%Y-%m-%d %H:%M:%S") for t in (first_end, last_end))
+        panes = self.log_rows("trend_log", dates=_days(first - timedelta(seconds=window), last))
+        summed = panes.groupBy("ad_id", "pane").agg(F.sum("click_count").cast("bigint").alias("click_count"))
+        runs = ads.sliding_runs(summed, window=window)
+        lo, hi = (F.unix_seconds(F.to_timestamp(F.lit(t))) / ads.SLIDE_SECONDS for t in (first_end, last_end))
+        clipped = runs.select("ad_id", "click_count", F.greatest("first_end", F.ceil(lo)).alias("first_end"),
+                              F.least("last_end", F.floor(hi)).alias("last_end"))
+        return ads.slide_ends(clipped.where("first_end <= last_end"))
 
     def rejects(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("rejects"), REJECTS_SCHEMA)
@@ -235,8 +261,9 @@ class AdClickStreamJob:
             _write(top.select("province", "ad_id", "click_count", "date"),
                    self.path("province_top"), ["date"])
 
-            # 7. click trend per event minute
-            trend = ads.click_trend(kept).withColumn("batch_id", bid)
+            # 7. click trend per ten seconds of event time
+            trend = (ads.click_panes(kept).withColumn("date", ads.day(pane_start()))
+                     .withColumn("batch_id", bid))
             _write(trend, self.path("trend_log"), ["date", "batch_id"])
 
             if self.compact_every and (batch_id + 1) % self.compact_every == 0:
@@ -305,6 +332,17 @@ def running_ad_stat(clicks: DataFrame, retention: str | None = None) -> DataFram
                       "click_count")
 
 
+def click_pane_updates(clicks: DataFrame, watermark: str = "31 days") -> DataFrame:
+    """Streaming (ad_id, pane, click_count) per ten seconds of event time, in ``update`` mode the panes
+    a batch changed with their full counts: ``ads.sliding_runs`` over the newest counts
+    gives every sliding window. A native 60-minute window sliding by 10 seconds would
+    put each click into 360 windows of state instead."""
+    agg = (clicks.withWatermark("ts", watermark)
+           .groupBy(F.window("ts", f"{ads.SLIDE_SECONDS} seconds").alias("w"), "ad_id")
+           .agg(F.count(F.lit(1)).alias("click_count")))
+    return agg.select("ad_id", F.floor(F.unix_seconds("w.start") / ads.SLIDE_SECONDS).alias("pane"), "click_count")
+
+
 def click_trend_updates(clicks: DataFrame, watermark: str = "31 days") -> DataFrame:
     """Streaming per-minute click counts (date, hour, minute, ad_id, click_count).
 

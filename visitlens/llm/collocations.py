@@ -28,7 +28,7 @@ from visitlens.operators.joins import broadcast_if_small
 #: A counter loses at most 1 / SLACK of the least count; bits of the survivors' Bloom filter (16 MB).
 SLACK, FILTER_BITS = 4, 27
 #: Text of one hash partition; n-grams that a task adds up before sending; phrases it counts before sending.
-PART_BYTES, CHUNK, KNOWN = 4 << 20, 5 << 19, 1 << 19
+PART_BYTES, CHUNK, KNOWN = 4 << 20, 5 << 18, 1 << 18
 #: Most hash partitions; beyond 256 GB of text a partition's summary grows instead.
 MAX_PARTS = 1 << 16
 

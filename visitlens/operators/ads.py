@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.operators.joins import hot_keys, salted_join
+from visitlens.operators.joins import broadcast_if_small, hot_keys, salted_join
+from visitlens.operators.membership import MAX_BROADCAST_PAGES, holds, id_pages, page_of
 
 DEFAULT_THRESHOLD = 100
 #: The last millisecond of the year 9999.
@@ -110,6 +111,31 @@ def blacklist_filter(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
             .select(*clicks.columns))
 
 
+def blacklist_filter_pages(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD, batch: Column | None = None,
+                           max_pages: int = MAX_BROADCAST_PAGES) -> DataFrame:
+    """The same clicks as ``blacklist_filter``, tested against bitmap pages of the listed users.
+
+    A page has a version for every batch that listed users of it, holding all those listed so far; a click
+    looks up one bit of the newest version before its batch. Versions are broadcast if few (checked);
+    otherwise clicks and versions are shuffled by page, and AQE may split a hot page.
+    """
+    b = batch if batch is not None else daily_batch(F.col("ts"))
+    listed = _first_batch(_per_batch_counts(clicks, batch), threshold)
+    w = Window.partitionBy("page").orderBy("first_batch")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    versions = id_pages(listed, "user_id", ["first_batch"]).select(
+        F.col("page").alias("_page"), F.bitmap_or_agg("bits").over(so_far).alias("_bits"),
+        F.col("first_batch").alias("_after"), F.lead("first_batch").over(w).alias("_until"))
+    hint = broadcast_if_small(versions, max_pages)
+    if hint is versions:
+        hint = versions.repartition("_page")  # a shuffle of its own, which AQE may split
+    with_page = clicks.withColumn("_batch", b).withColumn("_page", page_of(F.col("user_id")))
+    newest = ((with_page["_page"] == hint["_page"]) & (F.col("_batch") > F.col("_after"))
+              & (F.col("_until").isNull() | (F.col("_batch") <= F.col("_until"))))
+    return (with_page.join(hint, newest, "left").where(~holds(F.col("_bits"), F.col("user_id")))
+            .select(*[with_page[c] for c in clicks.columns]))
+
+
 def blacklist_users(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
                     batch: Column | None = None) -> DataFrame:
     """Distinct listed users (user_id)."""

@@ -662,6 +662,12 @@ def q_ad_blacklist_filter(spark, sf):
     return _ms(_kept(spark, sf))
 
 
+@register("ad_blacklist_filter_pages", "SELECT epoch_us(ts) // 1000 AS ts_ms, province, city, user_id, ad_id FROM kept",
+          _AD_CTES)
+def q_ad_blacklist_filter_pages(spark, sf):
+    return _ms(ads.blacklist_filter_pages(fx.ad_clicks(spark, sf), BLACKLIST_THRESHOLD))
+
+
 @register("ad_blacklist_filter_hot", "SELECT epoch_us(ts) // 1000 AS ts_ms, province, city, user_id, ad_id FROM kept",
           _AD_CTES)
 def q_ad_blacklist_filter_hot(spark, sf):

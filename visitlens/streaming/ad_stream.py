@@ -5,10 +5,11 @@
 lines. For every micro-batch, in this order:
 
 1. parse the lines (malformed lines go to the ``rejects`` table);
-2. drop clicks of users blacklisted in *earlier* batches (left anti join);
+2. drop clicks of users blacklisted in *earlier* batches (a bit of ``blacklist_pages`` each);
 3. append this batch's (date, user, ad) counts to ``user_clicks``;
 4. list every user whose cumulative (date, user, ad) count, this batch included,
-   reaches the threshold and who is not listed yet, into ``blacklist``;
+   reaches the threshold and who is not listed yet, into ``blacklist``, and OR their bits
+   into the pages touched;
 5. append this batch's (date, province, city, ad) counts to ``ad_stat_log``;
 6. recompute the top-k ads of every (date, province) touched by this batch and
    replace those dates in ``province_top`` (dynamic partition overwrite);
@@ -40,13 +41,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from visitlens.operators import ads
+from visitlens.operators import ads, membership
+from visitlens.sources.keyed_table import KeyedTable
 
 USER_CLICKS_SCHEMA = "user_id bigint, ad_id bigint, click_count bigint, date string, batch_id bigint"
 BLACKLIST_SCHEMA = "user_id bigint, batch_id bigint"
 STAT_SCHEMA = "province string, city string, ad_id bigint, click_count bigint, date string, batch_id bigint"
 TOP_SCHEMA = "province string, ad_id bigint, click_count bigint, date string"
 TREND_SCHEMA = "pane bigint, ad_id bigint, click_count bigint, date string, batch_id bigint"
+#: Batches after which the blacklist's pages are folded.
+PAGES_COMPACT_EVERY = 16
 REJECTS_SCHEMA = "raw string, batch_id bigint"
 
 
@@ -172,6 +176,12 @@ class AdClickStreamJob:
             bl = bl.where(F.col("batch_id") < F.lit(before_batch))
         return bl.select("user_id").distinct()
 
+    def blacklist_pages(self) -> KeyedTable:
+        """The listed users as bitmap pages: what the batches test. Its size follows the range of user ids, not
+        the number of batches: a batch rewrites the pages it adds to, and every PAGES_COMPACT_EVERY
+        batches they are folded and superseded files removed."""
+        return KeyedTable(self.spark, self.path("blacklist_pages"), "page bigint, bits binary", ["page"], buckets=4)
+
     def ad_stat(self) -> DataFrame:
         """Running (date yyyyMMdd, province, city, ad_id, click_count)."""
         return self._summed("ad_stat_log")
@@ -224,9 +234,9 @@ class AdClickStreamJob:
         clicks, rejects = ads.parse_ad_log(lines)
         _write(rejects.withColumn("batch_id", bid), self.path("rejects"), ["batch_id"])
 
-        listed_before = self.blacklist(before_batch=batch_id)
-        clicks = clicks.persist()          # read twice: hot-user count and the anti join
-        kept = ads.anti_join_blacklist(clicks, listed_before).persist()
+        pages = self.blacklist_pages()
+        listed_before = pages.current(before=batch_id).persist()
+        kept = membership.without(clicks, listed_before, "user_id").persist()
         try:
             # the days present in this micro-batch (one or two for a live stream; bounded by
             # the days of late data): every read of a log below prunes to these partitions
@@ -243,11 +253,13 @@ class AdClickStreamJob:
             cumulative = (log.join(keys, ["date", "user_id", "ad_id"], "left_semi")
                           .groupBy("date", "user_id", "ad_id")
                           .agg(F.sum("click_count").alias("click_count")))
-            new_users = (cumulative.where(F.col("click_count") >= F.lit(self.threshold))
-                         .select("user_id").distinct()
-                         .join(listed_before, "user_id", "left_anti")
-                         .withColumn("batch_id", bid))
+            over = cumulative.where(F.col("click_count") >= F.lit(self.threshold)).select("user_id").distinct()
+            new_users = membership.without(over, listed_before, "user_id").withColumn("batch_id", bid)
             _write(new_users, self.path("blacklist"), ["batch_id"])
+            listed_now = read_or_empty(self.spark, self.path("blacklist"), BLACKLIST_SCHEMA).where(F.col("batch_id") == bid)
+            if not listed_now.isEmpty():
+                fresh = membership.id_pages(listed_now, "user_id")
+                pages.overwrite(membership.merge_pages(fresh, listed_before.join(fresh.select("page"), "page", "left_semi")), batch_id)
 
             # 5. running stat
             stat = ads.ad_stat(kept).withColumn("batch_id", bid)
@@ -266,11 +278,13 @@ class AdClickStreamJob:
                      .withColumn("batch_id", bid))
             _write(trend, self.path("trend_log"), ["date", "batch_id"])
 
+            if (batch_id + 1) % PAGES_COMPACT_EVERY == 0 and pages.compact(batch_id, least=2):
+                pages.vacuum(keep_from=batch_id)  # a replay of this batch still finds the pages before it
             if self.compact_every and (batch_id + 1) % self.compact_every == 0:
                 self.compact(batch_id)
         finally:
             kept.unpersist()
-            clicks.unpersist()
+            listed_before.unpersist()
             lines.unpersist()
 
     # ------------------------------------------------------------- driver

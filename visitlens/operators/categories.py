@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.columns import split_ids
+from visitlens.operators.ranking import global_row_number
 
 CLICK, ORDER, PAY = "click", "order", "pay"
 
@@ -76,11 +77,10 @@ def rank_order() -> list:
 def category_ranked(actions: DataFrame) -> DataFrame:
     """Every visited category with its rank by (click, order, pay) descending, id ascending.
 
-    The window has no partition key, but it runs over the per-category aggregate: one
-    row per category, bounded by the category catalogue rather than by event volume.
+    The per-category counts are ranked by ranges (``ranking.global_row_number``), so no task sees all categories.
     """
-    counts = category_counts(actions)
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(*rank_order())))
+    ranked = global_row_number(category_counts(actions), rank_order())
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
 def top_categories(actions: DataFrame, k: int = 10) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.operators.sessions import session_hourly_counts
+from visitlens.session import checkpoint_dir
 
 
 #: Parts into which an hour's sessions are dealt before the draw.
@@ -23,7 +24,11 @@ SALTS = 64
 
 def extract_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
     """(date, hour, session_count, day_session_count, day_quota, hour_quota)."""
-    hourly = session_hourly_counts(sessions)
+    return quota_of_hours(session_hourly_counts(sessions), total)
+
+
+def quota_of_hours(hourly: DataFrame, total: int) -> DataFrame:
+    """The quotas from (date, hour, session_count)."""
     # one row per (date, hour): at most 24 x days rows, so the global window is tiny
     by_day = Window.partitionBy("date")
     all_rows = Window.partitionBy()
@@ -41,17 +46,13 @@ def extract_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
                     hour_quota.alias("hour_quota")))
 
 
-def random_extract(sessions: DataFrame, total: int = 100, seed: str = "42") -> DataFrame:
-    """The sampled sessions: session_id, start_time, search_keywords, click_category_ids.
-
-    Sessions of an hour are ordered by ``md5(session_id || seed)``. The quota is joined
-    first (hours that draw nothing go); then each hour is cut in two steps, by rank within
-    (hour, last digits of the draw) and then within the hour, so no task sees more than
-    ``SALTS`` times an hour's quota, however many sessions the hour has or how many are drawn.
+def hour_samples(sessions: DataFrame, total: int, seed: str) -> DataFrame:
+    """One pass over the sessions: for each (date, hour, salt) its ``total`` first sessions by draw, their places ``rn`` and
+    the number ``n`` of all its sessions.
 
-    ``sessions`` is read twice (ranking and hourly counts, which prune different
-    columns, so Spark cannot share one plan); persist or checkpoint it first when it is
-    expensive, as ``plans.jobs.run_session_job`` does.
+    Mergeable: an hour's first k sessions (k up to ``total``) are the first k of its salts' samples, and its
+    count is the sum of ``n`` over rows with rn 1. Checkpointed to the shared folder (at most
+    ``SALTS * total`` rows an hour).
     """
     keyed = sessions.select(
         "session_id", "start_time", "search_keywords", "click_category_ids",
@@ -59,12 +60,25 @@ def random_extract(sessions: DataFrame, total: int = 100, seed: str = "42") -> D
         F.hour("start_ts").alias("hour"),
         F.md5(F.concat(F.col("session_id"), F.lit(seed))).alias("draw"),
     )
-    quota = extract_quota(sessions, total).select("date", "hour", "hour_quota").where("hour_quota > 0")
-    salted = keyed.join(F.broadcast(quota), ["date", "hour"]).withColumn(
-        "salt", F.pmod(F.conv(F.substring("draw", 29, 4), 16, 10).cast("int"), F.lit(SALTS)))
-    order = ["draw", "session_id"]
-    part = Window.partitionBy("date", "hour", "salt").orderBy(*order)
-    whole = Window.partitionBy("date", "hour").orderBy(*order)
-    cut = salted.withColumn("rn", F.row_number().over(part)).where(F.col("rn") <= F.col("hour_quota"))
+    salted = keyed.withColumn("salt", F.pmod(F.conv(F.substring("draw", 29, 4), 16, 10).cast("int"), F.lit(SALTS)))
+    part = Window.partitionBy("date", "hour", "salt")
+    checkpoint_dir(sessions.sparkSession)
+    return (salted.withColumn("rn", F.row_number().over(part.orderBy("draw", "session_id")))
+            .withColumn("n", F.count(F.lit(1)).over(part)).where(F.col("rn") <= F.lit(total)).checkpoint())
+
+
+def random_extract(sessions: DataFrame, total: int = 100, seed: str = "42") -> DataFrame:
+    """The sampled sessions: session_id, start_time, search_keywords, click_category_ids.
+
+    Sessions of an hour are ordered by ``md5(session_id || seed)``. ``sessions`` is read once: quotas and
+    draws both come from ``hour_samples``. Each hour is cut in two steps, by rank within (hour,
+    last digits of the draw) and then within the hour, so no task sees more than ``SALTS``
+    times an hour's quota, however many sessions the hour has or how many are drawn.
+    """
+    samples = hour_samples(sessions, total, seed)
+    hourly = samples.where("rn = 1").groupBy("date", "hour").agg(F.sum("n").alias("session_count"))
+    quota = quota_of_hours(hourly, total).select("date", "hour", "hour_quota").where("hour_quota > 0")
+    whole = Window.partitionBy("date", "hour").orderBy("draw", "session_id")
+    cut = samples.join(F.broadcast(quota), ["date", "hour"]).where(F.col("rn") <= F.col("hour_quota"))
     return (cut.withColumn("rn", F.row_number().over(whole)).where(F.col("rn") <= F.col("hour_quota"))
             .select("session_id", "start_time", "search_keywords", "click_category_ids"))

@@ -267,3 +267,22 @@ def sliding_peaks(clicks: DataFrame, slide: int = SLIDE_SECONDS, window: int = W
     return (runs.groupBy("ad_id").agg(first.alias("p"), F.sum(F.col("last_end") - F.col("first_end") + 1).alias("ends"))
             .select("ad_id", (-F.col("p.n")).alias("peak_clicks"), F.timestamp_seconds(F.col("p.first_end") * slide).alias("peak_end"),
                     (F.col("ends") * slide).alias("active_seconds")))
+
+
+def user_sessions(clicks: DataFrame, gap_seconds: int = 1800) -> DataFrame:
+    """(user_id, session_start, session_end, click_count, ads): visits of a user, cut where nothing was clicked for
+    ``gap_seconds`` or more; ads: distinct ads clicked.
+
+    Clicks of one pane of half a gap belong together whatever lies between, so they are added up first (in the
+    map tasks): what a user's window sorts is bounded by time, not by clicks.
+    """
+    pane = F.floor(F.unix_micros("ts") / F.lit(gap_seconds * 500_000))
+    parts = (clicks.groupBy("user_id", pane.alias("pane"))
+             .agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"), F.collect_set("ad_id").alias("ads")))
+    w = Window.partitionBy("user_id").orderBy("pane")
+    begins = F.unix_micros("first") - F.unix_micros(F.lag("last").over(w)) >= F.lit(gap_seconds * 1_000_000)
+    numbered = parts.withColumn("visit", F.sum(F.when(begins, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return (numbered.groupBy("user_id", "visit")
+            .agg(F.min("first").alias("session_start"), F.max("last").alias("session_end"), F.sum("n").alias("click_count"),
+                 F.size(F.array_distinct(F.flatten(F.collect_list("ads")))).cast("bigint").alias("ads"))
+            .drop("visit"))

@@ -737,6 +737,19 @@ def q_ad_click_trend_peaks(spark, sf):
     return ads.sliding_peaks(_kept(spark, sf)).select("ad_id", "peak_clicks", F.unix_seconds("peak_end").alias("peak_end_s"), "active_seconds")
 
 
+@register("ad_user_sessions",
+          """SELECT user_id, epoch_us(min(ts)) // 1000 AS start_ms, epoch_us(max(ts)) // 1000 AS end_ms, count(*) AS click_count,
+                    count(DISTINCT ad_id) AS ads
+             FROM (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS visit
+                   FROM (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) >= 86400000000
+                                        THEN 1 ELSE 0 END AS begins FROM ad_clicks))
+             GROUP BY user_id, visit""")
+def q_ad_user_sessions(spark, sf):
+    visits = ads.user_sessions(fx.ad_clicks(spark, sf), gap_seconds=86_400)
+    return visits.select("user_id", F.unix_millis("session_start").alias("start_ms"), F.unix_millis("session_end").alias("end_ms"),
+                         "click_count", "ads")
+
+
 # merges: the earlier half-minute's stat is the stored table, the later half the update
 
 _MERGE_CTES = _AD_CTES + """,

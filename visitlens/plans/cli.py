@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     ap.add_argument("--checkpoint", help="streaming checkpoint location")
     ap.add_argument("--threshold", type=int, default=100)
     ap.add_argument("--compact-every", type=int, default=720, help="batches between compactions of the ad stream's logs (720: an hour)")
+    ap.add_argument("--lateness-seconds", type=int, help="clicks older than the newest by more than this go to late_clicks")
     ap.add_argument("--available-now", action="store_true")
     args = ap.parse_args(argv)
     spark = spark or get_spark()
@@ -76,7 +77,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         from visitlens.streaming import AdClickStreamJob, kafka_lines, text_lines
         lines = (kafka_lines(spark, args.kafka_servers, args.topics) if args.kafka_servers
                  else text_lines(spark, args.lines))
-        job = AdClickStreamJob(spark, args.state, threshold=args.threshold, compact_every=args.compact_every)
+        job = AdClickStreamJob(spark, args.state, threshold=args.threshold, compact_every=args.compact_every,
+                               lateness_seconds=args.lateness_seconds)
         trigger = {"availableNow": True} if args.available_now else None
         q = job.start(lines, args.checkpoint, trigger)
         q.awaitTermination()

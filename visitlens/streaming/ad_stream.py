@@ -4,7 +4,9 @@
 ``foreachBatch`` function over a stream of ``epochMillis province city userId adId``
 lines. For every micro-batch, in this order:
 
-1. parse the lines (malformed lines go to the ``rejects`` table);
+1. parse the lines (malformed lines go to the ``rejects`` table); with ``lateness_seconds``, clicks
+   that are older than the newest click of earlier batches by more than that go to
+   ``late_clicks`` and no further;
 2. drop clicks of users blacklisted in *earlier* batches (a bit of ``blacklist_pages`` each);
 3. append this batch's (date, user, ad) counts to ``user_clicks``;
 4. list every user whose cumulative (date, user, ad) count, this batch included,
@@ -49,6 +51,7 @@ BLACKLIST_SCHEMA = "user_id bigint, batch_id bigint"
 STAT_SCHEMA = "province string, city string, ad_id bigint, click_count bigint, date string, batch_id bigint"
 TOP_SCHEMA = "province string, ad_id bigint, click_count bigint, date string"
 TREND_SCHEMA = "pane bigint, ad_id bigint, click_count bigint, date string, batch_id bigint"
+LATE_SCHEMA = "ts timestamp, province string, city string, user_id bigint, ad_id bigint, batch_id bigint"
 #: Batches after which the blacklist's pages are folded.
 PAGES_COMPACT_EVERY = 16
 REJECTS_SCHEMA = "raw string, batch_id bigint"
@@ -87,6 +90,7 @@ class AdClickStreamJob:
     threshold: int = ads.DEFAULT_THRESHOLD
     top_k: int = 3
     compact_every: int | None = None
+    lateness_seconds: int | None = None
 
     LOGS = {
         "user_clicks": (USER_CLICKS_SCHEMA, ["date", "user_id", "ad_id"]),
@@ -223,6 +227,32 @@ class AdClickStreamJob:
                               F.least("last_end", F.floor(hi)).alias("last_end"))
         return ads.slide_ends(clipped.where("first_end <= last_end"))
 
+    def late_clicks(self) -> DataFrame:
+        """Clicks that came behind the watermark of their batch."""
+        return read_or_empty(self.spark, self.path("late_clicks"), LATE_SCHEMA)
+
+    def _newest_click(self) -> KeyedTable:
+        """The newest event time after each batch: one row, kept through every batch that may be replayed."""
+        return KeyedTable(self.spark, self.path("newest_click"), "stream string, newest_us bigint", ["stream"], buckets=1)
+
+    def _on_time(self, clicks: DataFrame, batch_id: int) -> DataFrame:
+        """The clicks at or after the watermark; the others are written to ``late_clicks`` first, so that every
+        parsed click is in one of the two. The watermark is fixed by the batches before, so a replay cuts alike."""
+        state = self._newest_click()
+        known = state.current(before=batch_id).first()
+        if known is not None:
+            limit = F.lit(known["newest_us"] - self.lateness_seconds * 1_000_000)
+            late = F.unix_micros("ts") < limit
+            _write(clicks.where(late).withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.path("late_clicks"), ["batch_id"])
+            clicks = clicks.where(~late)
+        newest = clicks.agg(F.max(F.unix_micros("ts"))).first()[0]
+        if newest is not None:
+            newest = max(newest, known["newest_us"]) if known is not None else newest
+            state.overwrite(self.spark.createDataFrame([("ads", newest)], "stream string, newest_us bigint"), batch_id)
+        if (batch_id + 1) % PAGES_COMPACT_EVERY == 0 and state.compact(batch_id, least=2):
+            state.vacuum(keep_from=batch_id)
+        return clicks
+
     def rejects(self) -> DataFrame:
         return read_or_empty(self.spark, self.path("rejects"), REJECTS_SCHEMA)
 
@@ -234,6 +264,8 @@ class AdClickStreamJob:
         clicks, rejects = ads.parse_ad_log(lines)
         _write(rejects.withColumn("batch_id", bid), self.path("rejects"), ["batch_id"])
 
+        if self.lateness_seconds is not None:
+            clicks = self._on_time(clicks, batch_id)
         pages = self.blacklist_pages()
         listed_before = pages.current(before=batch_id).persist()
         kept = membership.without(clicks, listed_before, "user_id").persist()
@@ -346,6 +378,20 @@ def running_ad_stat(clicks: DataFrame, retention: str | None = None) -> DataFram
                       "click_count")
 
 
+def without_repeats(clicks: DataFrame, within: str = "1 hour") -> DataFrame:
+    """A stream of clicks without those delivered again: of equal clicks (all five fields) the first stays, as
+    long as the others come within the watermark's delay. State older than that is dropped."""
+    return clicks.withWatermark("ts", within).dropDuplicatesWithinWatermark(["ts", "province", "city", "user_id", "ad_id"])
+
+
+def user_session_updates(clicks: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
+    """Streaming form of ``ads.user_sessions`` (user_id, session_start, session_end, click_count): visits closed by
+    ``gap`` without a click, in ``append`` mode once the watermark has passed them."""
+    agg = (clicks.withWatermark("ts", watermark).groupBy(F.session_window("ts", gap).alias("w"), "user_id")
+           .agg(F.min("ts").alias("session_start"), F.max("ts").alias("session_end"), F.count(F.lit(1)).alias("click_count")))
+    return agg.select("user_id", "session_start", "session_end", "click_count")
+
+
 def click_pane_updates(clicks: DataFrame, watermark: str = "31 days") -> DataFrame:
     """Streaming (ad_id, pane, click_count) per ten seconds of event time, in ``update`` mode the panes
     a batch changed with their full counts: ``ads.sliding_runs`` over the newest counts

@@ -51,12 +51,13 @@ def roots(n, links):
 
 
 def measures(text):
-    w, seen, dup = words(text), set(), 0
+    w, seen, dup, lines = words(text), set(), 0, 0
     for line in (text or "").split("\n"):
         if WORD.search(line):
+            lines += 1
             dup += line in seen
             seen.add(line)
     windows = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
     often = Counter(windows)
     covered = {i + o for i, x in enumerate(windows) if often[x] > 1 for o in range(3)}
-    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered))
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered), lines)

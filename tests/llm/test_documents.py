@@ -93,8 +93,20 @@ def test_rules_keep_columns(spark):
 
 
 def quality_rules_pass(text):
-    n, chars, symbols, dup, repeat = measures(text)
-    return not (n < 50 or 100 * repeat > 50 * n or 100 * symbols > 15 * n or 100 * dup > 10 * n or chars < 2 * n or chars > 20 * n)
+    n, chars, symbols, dup, repeat, lines = measures(text)
+    return not (n < 50 or 100 * repeat > 50 * n or 100 * symbols > 15 * n or 100 * dup > 10 * n or chars < 2 * n or chars > 20 * n
+                or 100 * dup > 40 * lines)
+
+
+def test_banner_lines_fail_by_lines(spark):
+    """A long line that is most of the lines, among distinct ones: too few repeats a word for the older rule."""
+    banner, own = " ".join(f"b{k}" for k in range(20)), lambda k: " ".join(f"x{k}{j}" for j in range(30))
+    lines = [x for k in range(10) for x in ((banner, own(k)) if k < 9 else (own(k),))]
+    texts = [(1, "\n".join(lines)), (2, "\n".join(own(k) for k in range(10)))]
+    got = {r.doc_id: r for r in quality_rules.apply_policy(quality_rules.ledger(docs(spark, texts))).collect()}
+    assert got[1].failed == quality_rules.mask("duplicate_lines") and not got[1].kept and not got[1].base_failed and got[2].kept
+    old = quality_rules.apply_policy(quality_rules.ledger(docs(spark, texts)), 2)
+    assert all(r.kept for r in old.collect())
 
 
 def labelled(spark):

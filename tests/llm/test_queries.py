@@ -33,6 +33,22 @@ def test_sql(spark, name):
     assert sorted(map(tuple, got), key=repr) == sorted(rel.fetchall(), key=repr)
 
 
+def test_rules_sql_on_awkward_texts(spark):
+    """Every white space of the word class, also inside lines, and none beyond it."""
+    from helpers import AWKWARD
+    from visitlens.llm import quality_rules
+
+    rows = AWKWARD + [(60, "a\x0bb c\x0dd e\x0cf\tg\x1ch\x85i\u00a0j"), (61, "\x0b\x0c\n\x0b\n\r\n \r\nx\r\nx\r\n"), (62, "l\x0bm\nl\x0bm\nl m\n" * 20)]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t if t is None else t.replace("\x00", "\x01")) for i, t in rows])
+    rel = con.sql(ORACLE["op4_quality_rules"])
+    docs = spark.createDataFrame([(i, t if t is None else t.replace("\x00", "\x01")) for i, t in rows], "doc_id long, text string")
+    got = quality_rules.apply_policy(quality_rules.ledger(docs)).select(*rel.columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(rel.fetchall(), key=repr)
+    assert {r.n_words for r in got if r.doc_id == 60} == {7}
+
+
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}

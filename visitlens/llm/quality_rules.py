@@ -18,7 +18,7 @@ from visitlens.llm.common import _SPACE, append_from_text, fresh_prefix, id_text
 
 #: Symbols counted by ``n_symbols`` (fixed value).
 SYMBOLS = b"#*$%&|<>"
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -39,15 +39,16 @@ def rules(prefix: str = "") -> list[Rule]:
         ("too_few_words", c("n_words") < 50),
         ("repeated_windows", 100 * c("n_repeat_words") > 50 * c("n_words")),
         ("symbols_per_word", 100 * c("n_symbols") > 15 * c("n_words")),
-        ("duplicate_lines", 100 * c("n_dup_lines") > 10 * c("n_words")),
+        ("duplicate_lines_per_word", 100 * c("n_dup_lines") > 10 * c("n_words")),
         ("short_words", c("word_chars") < 2 * c("n_words")),
         ("long_words", c("word_chars") > 20 * c("n_words")),
+        ("duplicate_lines", 100 * c("n_dup_lines") > 40 * c("n_lines")),
     ]
     return [Rule(name, i, F.coalesce(test, F.lit(True))) for i, (name, test) in enumerate(tests)]
 
 
-BITS = {"too_few_words": 0, "repeated_windows": 1, "symbols_per_word": 2, "duplicate_lines": 3,
-        "short_words": 4, "long_words": 5}
+BITS = {"too_few_words": 0, "repeated_windows": 1, "symbols_per_word": 2, "duplicate_lines_per_word": 3,
+        "short_words": 4, "long_words": 5, "duplicate_lines": 6}
 
 
 def mask(*names: str) -> int:
@@ -57,7 +58,8 @@ def mask(*names: str) -> int:
 #: Versioned policies: a document is kept if none of the policy's bits is set. Version 1 is the base.
 POLICIES: dict[int, int] = {
     1: mask("too_few_words", "repeated_windows"),
-    2: mask(*BITS),
+    2: mask("too_few_words", "repeated_windows", "symbols_per_word", "duplicate_lines_per_word", "short_words", "long_words"),
+    3: mask(*BITS),
 }
 
 
@@ -114,7 +116,7 @@ def _measure(texts: list[str]) -> list[np.ndarray]:
             for shift in range(3):
                 covered[shift:shift + len(twice)] |= twice
             repeat[k] = covered.sum()
-    return [n_words, word_chars, n_symbols, dup, repeat]
+    return [n_words, word_chars, n_symbols, dup, repeat, np.bincount(owner[wordy], minlength=n)]
 
 
 def ledger(docs: DataFrame) -> DataFrame:

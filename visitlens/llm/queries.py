@@ -46,10 +46,8 @@ OP4_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
-  SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-
-]+') AS ws,
-         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-
-]')) AS ls FROM d),
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
 win AS (
   SELECT rid, i, struct_pack(a := ws[i], b := ws[i + 1], c := ws[i + 2]) AS k
   FROM w, unnest(range(1, len(ws) - 1)) AS u(i)),
@@ -59,12 +57,13 @@ covered AS (
 m AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum([length(x) FOR x IN ws]), 0)::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines
   FROM w LEFT JOIN covered USING (rid)),
 b AS (
   SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
     + CASE WHEN 100 * n_symbols > 15 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 10 * n_words THEN 8 ELSE 0 END
-    + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)::BIGINT AS failed
+    + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN 100 * n_dup_lines > 40 * n_lines THEN 64 ELSE 0 END)::BIGINT AS failed
   FROM m)
 SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM b
 """

@@ -1,93 +1,21 @@
 import hashlib
 import math
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from helpers import AWKWARD, LOWER, docs, empty, words
 from visitlens.llm import context_tree as ct
 from visitlens.llm import reply_trees
 
 
-def brute_scores(tokens, train):
-    """Code lengths of token lists by the recursion over all nodes, one dict entry each."""
-    counts = Counter(w for k in train for w in tokens[k])
-
-    def steps(word):
-        b = b" " + (word.encode() if word == "\n" else word.encode() + b" ")
-        for i in range(1, len(b)):
-            yield b[max(0, i - ct.DEPTH):i][::-1].ljust(ct.DEPTH, b"\0"), b[i]
-
-    seen = Counter()
-    for word, n in counts.items():
-        for context, byte in steps(word):
-            for d in range(ct.DEPTH + 1):
-                for j in range(8):
-                    seen[context[:d], (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1] += n
-    nodes, children = {(a, u) for a, u, _ in seen}, defaultdict(list)
-    for a, u in nodes:
-        if a:
-            children[a[:-1], u].append((a, u))
-    kt = lambda z, o: math.lgamma(z + .5) + math.lgamma(o + .5) - math.log(math.pi) - math.lgamma(z + o + 1)
-    whole, stop = {}, {}
-    for node in sorted(nodes, key=lambda n: -len(n[0])):
-        own = kt(seen[*node, 0], seen[*node, 1])
-        if len(node[0]) == ct.DEPTH:
-            whole[node], stop[node] = own, 1.0
-        else:
-            whole[node] = np.logaddexp(own, sum(whole[c] for c in children[node])) - math.log(2)
-            stop[node] = math.exp(own - math.log(2) - whole[node])
-
-    def log10(context, byte):
-        total = 0.0
-        for j in range(8):
-            u, told, left = (1 << j) | (byte >> (8 - j)), 0.0, 1.0
-            for d in range(ct.DEPTH + 1):
-                z, o = seen[context[:d], u, 0], seen[context[:d], u, 1]
-                s = stop.get((context[:d], u), 1.0 if d == ct.DEPTH else 0.5)
-                told += left * s * (o + .5) / (z + o + 1)
-                left *= 1 - s
-            total += math.log10(told if byte >> (7 - j) & 1 else 1 - told)
-        return total
-
-    n, v = sum(counts.values()), len(counts)
-    base = [sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t) for t in tokens]
-    return n, base, [sum(log10(*s) for w in t for s in steps(w)) for t in tokens], [sum(counts[w] > 0 for w in t) for t in tokens]
-
-
 def test_kt_estimates():
     z, o = np.array([0.0, 0, 3, 1000]), np.array([0.0, 1, 2, 7])
     exact = [math.lgamma(a + .5) + math.lgamma(b + .5) - math.log(math.pi) - math.lgamma(a + b + 1) for a, b in zip(z, o)]
     assert ct.kt_log(z, o) == pytest.approx(exact, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("frequent", [0, 4, 10_000])
-def test_context_tree_scores(spark, frequent):
-    """Equal scores whatever is broadcast."""
-    rows = [(i, t if t is None or len(t) < 5000 else t[:3000]) for i, t in AWKWARD]
-    tokens = [words((t or "").translate(LOWER)) + ["\n"] for _, t in rows]
-    train = [k for k, (i, _) in enumerate(rows) if i is not None and i % 3]
-    n, base, score, known = brute_scores(tokens, train)
-    got = ct.score(docs(spark, rows), F.col("doc_id") % 3 != 0, frequent).collect()
-    order = lambda r: (repr(r[0]), r[2])
-    wanted = sorted(((i, len(t), k, b, s) for (i, _), t, k, b, s in zip(rows, tokens, known, base, score)), key=lambda r: (repr(r[0]), r[1]))
-    got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score, r.train_tokens) for r in got), key=lambda r: (repr(r[0]), r[1]))
-    assert [g[:3] for g in got] == [w[:3] for w in wanted] and {g[5] for g in got} == {n}
-    for g, w in zip(got, wanted):
-        assert g[3] == pytest.approx(w[3], rel=1e-9) and g[4] == pytest.approx(w[4], rel=1e-8)
-
-
-def test_context_tree_untaught_and_empty(spark):
-    got = ct.score(docs(spark, [(1, "ab"), (2, None)]), F.lit(False)).collect()
-    by_id = {r.doc_id: r for r in got}
-    assert by_id[2].score == pytest.approx(-8 * math.log10(2)) and by_id[1].score == pytest.approx(-32 * math.log10(2))
-    assert by_id[1].train_tokens == 0 and by_id[1].n_known == 0
-    assert ct.score(empty(spark), F.lit(True)).collect() == []
-
-
 def test_template_round_trip():
     rng = random.Random(0)
     parts = ["\\", "#", "##", "###", "### ", "<", "</turn>", " </turn>\n", "/turn>", " ", "\n", "a", ":", "### Assistant: ", "é", "\\#"]
@@ -117,6 +45,40 @@ def test_trees_rank_branches(spark):
     assert reply_trees.conversations(table.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 9])
+def test_cycles_end(spark, size):
+    """A cycle, a message that answers into it, and a chain that does, beside good trees."""
+    rows = [(f"c{k}", f"c{(k + 1) % size}", 1, "user", "round", 1.0, 0) for k in range(size)]
+    rows += [("leaf", "c0", 1, "user", "into", 9.0, 0)] + [(f"l{k}", f"l{k - 1}" if k else "leaf", 1, "user", "deep", 9.0, 0) for k in range(5)]
+    rows += [("r", None, 2, "user", "a", 0.0, 0)] + [(f"g{k}", f"g{k - 1}" if k else "r", 2, "user", str(k), 0.0, 0) for k in range(12)]
+    rows += [("self", "self", 3, "user", "x", 1.0, 0), ("one", None, 3, "user", "alone", 1.0, 0)]
+    got = {r.tree: reply_trees.read_path(r.formatted) for r in reply_trees.conversations(spark.createDataFrame(rows, TREE), keep=None).collect()}
+    assert got == {2: [("user", t) for t in ("a", *map(str, range(12)))], 3: [("user", "alone")]}
+
+
+def test_random_trees_against_brute_force(spark):
+    """Bushy and deep trees with ties, null scores and answers to what isn't there."""
+    rng, rows = random.Random(8), []
+    for tree in range(6):
+        for k in range(rng.choice([1, 5, 40, 90])):
+            parent = None if k == 0 else f"{tree}:{rng.randrange(max(0, k - rng.choice([1, 3, 90])), k):03d}"
+            rows.append((f"{tree}:{k:03d}", "gone" if rng.random() < 0.02 else parent, tree, "user", f"t{k}", rng.choice([None, 0.0, 0.5, 0.5, 1.0]), 0))
+    by = {r[0]: r for r in rows}
+    wanted = defaultdict(list)
+    for m, _, tree, *_ in rows:
+        if m not in {r[1] for r in rows}:
+            path = [m]
+            while by[path[-1]][1] in by:
+                path.append(by[path[-1]][1])
+            wanted[tree].append((-sum(by[x][5] or 0 for x in path) / len(path), m, [by[x][4] for x in reversed(path)]))
+    for keep in (1, 3, None):
+        got = defaultdict(list)
+        for r in reply_trees.conversations(spark.createDataFrame(rows, TREE), keep=keep).collect():
+            got[r.tree].append((r["rank"], r.leaf, [t for _, t in reply_trees.read_path(r.formatted)]))
+        for tree, paths in wanted.items():
+            assert sorted(got[tree]) == [(k, leaf, told) for k, (_, leaf, told) in enumerate(sorted(paths)[:keep], 1)]
+
+
 def test_chains(spark):
     """Long conversations, null turns, roles and texts, ties and repeated rows."""
     rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"turn {k} ### </turn> \\") for k in range(70)]

@@ -81,52 +81,73 @@ def read_path(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """(tree, leaf, depth, message): every root-to-leaf path, one row per message on it.
-
-    ``messages``: message, parent (null: a root), tree. Ids are unique over all trees. A parent
-    that isn't there makes its children roots; a cycle belongs to no root and gives no path. Each
-    round joins the pointers with themselves on keys that are unique on one side.
+def climb(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(reached, hops). reached: message, total, depth for every message that leads to a root: the sum of the scores and
+    the number of messages on its path. hops[k]: (message, up), the ancestor 2^k steps up, where there is one.
+
+    ``messages``: message, parent (null: a root), score (null: 0). Ids are unique over all trees. A parent that isn't
+    there makes its children roots. Each round doubles the pointers by a join with themselves, on keys that are
+    unique on one side, and adds up scores along them. Where no message is finished by a round, none ever will be: if one
+    has depth d, its ancestors have all depths below. What is left then is a cycle or leads into one, and has no path.
     """
-    known = messages.select(F.col("message").alias("parent"))
-    edges = materialize(messages.select("message", "parent").join(known, "parent", "left_semi"), "reply-edges")
-    hops = []
-    step = edges.select("message", F.col("parent").alias("up"))
-    while True:  # hops[k]: the ancestor 2^k steps up
-        hops.append(step)
-        first, second = step.alias("a"), step.alias("b")
-        step = materialize(first.join(second, F.col("a.up") == F.col("b.message"))
-                           .select("a.message", F.col("b.up").alias("up")), "reply-hops")
-        if step.isEmpty() or len(hops) > 40:
+    known = messages.select(F.col("message").alias("known"))
+    state = messages.join(known, messages["parent"] == known["known"], "left").select(
+        "message", F.col("known").alias("up"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total"), F.lit(1).cast("long").alias("depth"))
+    state = materialize(state, "reply-climb")
+    finished, unfinished, hops = [state.filter(F.col("up").isNull())], state.filter(F.col("up").isNotNull()), []
+    while not unfinished.isEmpty():
+        hops.append(unfinished.select("message", "up"))
+        below = unfinished.alias("a")
+        step = (below.join(_union([unfinished, *finished]).alias("b"), F.col("a.up") == F.col("b.message"))
+                .select("a.message", F.col("b.up").alias("up"), (F.col("a.total") + F.col("b.total")).alias("total"),
+                        (F.col("a.depth") + F.col("b.depth")).alias("depth")))
+        step = materialize(step, "reply-climb")
+        done = step.filter(F.col("up").isNull())
+        if done.isEmpty():
             break
-    leaves = messages.select("tree", "message").join(edges.select(F.col("parent").alias("message")), "message", "left_anti")
-    reached = materialize(leaves.select("tree", F.col("message").alias("leaf"), F.lit(0).cast("long").alias("up"), "message"), "reply-paths")
-    for k in range(len(hops) - 1, -1, -1):  # every distance has one sum of powers of two
-        higher = (reached.alias("r").join(hops[k].alias("h"), F.col("r.message") == F.col("h.message"))
-                  .select("r.tree", "r.leaf", (F.col("r.up") + F.lit(1 << k)).alias("up"), F.col("h.up").alias("message")))
-        reached = reached.unionByName(higher)
-        if k % 4 == 0:
-            reached = materialize(reached, "reply-paths")
-    return reached
+        finished.append(done)
+        unfinished = step.filter(F.col("up").isNotNull())
+    return materialize(_union(finished).select("message", "total", "depth"), "reply-reached"), hops
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def ranked_branches(messages: DataFrame, reached: DataFrame, keep: int | None = None) -> DataFrame:
     """(tree, leaf, branch_score, rank): branches of a tree by mean score, then leaf; at most ``keep`` of each if given.
 
-    Null scores count as 0.
+    A branch is a message that nothing answers, with all its ancestors. No path is listed for it.
     """
-    scored = reached.join(messages.select("message", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "message")
-    branches = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("branch_score"))
+    leaves = messages.select("tree", "message").join(messages.select(F.col("parent").alias("message")), "message", "left_anti")
+    branches = leaves.join(reached, "message").select("tree", F.col("message").alias("leaf"), (F.col("total") / F.col("depth")).alias("branch_score"))
     order = Window.partitionBy("tree").orderBy(F.col("branch_score").desc(), "leaf")
     ranked = branches.withColumn("rank", F.row_number().over(order))
     return ranked if keep is None else ranked.filter(F.col("rank") <= F.lit(keep))
 
 
+def paths(leaves: DataFrame, hops: list[DataFrame]) -> DataFrame:
+    """(tree, leaf, rank, up, message): the messages from each given leaf (tree, leaf, rank) up to its root; a row each."""
+    reached = leaves.select("tree", "leaf", "rank", F.lit(0).cast("long").alias("up"), F.col("leaf").alias("message"))
+    reached = materialize(reached, "reply-paths")
+    for k in range(len(hops) - 1, -1, -1):  # every distance has one sum of powers of two
+        higher = (reached.alias("r").join(hops[k].alias("h"), F.col("r.message") == F.col("h.message"))
+                  .select("r.tree", "r.leaf", "r.rank", (F.col("r.up") + F.lit(1 << k)).alias("up"), F.col("h.up").alias("message")))
+        reached = reached.unionByName(higher)
+        if k % 4 == 0:
+            reached = materialize(reached, "reply-paths")
+    return reached
+
+
 def conversations(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     """tree, leaf, rank, formatted, loss (array of (start, stop) code point offsets).
 
     ``messages``: message, parent, tree, role, text, score (any further columns are ignored).
-    The best ``keep`` branches of each tree (None: all). Null role: "user"; null text: empty.
+    The best ``keep`` branches of each tree (None: all); only those paths are listed. Messages on a cycle, or that answer
+    into one, belong to no root and are in no conversation. Null role: "user"; null text: empty.
     Repeated rows are one message; an empty table gives no conversation. A formatted conversation is
     one row, so a path's texts must fit into one task's memory.
     """
@@ -135,10 +156,8 @@ def conversations(messages: DataFrame, keep: int | None = 1) -> DataFrame:
         "message", "parent", "tree", F.coalesce(F.col("role"), F.lit("user")).alias("role"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"), F.col("score").cast("double").alias("score"))
         .dropDuplicates(["message"]), "messages")
-    reached = paths(clean)
-    chosen = ranked_branches(clean, reached, keep)
-    turns = (reached.join(chosen.select("leaf", "rank"), "leaf")
-             .join(clean.select("message", "role", "text"), "message"))
+    reached, hops = climb(clean.select("message", "parent", "score"))
+    turns = paths(ranked_branches(clean, reached, keep), hops).join(clean.select("message", "role", "text"), "message")
     listed = turns.groupBy("tree", "leaf", "rank").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns"))
 

@@ -101,9 +101,24 @@ def test_packed_counts():
     assert [x.tolist() for x in got] == [keys.tolist(), [0, 5, 1 << 40], [1, 5, 1 << 41]]
 
 
-def test_bits_per_coded_byte_of_words(spark):
-    """Word contexts: blanks that aren't coded don't lower the code length; a long text is whole."""
-    rows = [(1, " " * 100_000), (2, None), (3, "ab\n\n   cd\t"), (4, " ".join(f"w{i}" for i in range(20_000)))]
-    got = {r.doc_id: r for r in ct.score(docs(spark, rows), F.lit(False)).collect()}
-    assert [got[i].n_bytes for i in (1, 2, 3, 4)] == [0, 0, 6, len(rows[3][1]) + 1]
-    assert all(r.bits_per_byte == pytest.approx(8) for r in got.values())
+def test_heaviest_rows_fit(spark):
+    """Counts far above 16 bits, ties, more rows than room: never an empty table, never more than there is room for."""
+    cases = {"great": [70_000 + 900 * k for k in range(10)], "tied": [100_000] * 5000 + [3] * 50, "small": list(range(1, 200)),
+             "one": [1 << 50], "mixed": [1 << k for k in range(1, 60)] * 3}
+    for counts in cases.values():
+        table = spark.createDataFrame([(k, n) for k, n in enumerate(counts)], "key long, n long")
+        for room in (0, 1, 9, 100, 4000, 10_000):
+            got = sorted(r.n for r in table.where(cs._heaviest(table, room)).collect())
+            heaviest = sorted(counts)[-room:] if room else []
+            assert len(got) <= room and got == sorted(heaviest)[len(heaviest) - len(got):]
+            assert len(got) >= min(room, len(counts)) - max(12, len(counts) // 200) or not room
+
+
+def test_scores_do_not_depend_on_the_tables(spark):
+    rows = [(i, t) for i, t in AWKWARD if t is None or len(t) < 5000]
+    want = None
+    for frequent, events in ((0, 0), (3, 40), (10_000, 100_000)):
+        got = sorted((repr(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
+                     for r in cs.score(docs(spark, rows), F.col("doc_id") % 3 != 0, frequent, events).collect())
+        want = want or got
+        assert got == want

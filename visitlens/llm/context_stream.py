@@ -160,15 +160,30 @@ def _count(docs: DataFrame, parts: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- texts
-def _least(table: DataFrame, room: int) -> int:
-    """The least count ``n`` that at most ``room`` rows have."""
-    by_count = sorted((r.n, r.rows) for r in table.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect())
-    least = 1 << 62
-    for n, some in reversed(by_count):
-        if some > room:
-            break
-        least, room = n, room - some
-    return least
+#: Parts of the rows of one count, of which some may still fit into a table.
+_SHARES = 1024
+
+
+def _heaviest(table: DataFrame, room: int) -> Column:
+    """A condition that holds for about the ``room`` rows of the greatest counts ``n``, never for more.
+
+    Counts go by their first 16 bits; of the rows of the first count that doesn't fit as a whole, those with the
+    smallest remainders of a hash of ``key`` are taken. The driver gets a number per such count and per remainder.
+    """
+    low = "greatest(length(bin(n)) - 16, 0)"
+    step, share = F.expr(f"shiftleft(shiftright(n, {low}), {low})"), F.pmod(F.xxhash64("key"), F.lit(_SHARES))
+    taken = F.lit(False)
+    for r in sorted(table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect(), key=lambda r: -r.step):
+        if r.rows <= room:
+            taken, room = step >= F.lit(r.step), room - r.rows
+            continue
+        part = dict(table.where(step == F.lit(r.step)).groupBy(share.alias("share")).agg(F.count(F.lit(1)).alias("rows")).collect())
+        shares = 0
+        while shares < _SHARES and part.get(shares, 0) <= room:
+            room -= part.get(shares, 0)
+            shares += 1
+        return taken | ((step == F.lit(r.step)) & (share < F.lit(shares)))
+    return taken
 
 
 def _arrays(table: DataFrame, kinds: dict[str, type]) -> list[np.ndarray]:
@@ -263,16 +278,16 @@ def score(docs: DataFrame, training: Column, frequent: int = FREQUENT, frequent_
     end_known, end_base = (end.known, end.base) if end else (0, 0.0)
     words = words.filter(F.col("key") != END_HASH)
 
-    least, least_event = _least(words, frequent), _least(events, frequent_events)
-    hashes, *of_words = _arrays(words.filter(F.col("n") >= least), {"key": np.int64, "known": np.int64, "base": np.float64})
-    keys, log10 = _arrays(events.filter(F.col("n") >= least_event), {"key": np.int64, "log10": np.float64})
+    often, often_event = _heaviest(words, frequent), _heaviest(events, frequent_events)
+    hashes, *of_words = _arrays(words.filter(often), {"key": np.int64, "known": np.int64, "base": np.float64})
+    keys, log10 = _arrays(events.filter(often_event), {"key": np.int64, "log10": np.float64})
     order = np.argsort(keys.view(np.uint64))
     table = spark.sparkContext.broadcast((hashes.view(np.uint64), *of_words, keys.view(np.uint64)[order], log10[order]))
 
     sums = materialize(_text_sums(rows, table), "ctw-text-sums")
     zero = F.lit(0.0)
-    others = words.filter(F.col("n") < least).select(F.lit(True).alias("word"), "key", "known", "base", zero.alias("log10")).unionByName(
-        events.filter(F.col("n") < least_event).select(F.lit(False).alias("word"), "key", F.lit(0).cast("long").alias("known"), zero.alias("base"), "log10"))
+    others = words.filter(~often).select(F.lit(True).alias("word"), "key", "known", "base", zero.alias("log10")).unionByName(
+        events.filter(~often_event).select(F.lit(False).alias("word"), "key", F.lit(0).cast("long").alias("known"), zero.alias("base"), "log10"))
     rare = sums.filter(F.col("key").isNotNull()).select("row", "word", "key", "times").join(others, ["word", "key"])
     rare = rare.groupBy("row").agg(*[F.sum(F.col("times") * F.col(k)).alias(f"rare_{k}") for k in ("known", "base", "log10")])
     out = sums.filter(F.col("key").isNull()).drop("word", "key", "times").join(rare, "row", "left")

@@ -1,17 +1,9 @@
-"""Language-model scores by context-tree weighting over bytes.
-
-A text is coded as its words (A-Z lower-cased, ``[^\\x20\\x09-\\x0D]+``), each followed by a
-blank, and a line feed at its end. A byte is eight binary decisions, each with a context tree
-of its own over the bytes before it in the word (at most DEPTH, back to the blank before the
-word). Every node estimates its decisions with the Krichevsky-Trofimov rule; a node's weighted
-probability is half its own estimate and half the product of its children's, which mixes all
-depths. The code length of a text is the sum over its decisions, each predicted by the mixture
-along its path.
-
-As contexts end at word borders, a word's probability doesn't depend on its neighbours: trees
-are built from the counts of distinct words, every distinct word is scored once, and texts
-add up their words' scores (the registered query scores running texts, see ``context_stream``). Frequent words (a table of at most FREQUENT entries) are added
-up where the text is read; only rare ones are joined with the table of all words.
+"""Trees of context-tree weighting over bytes.
+
+A byte is eight binary decisions, each with a context tree of its own over the bytes before it (at most DEPTH). Every
+node estimates its decisions with the Krichevsky-Trofimov rule; a node's weighted probability is half its own
+estimate and half the product of its children's, which mixes all depths. The code length of a text is the sum over its
+decisions, each predicted by the mixture along its path (``context_stream``).
 """
 
 from __future__ import annotations
@@ -19,125 +11,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import _LOWER, _SPACE, HashIndex, id_text, materialize, text_slices, word_hashes
-
 #: Context bytes (at most 7), and entries of the broadcast table of frequent words.
 DEPTH, FREQUENT = 6, 1 << 19
-#: The end of a text as a word of its own: its hash and its bytes.
-END_HASH, END = 0, b"\n"
-BLANK = 0x20
-#: Distinct words that a counting task gathers before it sends them on.
-GATHER = 1 << 20
+#: The end of a text as a word of its own: its hash.
+END_HASH = 0
 _SYM = np.uint64(0xFF)
 
 
-# ---------------------------------------------------------------- counting distinct words
-def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, first word of each text, bytes, begins, ends) of the words of a batch."""
-    hashes, starts = word_hashes(texts)
-    raw = _LOWER[np.frombuffer("\n".join(texts).encode() + b"\n", np.uint8)]
-    space = _SPACE[raw]
-    before = np.concatenate(([True], space[:-1]))
-    return hashes, starts, raw, np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
-
-
-_COUNTS = pa.schema([("h", pa.int64()), ("word", pa.binary()), ("c", pa.int64()), ("n", pa.int64())])
-
-
-def _combine(parts: list[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]]):
-    """Equal hashes put together: (hashes, words, training counts, all counts)."""
-    h = np.concatenate([p[0] for p in parts])
-    words = pa.concat_arrays([p[1] for p in parts])
-    kinds, first, which = np.unique(h, return_index=True, return_inverse=True)
-    c, n = (np.bincount(which, np.concatenate([p[k] for p in parts]), len(kinds)).astype(np.int64) for k in (2, 3))
-    return kinds, words.take(pa.array(first)), c, n
-
-
-def _count_words(docs: DataFrame) -> DataFrame:
-    """(h, word, c, n): counts by distinct word, once per task and GATHER words; ``train`` marks training rows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(k, words, c, n):
-            return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), words, pa.array(c), pa.array(n)], schema=_COUNTS)
-
-        parts, size = [], 0
-        for batch in batches:
-            at = 0
-            for _, texts in text_slices([batch.select([0, 1])], 2 << 20):
-                train = np.asarray(batch.column(2).slice(at, len(texts)).cast(pa.int8()), dtype=bool)
-                at += len(texts)
-                hashes, starts, raw, begin, end = _words(texts)
-                taught = np.repeat(train, np.diff(starts))
-                kinds, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-                offsets = np.concatenate(([0], np.cumsum(end[first] - begin[first])))
-                gather = np.repeat(begin[first] - offsets[:-1], end[first] - begin[first]) + np.arange(offsets[-1])
-                words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw[gather].tobytes())])
-                n = np.bincount(which, minlength=len(kinds))
-                c = np.bincount(which, taught, len(kinds))
-                ends = pa.array([END], pa.binary())
-                parts += [(kinds, words, c, n), (np.array([END_HASH], np.uint64), ends, np.array([train.sum()]), np.array([len(texts)]))]
-                size += len(kinds)
-                if size > GATHER:
-                    parts = [_combine(parts)]
-                    size = len(parts[0][0])
-                    if size > GATHER // 2:
-                        yield out(*parts[0])
-                        parts, size = [], 0
-        if parts:
-            yield out(*_combine(parts))
-
-    return docs.select("doc_id", "text", "train").mapInArrow(run, "h long, word binary, c long, n long")
-
-
-# ---------------------------------------------------------------- events: a byte and its context
-def events(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, word numbers): per coded byte, the DEPTH bytes before it (last one highest) and the byte (lowest).
-
-    Contexts stop at the blank before the word, which is part of them; zero bytes follow it.
-    """
-    joined = b"".join(bytes([BLANK]) + (w if w == END else w + bytes([BLANK])) for w in words)
-    raw = np.frombuffer(joined, np.uint8).astype(np.uint64)
-    sizes = np.array([1 + len(w) + (w != END) for w in words], np.int64)
-    number = np.repeat(np.arange(len(words)), sizes)
-    place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    key = raw.copy()
-    for d in range(1, DEPTH + 1):
-        there = np.flatnonzero(place >= d)
-        key[there] |= raw[there - d] << np.uint64(64 - 8 * d)
-    coded = place > 0
-    return key[coded], number[coded]
-
-
-def _words_and_events(counts: DataFrame) -> DataFrame:
-    """Rows (part, h, word, c, n) of distinct words and rows (part, key, c) of each part's distinct events."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        parts = [(np.asarray(b.column(0)).view(np.uint64), b.column(1), np.asarray(b.column(2)), np.asarray(b.column(3))) for b in batches if b.num_rows]
-        if not parts:
-            return
-        part = TaskContext.get().partitionId()
-        h, words, c, n = _combine(parts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), part, np.int32)), pa.array(h.view(np.int64)), words, pa.array(c), pa.array(n),
-                                          pa.nulls(len(h), pa.int64())], schema=_BOTH)
-        keys, which = events(words.to_pylist())
-        kinds, of = np.unique(keys, return_inverse=True)
-        seen = np.bincount(of, c[which], len(kinds)).astype(np.int64)
-        nothing = [pa.nulls(len(kinds), t) for t in (pa.int64(), pa.binary())]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), part, np.int32)), *nothing, pa.array(seen), pa.nulls(len(kinds), pa.int64()),
-                                          pa.array(kinds.view(np.int64))], schema=_BOTH)
-
-    return counts.repartition("h").mapInArrow(run, "part int, h long, word binary, c long, n long, key long")
-
-
-_BOTH = pa.schema([("part", pa.int32()), ("h", pa.int64()), ("word", pa.binary()), ("c", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
-
-
-# ---------------------------------------------------------------- trees
 def _log_gamma_half(n: np.ndarray) -> np.ndarray:
     """log Gamma(n + 1/2), by recursion up to 8 and Stirling's series."""
     x = n + 0.5
@@ -275,126 +159,3 @@ def event_scores(counted: DataFrame) -> DataFrame:
     columns = [np.array([r[k] for r in sums], np.float64) for k in ("zeros", "ones", "whole")]
     crown = counted.sparkSession.sparkContext.broadcast(Crown(np.array([r.node for r in sums], np.uint64), *columns))
     return dealt.mapInArrow(scores, ", ".join(["key long", *[f"{c} long" for c in stay], "log10 double"]))
-
-
-def _word_scores(both: DataFrame) -> DataFrame:
-    """(h, c, n, log10) of every distinct word."""
-    words = both.filter(F.col("key").isNull()).select("part", "h", "word", "c", "n")
-    asked = both.filter(F.col("key").isNotNull()).select("part", "key", "c")
-    counted = materialize(asked.groupBy("key").agg(F.sum("c").alias("c")), "ctw-events")
-    told = materialize(event_scores(counted), "ctw-event-scores")
-    answers = asked.select(F.col("part").alias("asker"), "key").join(told, "key")
-
-    def add(words: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(words):
-            return pd.DataFrame({"h": [], "c": [], "n": [], "log10": []})
-        order = np.argsort(known["key"].to_numpy().view(np.uint64))
-        keys, log10 = known["key"].to_numpy().view(np.uint64)[order], known["log10"].to_numpy()[order]
-        wanted, which = events(words["word"].tolist())
-        total = np.bincount(which, log10[np.searchsorted(keys, wanted)], len(words))
-        return pd.DataFrame({"h": words["h"], "c": words["c"], "n": words["n"], "log10": total})
-
-    return words.groupBy("part").cogroup(answers.groupBy("asker")).applyInPandas(add, "h long, c long, n long, log10 double")
-
-
-# ---------------------------------------------------------------- texts
-def _text_sums(docs: DataFrame, table) -> DataFrame:
-    """Per text one row (row, doc_id, train, n_bytes, n_tokens, n_known, base, log10) over its frequent words,
-    and a row (row, h, times) for each of its other distinct words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task, row = TaskContext.get().partitionId() << 40, 0
-        hashes, known, base, log10 = table.value
-        index = HashIndex(hashes)
-        for batch in batches:
-            at = 0
-            for ids, texts in text_slices([batch.select([0, 1])], 2 << 20):
-                train = batch.column(2).slice(at, len(texts))
-                at += len(texts)
-                found, starts, _, begin, end = _words(texts)
-                lengths = end - begin
-                count = len(texts)
-                rows = task + row + np.arange(count)
-                row += count
-                whose = np.repeat(np.arange(count), np.diff(starts))
-                where = index.find(found)
-                often = where >= 0
-                sums = [np.bincount(whose[often], x[where[often]], count).astype(np.float64) for x in (known, base, log10)]
-                # bytes of words and a blank for each, as coded
-                n_bytes = np.bincount(whose, lengths + 1, count).astype(np.int64)
-                seen, times = np.unique(np.stack([whose[~often].astype(np.uint64), found[~often]]), axis=1, return_counts=True) if (~often).any() else (np.empty((2, 0), np.uint64), np.empty(0, np.int64))
-                yield _sum_batch(rows, ids, train, n_bytes, np.diff(starts) + 1, sums)
-                if len(times):
-                    yield _rare_batch(rows[seen[0].astype(np.int64)], seen[1].view(np.int64), times)
-
-    return docs.select("doc_id", "text", "train").mapInArrow(run, _SUM_COLUMNS)
-
-
-_SUM_COLUMNS = "row long, doc_id long, train boolean, n_bytes long, n_tokens long, n_known long, base double, log10 double, h long, times long"
-_SUM_NAMES = ["row", "doc_id", "train", "n_bytes", "n_tokens", "n_known", "base", "log10", "h", "times"]
-
-
-def _sum_batch(rows, ids, train, n_bytes, n_tokens, sums) -> pa.RecordBatch:
-    n = len(rows)
-    known, base, log10 = sums
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows), ids, train, pa.array(n_bytes), pa.array(n_tokens), pa.array(known.astype(np.int64)), pa.array(base), pa.array(log10),
-         pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=_SUM_NAMES)
-
-
-def _rare_batch(rows, hashes, times) -> pa.RecordBatch:
-    n = len(rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *(pa.nulls(n, pa.int64()) for _ in range(3)),
-         pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), pa.array(hashes), pa.array(times.astype(np.int64))], names=_SUM_NAMES)
-
-
-def score(docs: DataFrame, training: Column, frequent: int = FREQUENT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte: a row for each row of ``docs``.
-
-    ``training``: a condition on doc_id; those rows' texts teach the model, all rows are scored.
-    base_score: sum over tokens (words and one end) of log10((c + 1) / (N + V + 1)) with a
-    token's count c, all N and distinct V training tokens. score: the model's log10
-    probability of the text; n_bytes: the bytes coded, those of its words and one blank for each;
-    bits_per_byte: its code length over those and one end.
-
-    Null or empty text: its end alone. A null condition (null id) teaches nothing; null ids and repeated rows are kept,
-    repeated training rows count as often as they are there. Without any training text all
-    counts are 0 and every decision has probability 1/2. An empty table gives none; other
-    columns are ignored. The driver gets sums and at most ``frequent`` words.
-    """
-    spark = docs.sparkSession
-    rows = id_text(docs).withColumn("train", F.coalesce(training, F.lit(False)))
-    both = materialize(_words_and_events(_count_words(rows)), "ctw-words")
-    words = materialize(_word_scores(both), "ctw-word-scores")
-    whole = words.agg(F.sum("c").alias("tokens"), F.count(F.when(F.col("c") > 0, 1)).alias("kinds")).first()
-    tokens, kinds = whole.tokens or 0, whole.kinds or 0
-    base = F.log10((F.col("c") + 1) / F.lit(float(tokens + kinds + 1)))
-    words = words.select("h", "n", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), "log10")
-
-    # the least count that at most ``frequent`` words have; the end is added to every text below
-    by_count = sorted((r.n, r.words) for r in words.filter(F.col("h") != END_HASH).groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count(F.lit(1)).alias("words")).collect())
-    least, room = 1 << 62, frequent
-    for n, some in reversed(by_count):
-        if some > room:
-            break
-        least, room = n, room - some
-    chosen = words.filter((F.col("n") >= least) & (F.col("h") != END_HASH)).toArrow()
-    columns = [np.asarray(chosen.column(k).combine_chunks()) if chosen.num_rows else np.empty(0, t) for k, t in
-               (("h", np.int64), ("known", np.int64), ("base", np.float64), ("log10", np.float64))]
-    table = spark.sparkContext.broadcast((columns[0].astype(np.int64).view(np.uint64), *columns[1:]))
-    end = words.filter(F.col("h") == END_HASH).first()
-    end_known, end_base, end_log10 = (end.known, end.base, end.log10) if end else (0, 0.0, 0.0)
-
-    sums = materialize(_text_sums(rows, table), "ctw-text-sums")
-    rare = sums.filter(F.col("h").isNotNull()).select("row", "h", "times").join(words.select("h", "known", "base", "log10"), "h")
-    rare = rare.groupBy("row").agg(F.sum(F.col("times") * F.col("known")).alias("rare_known"),
-                                   F.sum(F.col("times") * F.col("base")).alias("rare_base"),
-                                   F.sum(F.col("times") * F.col("log10")).alias("rare_log10"))
-    out = sums.filter(F.col("h").isNull()).drop("h", "times").join(rare, "row", "left")
-    add = lambda c, r, e: F.col(c) + F.coalesce(F.col(r), F.lit(0)) + F.lit(e)
-    out = out.select("doc_id", "train", "n_bytes", "n_tokens", add("n_known", "rare_known", end_known).cast("long").alias("n_known"),
-                     F.lit(tokens).cast("long").alias("train_tokens"), add("base", "rare_base", end_base).alias("base_score"),
-                     add("log10", "rare_log10", end_log10).alias("score"))
-    return out.withColumn("bits_per_byte", -F.col("score") * F.lit(float(np.log2(10))) / (F.col("n_bytes") + 1))

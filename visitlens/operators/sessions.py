@@ -15,7 +15,7 @@ from visitlens.functions.columns import (
     STEP_BUCKETS, VISIT_BUCKETS, bucket_condition, bucket_label, half_up_ratio_sql, nonempty,
     parse_action_time,
 )
-from visitlens.operators.joins import hot_keys, salted_join
+from visitlens.operators.joins import broadcast_if_small, hot_keys, salted_join
 from visitlens.plans.params import TaskParams
 
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -78,6 +78,55 @@ def session_rollup(actions: DataFrame) -> DataFrame:
     )
 
 
+#: Most distinct values of a session that become an array (about 1 MB of keywords of 100 bytes).
+MAX_ARRAY_VALUES = 10_000
+
+
+def session_rollup_two_level(actions: DataFrame, max_values: int = MAX_ARRAY_VALUES) -> tuple[DataFrame, DataFrame]:
+    """(sessions, overflow): the roll-up for sessions with any number of distinct keywords and categories.
+
+    Values are made distinct as rows (session, kind, value), so no task gathers one session's. Arrays and
+    joined strings are built for kinds with at most ``max_values`` values; for others they are null, and
+    ``overflow`` (session_id, kind ``keyword`` or ``category``, value) holds every value: nothing is lost.
+    ``sessions`` has the columns of ``session_rollup`` and n_keywords, n_categories.
+    """
+    kw, cat = F.col("search_keyword"), F.col("click_category_id")
+    value = lambda kind, v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value"))
+    both = F.array_compact(F.array(F.when(nonempty(kw), value("keyword", kw)), F.when(cat.isNotNull(), value("category", cat))))
+    pairs = (actions.select("session_id", F.explode(both).alias("v")).groupBy("session_id", "v.kind", "v.value").agg(F.first(F.lit(1)).alias("_one"))
+             .drop("_one"))
+    sizes = pairs.groupBy("session_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+    # at most one wide (session, kind) per max_values pairs; the rows of wide ones never meet in a task
+    wide = broadcast_if_small(sizes.where(F.col("n") > F.lit(max_values)).select("session_id", "kind"))
+    overflow = pairs.join(wide, ["session_id", "kind"], "left_semi")
+    narrow = pairs.join(wide, ["session_id", "kind"], "left_anti")
+    of_kind = lambda kind, v: F.collect_list(F.when(F.col("kind") == kind, v))
+    arrays = narrow.groupBy("session_id").agg(F.array_sort(of_kind("keyword", F.col("value"))).alias("_kw"),
+                                              F.array_sort(of_kind("category", F.col("value").cast("bigint"))).alias("_cat"))
+    counts = sizes.groupBy("session_id").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(name)
+                                               for kind, name in (("keyword", "n_keywords"), ("category", "n_categories"))])
+    base = actions.select("session_id", "user_id", parse_action_time(F.col("action_time")).alias("ts")).groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"), F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("step_length"))
+    joined = base.join(counts, "session_id", "left").join(arrays, "session_id", "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    known = lambda c, arr, of: F.when(n(c) <= F.lit(max_values), F.coalesce(F.col(arr), F.array().cast(of)))
+    out = joined.select("session_id", "user_id", "start_ts", F.date_format("start_ts", TIME_FMT).alias("start_time"),
+                        (F.unix_timestamp("end_ts") - F.unix_timestamp("start_ts")).alias("visit_length"), "step_length",
+                        known("n_keywords", "_kw", "array<string>").alias("keywords"), known("n_categories", "_cat", "array<bigint>").alias("categories"),
+                        n("n_keywords").alias("n_keywords"), n("n_categories").alias("n_categories"))
+    text = lambda c: F.when(F.size(c) > 0, F.array_join(c, ","))
+    return out.select(*out.columns[:8], text("keywords").alias("search_keywords"), text("categories").alias("click_category_ids"),
+                      "n_keywords", "n_categories"), overflow
+
+
+def sessions_with_values(sessions: DataFrame, overflow: DataFrame, kind: str, values: list[str]) -> DataFrame:
+    """The sessions of ``session_rollup_two_level`` that hold any of the values, in their array or in the overflow."""
+    array = {"keyword": "keywords", "category": "categories"}[kind]
+    hits = overflow.where((F.col("kind") == kind) & F.col("value").isin(*values)).select("session_id").distinct().withColumn("_hit", F.lit(True))
+    in_array = F.coalesce(array_overlaps(array, values), F.lit(False))
+    return sessions.join(hits, "session_id", "left").where(in_array | F.col("_hit")).drop("_hit")
+
+
 SESSION_COLUMNS = ["session_id", "user_id", "start_time", "visit_length", "step_length",
                    "search_keywords", "click_category_ids"]
 USER_COLUMNS = ["age", "professional", "city", "sex"]

@@ -25,6 +25,7 @@ from visitlens.plans.params import TaskParams
 from visitlens.session import checkpoint_dir
 from visitlens.sources import fixtures as fx
 from visitlens.sources.keyed_table import KeyedTable
+from visitlens.sources.layout import store_actions, stored_session_detail, stored_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,6 +148,41 @@ def q_session_base(spark, sf):
     return _sessions(spark, sf).select(*ses.SESSION_COLUMNS)
 
 
+@register("session_base_two_level", f"SELECT {SESS_COLS}, len(coalesce(kw_list, [])) AS n_keywords, len(coalesce(cat_list, [])) AS n_categories FROM sess", _sess_cte())
+def q_session_base_two_level(spark, sf):
+    sessions, _ = ses.session_rollup_two_level(_actions(spark, sf))
+    return sessions.select(*ses.SESSION_COLUMNS, "n_keywords", "n_categories")
+
+
+# a low bound, so that values go to the side table at every scale
+@register("session_overflow_values",
+          """WITH v AS (SELECT session_id, 'keyword' AS kind, search_keyword AS value FROM uva WHERE search_keyword <> ''
+                   UNION SELECT session_id, 'category', CAST(click_category_id AS VARCHAR) FROM uva WHERE click_category_id IS NOT NULL)
+             SELECT * FROM v WHERE (session_id, kind) IN (SELECT (session_id, kind) FROM v GROUP BY ALL HAVING count(*) > 3)""")
+def q_session_overflow_values(spark, sf):
+    return ses.session_rollup_two_level(_actions(spark, sf), max_values=3)[1]
+
+
+def _stored(spark, sf) -> str:
+    name = f"visitlens_actions_{uuid.uuid4().hex}"
+    store_actions(_actions(spark, sf), name, buckets=8, path=f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+    return name
+
+
+@register("stored_session_base", f"SELECT {SESS_COLS} FROM sess", _sess_cte())
+def q_stored_session_base(spark, sf):
+    return stored_sessions(spark, _stored(spark, sf)).select(*ses.SESSION_COLUMNS)
+
+
+@register("stored_session_detail",
+          f"""SELECT * FROM uva WHERE session_date BETWEEN '{SCAN_START}' AND '{SCAN_END}' AND session_id IN (
+                SELECT session_id FROM uva WHERE session_date BETWEEN '{SCAN_START}' AND '{SCAN_END}' GROUP BY ALL HAVING count(*) > 2)""")
+def q_stored_session_detail(spark, sf):
+    name = _stored(spark, sf)
+    long = stored_sessions(spark, name, SCAN_START, SCAN_END).where("step_length > 2")
+    return stored_session_detail(spark, name, long, SCAN_START, SCAN_END)
+
+
 @register("session_keywords", "SELECT session_id, search_keywords FROM sess", _sess_cte())
 def q_session_keywords(spark, sf):
     return _sessions(spark, sf).select("session_id", "search_keywords")

@@ -148,3 +148,48 @@ def test_classifier_awkward(spark):
     assert {r.score for r in quality_knn.score(docs(spark), untaught).collect()} == {0.5}
     kept = quality_knn.keep_good(docs(spark), model, 0.7)
     assert kept.columns == docs(spark).columns
+
+
+def test_classifier_learns_vocabulary_alone(spark):
+    """Good and bad texts of equal style: the same word lengths, marks and repetition, other words."""
+    rng = random.Random(6)
+    lists = [["".join(rng.choice("bcdfgmnprst") if k % 2 == 0 else rng.choice("aeiou") for k in range(6)) for _ in range(60)] for _ in range(2)]
+    rows = [(k, " ".join(rng.choice(lists[k % 2]) for _ in range(60)).capitalize() + ".") for k in range(400)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    training = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+    got = {r.doc_id: r.score for r in quality_knn.score(docs(spark, rows), quality_knn.fit(docs(spark, rows), labels, training)).collect()}
+    held = [k for k in got if zlib.crc32(str(k).encode()) % 4 == 2]
+    assert len(held) > 50 and all((got[k] >= 0.5) == (k % 2 == 1) for k in held)
+    one, two = quality_knn.features(["The cat sat on a mat.", "Fro xyz qud zz q jkl."])
+    assert np.abs(one - two).max() > 0.05
+
+
+def test_classifier_against_plain_version(spark):
+    """Features one text at a time, a full singular value decomposition, all cosines, sorted neighbours."""
+    table, labels = labelled(spark)
+    model = quality_knn.fit(table, labels, F.col("doc_id") % 3 != 0, sample=90)
+    texts = {r.doc_id: r.text for r in table.collect()}
+    truth = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.doc_id % 3 and r.quality in (0, 1):
+            truth[r.doc_id] = max(r.quality, truth.get(r.doc_id, 0))
+    order = {r.doc_id: r.h for r in spark.createDataFrame([(k,) for k in truth], "doc_id long").select("doc_id", F.xxhash64("doc_id", F.lit(11)).alias("h")).collect()}
+    ids = sorted(k for v in (0, 1) for k in sorted((k for k in truth if truth[k] == v), key=order.get)[:90])
+    rows = np.concatenate([quality_knn.features([texts[k]]) for k in ids])
+    weights = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 1
+    _, s, v = np.linalg.svd(rows * weights, full_matrices=False)
+    space = v[:quality_knn.LATENT].T
+    unit = lambda z: z / np.linalg.norm(z, axis=1, keepdims=True)
+    known, y = unit(rows * weights @ space), np.array([truth[k] for k in ids])
+    asked = [k for k in texts if k % 3 == 0][:60]
+    got = {r.doc_id: r.score for r in quality_knn.score(table, model).collect()}
+    for k, near in zip(asked, unit(np.concatenate([quality_knn.features([texts[k]]) for k in asked]) * weights @ space) @ known.T):
+        top = np.argsort(-near)[:quality_knn.NEIGHBOURS]
+        votes = np.clip(near[top], 0, None) ** 8 + 1e-12
+        assert got[k] == pytest.approx((votes * y[top]).sum() / votes.sum(), abs=0.02)
+
+
+def test_features_do_not_depend_on_the_slice():
+    texts = [t or "" for _, t in AWKWARD] + ["Words of plain prose, twice: words of plain prose."]
+    whole = quality_knn.features(texts)
+    assert np.allclose(whole, np.concatenate([quality_knn.features([t]) for t in texts]))

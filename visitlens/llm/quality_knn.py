@@ -1,11 +1,11 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
-Every document becomes a vector of hashed features of its writing: sequences of byte kinds, marks
-and measures of repetition, word length, case and size, each as a bounded, dampened frequency. No
-feature holds which words a text has: texts alike in style get like vectors, whatever their terms. A
-truncated SVD of the labelled sample's weighted vectors gives the latent space. The sample's
-latent vectors (a bounded table) are broadcast; each document's exact cosines with all of them
-come from blocked matrix products, and the nearest ones vote with their similarity.
+Every document becomes a vector of hashed features. Terms: its words and pairs of words. Style: sequences of byte kinds,
+marks and measures of repetition, word length, case and size. All are bounded, dampened frequencies, weighted by
+inverse document frequency. A truncated SVD of the labelled sample's weighted vectors gives the latent space, in which
+terms that occur in the same documents lie together. The sample's latent vectors (a bounded table) are broadcast;
+each document's exact cosines with all of them come from blocked matrix products, and the nearest ones vote with
+their similarity.
 
 Only the sample of labelled rows is bounded (``sample`` rows of each class, a parameter): it
 is what a classifier may be fitted on. Scores are computed for all documents from whole texts.
@@ -13,6 +13,7 @@ is what a classifier may be fitted on. Scores are computed for all documents fro
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,8 +24,11 @@ from pyspark.sql import functions as F
 
 from visitlens.llm.common import _SPACE, append_from_text, fresh_prefix, id_text, mix64, text_slices, word_hashes
 
-#: Labelled rows of each class to fit on, hashed features, latent dimensions, voting neighbours.
-SAMPLE, FEATURES, LATENT, NEIGHBOURS = 1500, 1024, 48, 25
+#: Labelled rows of each class to fit on, hashed features of style and of terms, latent dimensions, voting neighbours.
+SAMPLE, STYLE, TERMS, LATENT, NEIGHBOURS = 1500, 1024, 3072, 64, 25
+FEATURES = STYLE + TERMS
+#: Weights of words and of pairs of words beside those of style, which are 1 each.
+WORD_WEIGHT, PAIR_WEIGHT = 0.5, 0.25
 #: Documents in one block of cosines.
 BLOCK = 512
 
@@ -35,16 +39,20 @@ _KIND[_SPACE] = 3
 
 
 def _bucket(values: np.ndarray, family: int) -> np.ndarray:
-    return (mix64(values.astype(np.uint64) + np.uint64(family << 40)) % np.uint64(FEATURES)).astype(np.int64)
+    return (mix64(values.astype(np.uint64) + np.uint64(family << 40)) % np.uint64(STYLE)).astype(np.int64)
+
+
+def _terms(values: np.ndarray) -> np.ndarray:
+    return STYLE + (mix64(values) % np.uint64(TERMS)).astype(np.int64)
 
 
 def features(texts: list[str]) -> np.ndarray:
     """One row per text of square roots of feature shares; an empty text has a feature of its own.
 
-    Families: sequences of four byte kinds, single marks, and bounded measures (shares of
+    Families: words and pairs of words (A-Z lower-cased), sequences of four byte kinds, single marks, and bounded measures (shares of
     distinct word pairs, of words equal to the one before, of distinct words, mean word
     length, upper case, marks a word, number of words), each spread over the two nearest of
-    its grid points. No terms are used.
+    its grid points.
     """
     out = np.zeros((len(texts), FEATURES))
     if not texts:
@@ -56,21 +64,26 @@ def features(texts: list[str]) -> np.ndarray:
     owner = np.repeat(np.arange(len(texts)), [len(b) + 1 for b in blobs])
     n_bytes = np.array([len(b) for b in blobs])
 
-    def add(family: int, values: np.ndarray, who: np.ndarray, weight: float) -> None:
+    def add(buckets: np.ndarray, who: np.ndarray, weight: float) -> None:
         """Shares of the values' buckets within their texts."""
-        got = np.bincount(who * FEATURES + _bucket(values, family), minlength=out.size).reshape(out.shape)
-        total = got.sum(axis=1, keepdims=True)
-        out[:] += weight * got / np.maximum(total, 1)
+        total = np.bincount(who, minlength=len(texts))
+        places, times = np.unique(who * FEATURES + buckets, return_counts=True)
+        out.ravel()[places] += weight * times / total[places // FEATURES]
 
-    if len(raw) > 4:
+    if len(raw) > 3:
         grams = ((kinds[:-3] * 6 + kinds[1:-2]) * 6 + kinds[2:-1]) * 6 + kinds[3:]
         inside = owner[:-3] == owner[3:]
-        add(1, grams[inside], owner[:-3][inside], 1.0)
+        add(_bucket(grams[inside], 1), owner[:-3][inside], 1.0)
     marks = kinds == 4
-    add(2, raw[marks], owner[marks], 1.0)
+    add(_bucket(raw[marks], 2), owner[marks], 1.0)
     hashes, starts = word_hashes(texts)
     n_words = np.diff(starts)
     whose = np.repeat(np.arange(len(texts)), n_words)
+    add(_terms(hashes), whose, WORD_WEIGHT)
+    if len(hashes) > 1:
+        beside = whose[1:] == whose[:-1]
+        with np.errstate(over="ignore"):
+            add(_terms((hashes[:-1] * np.uint64(3) + hashes[1:])[beside]), whose[1:][beside], PAIR_WEIGHT)
 
     def measure(family: int, values: np.ndarray, steps: int, there: np.ndarray) -> None:
         """A value in 0 to 1 as weights of the two nearest of ``steps`` grid points."""
@@ -139,17 +152,26 @@ class Voters:
         return np.clip(out, 0, 1)
 
 
+def _leading(scaled: np.ndarray, most: int) -> np.ndarray:
+    """The leading right singular vectors as columns, by subspace iteration from a fixed start."""
+    start = np.random.default_rng(7).standard_normal((scaled.shape[1], min(most + 16, *scaled.shape))).astype(scaled.dtype)
+    basis = np.linalg.qr(start)[0]
+    for _ in range(8):
+        basis = np.linalg.qr(scaled.T @ (scaled @ basis))[0]
+    values, turn = np.linalg.eigh((b := scaled @ basis).T @ b)
+    keep = min(most, int((values > 1e-6 * values[-1]).sum()) or 1)
+    return (basis @ turn[:, ::-1][:, :keep]).astype(np.float64)
+
+
 def fit_vectors(rows: np.ndarray, labels: np.ndarray, latent: int = LATENT) -> Voters:
-    """Weights (rare features count more, as in inverse document frequencies), SVD and latent vectors."""
+    """Weights (rare features count more: inverse document frequencies), SVD and latent vectors."""
     if not len(rows):
         return Voters(np.ones(FEATURES), np.zeros((FEATURES, 1)), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     weights = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 1
-    scaled = rows * weights
-    gram = scaled.T @ scaled  # FEATURES x FEATURES, whatever the sample
-    values, vectors = np.linalg.eigh(gram)
-    keep = min(latent, len(rows), int((values > 1e-9 * values[-1]).sum()) or 1)
-    model = Voters(weights, vectors[:, ::-1][:, :keep], np.zeros((0, keep), np.float32), np.zeros(0), float(labels.mean()))
-    return Voters(weights, model.projection, model.latent(rows), labels.astype(np.float64), model.prior)
+    projection = _leading((rows * weights).astype(np.float32), latent)
+    model = Voters(weights, projection, np.zeros((0, projection.shape[1]), np.float32), np.zeros(0), float(labels.mean()))
+    return Voters(weights, projection, np.concatenate([model.latent(rows[a:a + BLOCK]) for a in range(0, len(rows), BLOCK)]),
+                  labels.astype(np.float64), model.prior)
 
 
 def _feature_rows(docs: DataFrame) -> DataFrame:
@@ -159,7 +181,7 @@ def _feature_rows(docs: DataFrame) -> DataFrame:
             at = 0
             for ids, texts in text_slices([batch.select([0, 1])], 1 << 20):
                 rows = features(texts).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([ids, labels.slice(at, len(texts)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "label", "row"])
+                yield pa.RecordBatch.from_arrays([ids, labels.slice(at, len(texts)), pa.array([zlib.compress(r.tobytes(), 1) for r in rows], pa.binary())], names=["doc_id", "label", "row"])
                 at += len(texts)
 
     return docs.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, row binary")
@@ -180,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMP
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * sample rows
     rows = _feature_rows(id_text(docs).join(chosen, "doc_id")).dropDuplicates(["doc_id"]).collect()
     rows.sort(key=lambda r: r.doc_id)
-    matrix = np.frombuffer(b"".join(bytes(r.row) for r in rows), np.float32).reshape(-1, FEATURES).astype(np.float64)
+    matrix = np.frombuffer(b"".join(zlib.decompress(bytes(r.row)) for r in rows), np.float32).reshape(-1, FEATURES)
     return fit_vectors(matrix, np.array([r.label for r in rows], np.float64))
 
 

@@ -40,6 +40,36 @@ def test_vectors_against_all_pairs(spark):
     assert embedding_dedup.near_duplicates(vectors(spark, [])).collect() == []
 
 
+def test_forest_connects_what_links_connect():
+    rng = np.random.default_rng(0)
+    for rows, columns, share in ((1, 1, 1.0), (30, 40, 0.03), (30, 40, 0.5), (50, 50, 0.01), (4, 7, 0.0)):
+        hit = rng.random((rows, columns)) < share
+        i, j = embedding_dedup.forest(hit)
+        every, some = (roots(rows + columns, [(a, rows + b) for a, b in zip(*x)]) for x in (np.nonzero(hit), (i, j)))
+        same = lambda r: {(a, b) for a in range(rows + columns) for b in range(a) if r[a] == r[b]}
+        assert hit[i, j].all() and same(every) == same(some) and len(i) < rows + columns
+
+
+def test_topic_of_unlinked_vectors_makes_few_pairs(spark, monkeypatch):
+    """Vectors alike at 0.9, hardly any at 0.95: pairs of cells don't grow with the square of the topic."""
+    rng = np.random.default_rng(9)
+    n, d = 1500, 64
+    centre = rng.standard_normal(d)
+    centre /= np.linalg.norm(centre)
+    noise = rng.standard_normal((n, d))
+    noise -= np.outer(noise @ centre, centre)
+    m = centre * np.sqrt(0.9) + noise / np.linalg.norm(noise, axis=1, keepdims=True) * np.sqrt(0.1)
+    pairs, whole = [], embedding_dedup.cell_pairs
+    monkeypatch.setattr(embedding_dedup, "cell_pairs", lambda x: pairs.append(whole(x).count()) or whole(x))
+    rows = [(k, v) for k, v in enumerate(m.astype(np.float32).tolist())]
+    got = embedding_dedup.near_duplicates(vectors(spark, rows), 0.95).collect()
+    u = embedding_dedup.unit(m.astype(np.float32).astype(float))
+    hit = u @ u.T >= 0.95
+    np.fill_diagonal(hit, False)
+    assert pairs[0] < 20 * n
+    assert all(r.n_links <= w for r, w in zip(sorted(got), hit.sum(axis=1))) and sum(r.n_links for r in got) >= 0.95 * hit.sum()
+
+
 def test_components_chain_and_repeats(spark):
     links = [(k, k + 1) for k in range(60)] + [(70, 70), (80, 81), (81, 80), (80, 81)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

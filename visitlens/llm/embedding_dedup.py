@@ -4,10 +4,11 @@ Vectors are scaled to length one. In each of many tables a vector's bucket is a
 ``floor((a . v + b) / w)`` over Gaussian directions a; near vectors share some bucket.
 
 Equal vectors are one class. A class joins the cell of a hub: the first, in a fixed random
-order, of the buckets' hubs whose cosine with it is confirmed (else it is its own cell). Cells
-that share a bucket are compared whole, in blocks of vectors by matrix products, so every
-pair of classes is compared at most once, a group of thousands of near copies makes a few
-block pairs instead of millions of rows, and only counts and one link per pair of cells leave
+order, of the buckets' hubs whose cosine with it reaches CELL_LIKENESS, well below the threshold (else it is its own
+cell), so vectors of one topic share few cells even where they link with nothing. Each cell, and each pair of cells
+that share a bucket, is compared whole, in blocks of vectors by matrix products: every
+pair of classes is compared at most once, a group of thousands of alike vectors makes a few
+block pairs instead of millions of rows, and only counts and a spanning forest of a block pair's links leave
 a task.
 
 With 20 directions of width 2 in each of 112 tables, two vectors of cosine 0.95 share no
@@ -27,6 +28,8 @@ from visitlens.llm.common import let_workers_import, materialize, mix64
 from visitlens.llm.components import components
 
 TABLES, DIRECTIONS, WIDTH = 112, 20, 2.0
+#: Cosine of a class with the hub of its cell.
+CELL_LIKENESS = 0.8
 #: Vectors in a block of a cell.
 BLOCK = 128
 #: Rows of block pairs that a Python worker holds at a time.
@@ -113,8 +116,26 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, at_least: float) -> DataFra
     return pairs.join(one, "rep").join(two, ["hub", "dims"]).select("rep", "hub", "dims", "x", "y").mapInArrow(run, "rep long, hub long")
 
 
+def forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of links that connect all that the links ``hit`` connect, found layer by layer."""
+    seen_row, seen_column, out = np.zeros(hit.shape[0], bool), np.zeros(hit.shape[1], bool), []
+    for start in np.flatnonzero(hit.any(axis=1)).tolist():
+        if seen_row[start]:
+            continue
+        seen_row[start], rows = True, np.array([start])
+        while len(rows):
+            columns = np.flatnonzero(hit[rows].any(axis=0) & ~seen_column)
+            out.append((rows[hit[np.ix_(rows, columns)].argmax(axis=0)], columns))
+            seen_column[columns] = True
+            more = np.flatnonzero(hit[:, columns].any(axis=1) & ~seen_row)
+            out.append((more, columns[hit[np.ix_(more, columns)].argmax(axis=1)] if len(more) else more))
+            seen_row[more], rows = True, more
+    return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in (0, 1))
+
+
 def _block_links(pairs: DataFrame, at_least: float) -> DataFrame:
-    """(rep, n, other): per block pair, how many vectors each one links with (by class sizes); one ``other`` per pair and side."""
+    """(rep, n, other): per block pair, how many vectors each one links with (by class sizes; no ``other``), and the links of a
+    spanning forest (n 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_ROWS):
@@ -129,18 +150,30 @@ def _block_links(pairs: DataFrame, at_least: float) -> DataFrame:
                         np.fill_diagonal(hit, False)
                     if not hit.any():
                         continue
-                    for mine, theirs, sizes, link in ((rx, ry, sy, hit),) if row["same"] else ((rx, ry, sy, hit), (ry, rx, sx, hit.T)):
+                    for mine, sizes, link in ((rx, sy, hit),) if row["same"] else ((rx, sy, hit), (ry, sx, hit.T)):
                         n = link @ sizes
                         some = np.flatnonzero(n)
                         reps.append(mine[some])
                         counts.append(n[some])
-                        others.append(theirs[link[some].argmax(axis=1)])
+                        others.append(np.full(len(some), -1))
+                    i, j = forest(hit)
+                    reps.append(rx[i])
+                    counts.append(np.zeros(len(i), np.int64))
+                    others.append(ry[j])
                 flat = [np.concatenate(z) if z else np.empty(0, np.int64) for z in (reps, counts, others)]
-                yield pa.RecordBatch.from_arrays([pa.array(z.astype(np.int64)) for z in flat], names=["rep", "n", "other"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(z.astype(np.int64)) for z in flat[:2]), pa.array(flat[2].astype(np.int64), mask=flat[1] > 0)],
+                                                 names=["rep", "n", "other"])
 
     return pairs.mapInArrow(run, "rep long, n long, other long")
 
 
+def cell_pairs(in_bucket: DataFrame) -> DataFrame:
+    """(cx, cy): pairs of different cells that share a bucket (bucket, cell)."""
+    one, two = in_bucket.alias("p"), in_bucket.alias("q")
+    return one.join(two, F.col("p.bucket") == F.col("q.bucket")).filter("p.cell < q.cell").select(
+        F.col("p.cell").alias("cx"), F.col("q.cell").alias("cy")).distinct()
+
+
 def near_duplicates(vectors: DataFrame, at_least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept: a row for each row of ``vectors``.
 
@@ -162,10 +195,10 @@ def near_duplicates(vectors: DataFrame, at_least: float = 0.95, id_col: str = "v
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(pick).alias("hub")).filter("n > 1")
     shared = materialize(shared.select("bucket", F.col("hub.rep").alias("hub")), "vector-hubs")
     met = materialize(placed.join(shared, "bucket"), "vector-met")
-    stars = _confirmed(met.filter("rep != hub").select("rep", "hub").distinct(), classes, at_least)
+    stars = _confirmed(met.filter("rep != hub").select("rep", "hub").distinct(), classes, min(at_least, CELL_LIKENESS))
     first = stars.groupBy("rep").agg(F.min(F.struct(F.xxhash64("hub").alias("h"), "hub")).alias("best"))
     first = materialize(first.select("rep", F.col("best.hub").alias("hub")), "vector-first-hubs")
-    # a hub stays in the cell that it names, so a cell's members all link with its hub
+    # a hub stays in the cell that it names, so a cell's members are all like its hub
     named = first.select(F.col("hub").alias("rep")).distinct().withColumn("names", F.lit(True))
     cells = (classes.select("rep", "dims", "packed", "size").join(first, "rep", "left").join(named, "rep", "left")
              .withColumn("cell", F.when(F.col("names"), F.col("rep")).otherwise(F.coalesce("hub", "rep")))
@@ -191,9 +224,7 @@ def near_duplicates(vectors: DataFrame, at_least: float = 0.95, id_col: str = "v
 
     # pairs of cells that share a bucket, and every cell with itself
     in_bucket = materialize(met.join(cells.select("rep", "cell"), "rep").select("bucket", "cell").distinct(), "vector-bucket-cells")
-    one, two = in_bucket.alias("p"), in_bucket.alias("q")
-    near = one.join(two, F.col("p.bucket") == F.col("q.bucket")).filter("p.cell < q.cell").select(
-        F.col("p.cell").alias("cx"), F.col("q.cell").alias("cy")).distinct()
+    near = cell_pairs(in_bucket)
     own = n_blocks.join(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "cell").select(
         F.col("cell").alias("cx"), F.col("cell").alias("cy"))
     side = lambda c: n_blocks.select(F.col("cell").alias(f"c{c}"), F.col("n_blocks").alias(f"n{c}"))
@@ -206,9 +237,7 @@ def near_duplicates(vectors: DataFrame, at_least: float = 0.95, id_col: str = "v
         "same", "dims", "rx", "sx", "vx", "ry", "sy", "vy")
     found = materialize(_block_links(tasks, at_least), "vector-links")
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
-    # each vector's one link per block pair, and its link with its hub, connect all that is linked
-    links = found.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(
-        cells.filter("cell != rep").select(F.col("rep").alias("a"), F.col("cell").alias("b")))
+    links = found.filter(F.col("other").isNotNull()).select(F.col("rep").alias("a"), F.col("other").alias("b"))
     labels = materialize(components(links), "vector-labels")
     least = labels.join(classes.select("rep", "least"), labels.node == classes.rep).groupBy("label").agg(F.min("least").alias("component_id"))
     of_class = (classes.join(counts, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(least, "label", "left")

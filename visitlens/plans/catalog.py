@@ -156,9 +156,9 @@ def q_session_base_two_level(spark, sf):
 
 # a low bound, so that values go to the side table at every scale
 @register("session_overflow_values",
-          """WITH v AS (SELECT session_id, 'keyword' AS kind, search_keyword AS value FROM uva WHERE search_keyword <> ''
-                   UNION SELECT session_id, 'category', CAST(click_category_id AS VARCHAR) FROM uva WHERE click_category_id IS NOT NULL)
-             SELECT * FROM v WHERE (session_id, kind) IN (SELECT (session_id, kind) FROM v GROUP BY ALL HAVING count(*) > 3)""")
+          "SELECT v.* FROM v JOIN (SELECT session_id, kind FROM v GROUP BY ALL HAVING count(*) > 3) USING (session_id, kind)",
+          """v AS (SELECT session_id, 'keyword' AS kind, search_keyword AS value FROM uva WHERE search_keyword <> ''
+                 UNION SELECT session_id, 'category', CAST(click_category_id AS VARCHAR) FROM uva WHERE click_category_id IS NOT NULL)""")
 def q_session_overflow_values(spark, sf):
     return ses.session_rollup_two_level(_actions(spark, sf), max_values=3)[1]
 

@@ -6,7 +6,7 @@
     python -m visitlens.plans.cli area    --task-id 2 --tasks tasks.json --actions ... \
         --products /data/product_info --cities /data/city_info --out ...
     python -m visitlens.plans.cli ads     --lines /data/ad_lines --state /data/ad_state \
-        --checkpoint /data/ad_ckpt [--kafka-servers host:9092 --topics t1,t2]
+        --checkpoint /data/ad_ckpt [--log /data/ad_log | --kafka-servers host:9092 --topics t1,t2]
 
 Task parameters come either from a task table (``--tasks``: parquet or JSON lines with
 task_id, task_param) looked up by ``--task-id``, or inline as ``--params`` JSON. Inputs
@@ -62,6 +62,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     ap.add_argument("--out")
     ap.add_argument("--materialize", default="checkpoint", choices=["persist", "checkpoint"])
     ap.add_argument("--lines", help="directory of ad click text files (stream source)")
+    ap.add_argument("--log", help="append log of ad click lines (stream source)")
     ap.add_argument("--kafka-servers")
     ap.add_argument("--topics")
     ap.add_argument("--state", help="folder of the ad stream's tables")
@@ -74,9 +75,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or get_spark()
 
     if args.job == "ads":
+        from visitlens.sources import append_log
         from visitlens.streaming import AdClickStreamJob, kafka_lines, text_lines
         lines = (kafka_lines(spark, args.kafka_servers, args.topics) if args.kafka_servers
-                 else text_lines(spark, args.lines))
+                 else append_log.stream(spark, args.log) if args.log else text_lines(spark, args.lines))
         job = AdClickStreamJob(spark, args.state, threshold=args.threshold, compact_every=args.compact_every,
                                lateness_seconds=args.lateness_seconds)
         trigger = {"availableNow": True} if args.available_now else None

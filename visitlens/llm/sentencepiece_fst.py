@@ -1,12 +1,15 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Three machines are compiled from the model file: the normaliser (blank -> U+2581, dummy
-prefix, optional squeezing of blanks), the piece automaton (a trie whose accepting states
-emit a piece) and byte fallback (a character without a piece emits its UTF-8 bytes). They
+Three machines are compiled from the model file: the normaliser (a longest-match transducer of the
+character map, blank -> U+2581, dummy prefix, optional squeezing of blanks), the piece automaton (a trie whose accepting states
+emit a piece) and byte fallback (a character without a piece emits its UTF-8 bytes; without byte
+fallback, a run of such characters emits one unknown id). They
 are composed with each input on the fly, and the output is the path of least weight in the
 tropical semiring (min, +).
 
-* Unigram models: a piece arc weighs minus its score, a fallback arc the unknown penalty.
+* Unigram models: a piece arc weighs minus its score, a fallback arc the unknown penalty. Among paths of equal
+  weight up to rounding, the library's choice depends on single-precision sums from the text's start; a
+  stretch whose lightest path isn't clear of that rounding is therefore weighed again in such sums.
 * BPE models: an arc weighs 0 if the merges would leave its piece and the piece before it
   side by side, infinity otherwise. Merges are ordered by score and then position, so what
   happens inside two neighbouring pieces doesn't depend on the rest of the text; hence the
@@ -20,6 +23,8 @@ bounded cache in each Python worker.
 
 from __future__ import annotations
 
+import ctypes
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -73,18 +78,54 @@ def _fields(blob: bytes) -> Iterator[tuple[int, object]]:
             at += n
 
 
+def single(x: float) -> float:
+    """``x`` rounded to single precision."""
+    return ctypes.c_float(x).value
+
+
+def character_map(blob: bytes) -> dict[str, str]:
+    """The rewrites of a model's compiled character map: a double-array trie and the texts its leaves point to."""
+    if not blob:
+        return {}
+    size = int.from_bytes(blob[:4], "little")
+    units, texts = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64), blob[4 + size:]
+    labels = np.arange(1, 256)
+    # fixed values of the trie's units: 1 << 31 | 0xFF the label, 1 << 8 a leaf below, 10.. the offset (by 8 bits more if 1 << 9)
+    below = lambda u: (u >> 10) << ((u & 512) >> 6)
+    out: dict[str, str] = {}
+    waiting: list[tuple[np.ndarray, list[bytes]]] = [(below(units[:1]), [b""])]
+    while waiting:
+        nodes, keys = waiting.pop()
+        child = nodes[:, None] ^ labels
+        unit = units[np.minimum(child, len(units) - 1)]
+        there = (child < len(units)) & (unit & (1 << 31 | 0xFF) == labels)
+        unit, at = unit[there], child[there] ^ below(unit[there])
+        keys = [keys[k] + bytes((c,)) for k, c in zip(np.nonzero(there)[0].tolist(), np.nonzero(there)[1] + 1)]
+        for k in np.flatnonzero(unit & 256).tolist():
+            begin = int(units[at[k]] & 0x7FFFFFFF)
+            out[keys[k].decode()] = texts[begin:texts.index(b"\0", begin)].decode()
+        waiting += [(at[k:k + 1024], keys[k:k + 1024]) for k in range(0, len(at), 1024)]
+    return out
+
+
 class PieceTransducer:
     """The compiled machines of one model; ``encode`` and ``decode`` run them."""
 
     def __init__(self, pieces: list[tuple[str, float, int]], bpe: bool, byte_fallback: bool,
-                 dummy_prefix: bool = True, squeeze: bool = False):
+                 dummy_prefix: bool = True, squeeze: bool = False, rewrites: dict[str, str] | None = None):
         self.pieces, self.bpe = pieces, bpe
         self.byte_fallback, self.dummy_prefix, self.squeeze = byte_fallback, dummy_prefix, squeeze
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind in (NORMAL, USER_DEFINED)}
         self.unknown = next((i for i, p in enumerate(pieces) if p[2] == UNKNOWN), 0)
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         scores = [pieces[i][1] for i in self.ids.values()]
-        self.unknown_weight = UNKNOWN_PENALTY - min(scores, default=0.0)
+        self.unknown_weight = -single(min(scores, default=0.0) - UNKNOWN_PENALTY)
+        self.heaviest = max(map(abs, [self.unknown_weight, *scores]))
+        self.rewrites = {k: v for k, v in (rewrites or {}).items() if k != v}
+        self.longest: dict[str, int] = {}  # of the rewrites that begin with a character
+        for k in self.rewrites:
+            self.longest[k[0]] = max(len(k), self.longest.get(k[0], 0))
+        self.rewritten = re.compile("[" + "".join(map(re.escape, sorted(self.longest))) + "]") if self.rewrites else None
         self.weight = {p: -pieces[i][1] for p, i in self.ids.items()}
         if any("\n" in p and p != "\n" or BLANK in p.lstrip(BLANK) for p in self.ids):
             raise ValueError("a piece crosses words or lines")
@@ -98,14 +139,14 @@ class PieceTransducer:
             node[""] = p
         self._splits: dict[str, tuple[str, str] | None] = {}
         self._beside = WorkerCache(self._left_alone, PAIR_ENTRIES)
-        self.paths = WorkerCache(self.shortest_path, CACHE_ENTRIES)
+        self.paths = WorkerCache(self.shortest_path if bpe else self._lightest, CACHE_ENTRIES)
         self.width = np.dtype("<u2" if len(pieces) <= 1 << 16 else "<u4")
         self.table = KeyedEncoder(self._plain, self._key, lambda t: self._packed(self.normalise(t)), self.width)
         self.out = [self._output(p, kind) for p, _, kind in pieces]
 
     @classmethod
     def load(cls, path: str) -> PieceTransducer:
-        pieces, bpe, fallback, normaliser = [], False, False, {}
+        pieces, kind, fallback, suffix, normaliser = [], 1, False, 0, {}
         with open(path, "rb") as f:
             blob = f.read()
         for number, value in _fields(blob):
@@ -114,19 +155,43 @@ class PieceTransducer:
                 pieces.append((x.get(1, b"").decode(), x.get(2, 0.0), x.get(3, NORMAL)))
             elif number == 2:
                 x = dict(_fields(value))
-                bpe, fallback = x.get(3, 1) == 2, bool(x.get(35, 0))
+                kind, fallback, suffix = x.get(3, 1), bool(x.get(35, 0)), x.get(24, 0)
             elif number == 3:
                 normaliser = dict(_fields(value))
-        if normaliser.get(2) or normaliser.get(5, 1) != 1:
-            raise ValueError("only identity normalisers with escaped blanks are compiled")
-        return cls(pieces, bpe, fallback, bool(normaliser.get(3, 1)), bool(normaliser.get(4, 1)))
+        if kind not in (1, 2):
+            raise ValueError("only unigram and BPE models are compiled")
+        if suffix or normaliser.get(5, 1) != 1:
+            raise ValueError("only models with escaped blanks before words are compiled")
+        return cls(pieces, kind == 2, fallback, bool(normaliser.get(3, 1)), bool(normaliser.get(4, 1)),
+                   character_map(normaliser.get(2, b"")))
 
     # -- normaliser
+    def rewrite(self, text: str) -> str:
+        """The character map's longest matches, from left to right, replaced; other characters as they are."""
+        if self.rewritten is None:
+            return text
+        out, done = [], 0
+        hit = self.rewritten.search(text)
+        while hit:
+            at = hit.start()
+            for n in range(min(self.longest[text[at]], len(text) - at), 0, -1):
+                new = self.rewrites.get(text[at:at + n])
+                if new is not None:
+                    out += text[done:at], new
+                    done = at + n
+                    break
+            hit = self.rewritten.search(text, max(done, at + 1))
+        return "".join(out) + text[done:]
+
     def normalise(self, text: str) -> str:
-        text = text.replace(" ", BLANK)
-        if self.squeeze:
-            text = BLANK.join(x for x in text.split(BLANK) if x)
-        return BLANK + text if text and self.dummy_prefix else text
+        if not text:
+            return text
+        prefix = BLANK if self.dummy_prefix else ""
+        text = self.rewrite(text)
+        if not self.squeeze:
+            return prefix + text.replace(" ", BLANK)
+        text = " ".join(x for x in text.split(" ") if x)
+        return (prefix + text.replace(" ", BLANK)).rstrip(BLANK) if text else text
 
     @staticmethod
     def stretches(text: str) -> list[str]:
@@ -148,7 +213,9 @@ class PieceTransducer:
     # -- pieces and byte fallback, composed with a stretch
     def shortest_path(self, stretch: str) -> bytes:
         """Ids of the path of least weight, packed."""
-        path = self._merge_path(stretch) if self.bpe else self._unigram_path(stretch)
+        return np.array(self._ids_of(self._merge_path(stretch) if self.bpe else self._lightest(stretch)[0]), self.width).tobytes()
+
+    def _ids_of(self, path: list[str]) -> list[int]:
         ids: list[int] = []
         for p in path:
             if p in self.ids:
@@ -157,7 +224,7 @@ class PieceTransducer:
                 ids += [self.byte_ids[b] for b in p.encode()]
             else:
                 ids.append(self.unknown)
-        return np.array(ids, self.width).tobytes()
+        return ids
 
     def _merge_path(self, s: str) -> list[str]:
         n = len(s)
@@ -177,23 +244,68 @@ class PieceTransducer:
                 last[i + 1] = s[i]
         return self._trace(last, n)
 
-    def _unigram_path(self, s: str) -> list[str]:
+    def _lightest(self, s: str) -> tuple[list[str], float]:
+        """(the path of least weight, by how much at least it beats another at one of its states)."""
         n, inf = len(s), float("inf")
-        best, last = [0.0] + [inf] * n, [None] * (n + 1)
+        best, second, last = [0.0] + [inf] * n, [inf] * (n + 1), [None] * (n + 1)
+
+        def arc(i: int, j: int, weight: float, piece: str) -> None:
+            if (w := best[i] + weight) < best[j]:
+                best[j], second[j], last[j] = w, best[j], piece
+            elif w < second[j]:
+                second[j] = w
+
         for i in range(n):
-            if best[i] == inf:
-                continue
-            node, j, single = self.trie, i, False
+            node, j, alone = self.trie, i, False
             while j < n and (node := node.get(s[j])) is not None:
                 j += 1
-                piece = node.get("")
-                if piece is not None:
-                    single |= j == i + 1
-                    if best[i] + self.weight[piece] < best[j]:
-                        best[j], last[j] = best[i] + self.weight[piece], piece
-            if not single and best[i] + self.unknown_weight < best[i + 1]:
-                best[i + 1], last[i + 1] = best[i] + self.unknown_weight, s[i]
-        return self._trace(last, n)
+                if (piece := node.get("")) is not None:
+                    alone |= j == i + 1
+                    arc(i, j, self.weight[piece], piece)
+            if not alone:
+                arc(i, i + 1, self.unknown_weight, s[i])
+        path, gap, j = self._trace(last, n), inf, 0
+        for p in path:
+            j += len(p)
+            gap = min(gap, second[j] - best[j])
+        return path, gap
+
+    def _rounded(self, s: str, so_far: float) -> tuple[list[str], float]:
+        """(path, score at its end) in sums of single precision that begin with ``so_far``.
+
+        Of candidates that are equal once rounded the one with the longest last piece stays.
+        """
+        n = len(s)
+        best: list[float | None] = [so_far] + [None] * n
+        last: list[str | None] = [None] * (n + 1)
+        for i in range(n):
+            node, j, alone = self.trie, i, False
+            while j < n and (node := node.get(s[j])) is not None:
+                j += 1
+                if (piece := node.get("")) is not None:
+                    alone |= j == i + 1
+                    score = single(best[i] - self.weight[piece])
+                    if best[j] is None or score > best[j]:
+                        best[j], last[j] = score, piece
+            if not alone:
+                score = single(best[i] - self.unknown_weight)
+                if best[i + 1] is None or score > best[i + 1]:
+                    best[i + 1], last[i + 1] = score, s[i]
+        return self._trace(last, n), best[n]
+
+    def _unigram(self, text: str) -> list[int]:
+        """Ids of a normalised text, unknown ones one by one."""
+        ids: list[int] = []
+        so_far = 0.0
+        for s in self.stretches(text):
+            path, gap = self.paths[s] if len(s) <= CACHE_CHARS else self._lightest(s)
+            if gap > (len(s) + 2) * 2.0 ** -21 * (abs(so_far) + len(s) * self.heaviest):
+                for p in path:
+                    so_far = single(so_far - self.weight.get(p, self.unknown_weight))
+            else:
+                path, so_far = self._rounded(s, so_far)
+            ids += self._ids_of(path)
+        return ids
 
     @staticmethod
     def _trace(last: list, n: int) -> list[str]:
@@ -259,7 +371,9 @@ class PieceTransducer:
 
     # -- whole texts
     def _packed(self, text: str) -> bytes:
-        """Packed ids of a normalised text."""
+        """Packed ids of a normalised text, unknown ones one by one."""
+        if not self.bpe:
+            return np.array(self._unigram(text), self.width).tobytes()
         look, long = self.paths.__getitem__, self.shortest_path
         return b"".join([look(s) if len(s) <= CACHE_CHARS else long(s) for s in self.stretches(text)])
 
@@ -269,14 +383,22 @@ class PieceTransducer:
 
     def _plain(self, text: str) -> bool:
         """Whether every blank stands alone between other characters, so that each begins a stretch."""
-        return (self.dummy_prefix and not self.squeeze and text[0] not in " \n" and "  " not in text and BLANK not in text)
+        return (self.bpe and self.dummy_prefix and not self.squeeze and not self.rewrites and text[0] not in " \n" and "  " not in text and BLANK not in text)
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self._packed(self.normalise(text)), self.width)
+        return self.encode_many([text])[0]
 
     def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has)."""
-        return self.table.encode(texts)
+        ids, sizes = self.table.encode(texts)
+        if self.byte_fallback or not len(ids):
+            return ids, sizes
+        again = ids == self.unknown
+        again[1:] &= again[:-1].copy()  # an unknown id right after another, in one text
+        starts = np.cumsum(sizes) - sizes
+        again[starts[sizes > 0]] = False
+        gone = np.concatenate(([0], np.cumsum(again)))
+        return ids[~again], sizes - (gone[starts + sizes] - gone[starts])
 
     def _output(self, piece: str, kind: int) -> bytes:
         if kind == BYTE:

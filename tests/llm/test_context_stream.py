@@ -122,3 +122,16 @@ def test_scores_do_not_depend_on_the_tables(spark):
                      for r in cs.score(docs(spark, rows), F.col("doc_id") % 3 != 0, frequent, events).collect())
         want = want or got
         assert got == want
+
+
+def test_chunks_keep_triples_together(monkeypatch):
+    rng = np.random.default_rng(3)
+    for size, chunk in ((0, 5), (1, 5), (3000, 1), (3000, 70), (3000, 10_000)):
+        monkeypatch.setattr(ct, "CHUNK", chunk)
+        keys = rng.integers(0, 40, size, dtype=np.uint64) << np.uint64(40) | rng.integers(0, 1 << 20, size, dtype=np.uint64)
+        keys[:size // 3] = (np.uint64(7) << np.uint64(40)) | keys[:size // 3] & np.uint64(0xFFFFF)  # a hot triple
+        pieces = list(ct._chunks(keys))
+        assert sorted(np.concatenate(pieces).tolist() if pieces else []) == list(range(size))
+        triples = [set((keys[p] >> np.uint64(40)).tolist()) for p in pieces]
+        assert all(a.isdisjoint(b) for a, b in zip(triples, triples[1:]))
+        assert all(len(p) <= chunk or len(t) == 1 for p, t in zip(pieces, triples))

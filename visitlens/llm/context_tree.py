@@ -12,14 +12,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.llm.common import materialize
+
 #: Context bytes (at most 7), and entries of the broadcast table of frequent words.
 DEPTH, FREQUENT = 6, 1 << 19
 #: The end of a text as a word of its own: its hash.
 END_HASH = 0
 _SYM = np.uint64(0xFF)
+#: Events whose trees a task builds at a time; those of one triple of last bytes stay together.
+CHUNK = 1 << 16
 
 
 def _log_gamma_half(n: np.ndarray) -> np.ndarray:
@@ -64,7 +68,7 @@ def _parent(node: np.ndarray) -> np.ndarray:
 
 class Subtree:
     """Levels TOP to DEPTH of all trees over events that hold every event of their last TOP bytes."""
-    TOP = 2
+    TOP = 3
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         self.pair = ((keys >> np.uint64(64 - 8 * DEPTH)) << np.uint64(8)) | (keys & _SYM)
@@ -91,8 +95,8 @@ class Subtree:
         return self.levels[-1]
 
     def log10(self, above) -> np.ndarray:
-        """log10 probability of each event; ``above(nodes)``: (sum so far of weight * estimate, weight left) of TOP's parents."""
-        told, left = above(_parent(self.levels[-1]["nodes"]))
+        """log10 probability of each event; ``above(nodes)``: (sum so far of weight * estimate, weight left) above TOP's nodes."""
+        told, left = above(self.levels[-1]["nodes"])
         for k in range(len(self.levels) - 1, -1, -1):
             level = self.levels[k]
             if k < len(self.levels) - 1:
@@ -123,39 +127,92 @@ class Crown:
         return self.told[at], self.left[at]
 
 
-def _event_arrays(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    got = [(np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1))) for b in batches if b.num_rows]
-    if not got:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate([k for k, _ in got]), np.concatenate([c for _, c in got])
+def _chunks(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the events in pieces of about CHUNK, each with all events of its triples of last bytes."""
+    order = np.argsort(keys)
+    last = keys[order] >> np.uint64(40)
+    begins = np.concatenate(([0], np.flatnonzero(np.diff(last)) + 1, [len(keys)]))
+    a = 0
+    while a < len(keys):
+        b = int(begins[max(np.searchsorted(begins, a + CHUNK, side="right") - 1, np.searchsorted(begins, a, side="right"))])
+        yield order[a:b]
+        a = b
+
+
+def _columns(batches: list[pa.RecordBatch], names: list[str]) -> list[np.ndarray]:
+    return [np.concatenate([np.asarray(b.column(c)) for b in batches]) for c in names]
+
+
+def _parent_column(node: str) -> Column:
+    return F.shiftleft(F.shiftrightunsigned(node, 16), 8).bitwiseOR(F.col(node).bitwiseAND(F.lit(0xFF)))
 
 
 def event_scores(counted: DataFrame) -> DataFrame:
     """(key, log10): the trained trees' probability of every event of ``counted`` (key, c); a count ``n`` stays, if there.
 
-    Events are dealt by their last two context bytes: everything below those in the trees
+    Events are dealt by their last three context bytes: everything below those in the trees
     stays in one task, whose size is the number of distinct contexts and bytes there, not of
-    words. What is above comes from sums of at most 256 * 255 rows.
+    words, and which builds them in pieces. Nodes of three and of two bytes are rows of tables, so the events of a
+    frequent pair of bytes are in as many tasks as bytes stand before it. What is above
+    comes from sums of at most 256 * 255 rows.
     """
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = _event_arrays(batches)
-        if len(keys):
-            top = Subtree(keys, counts).top()
-            yield pa.RecordBatch.from_arrays([pa.array(_parent(top["nodes"]).view(np.int64)), *(pa.array(top[k]) for k in ("zeros", "ones", "whole"))],
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        keys, counts = _columns(batches, ["key", "c"])
+        keys = keys.view(np.uint64)
+        for some in _chunks(keys):
+            top = Subtree(keys[some], counts[some]).top()
+            yield pa.RecordBatch.from_arrays([pa.array(top["nodes"].view(np.int64)), *(pa.array(top[k]) for k in ("zeros", "ones", "whole"))],
                                              names=["node", "zeros", "ones", "whole"])
 
+    def mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            zeros, ones, below = (np.asarray(b.column(k)) for k in (1, 2, 3))
+            whole, stop = _mix(kt_log(zeros, ones), below)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(whole), pa.array(stop)], names=["node", "zeros", "ones", "whole", "stop"])
+
+    def downwards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, zeros, ones, stop = (np.asarray(b.column(k)) for k in ("node", "zeros", "ones", "stop"))
+            told, left = crown.value(_parent(node.view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(told + left * stop * (ones + 0.5) / (zeros + ones + 1)), pa.array(left * (1 - stop))],
+                                             names=["above", "told", "left"])
+
     stay = [c for c in counted.columns if c == "n"]
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        keys, counts = _event_arrays(batches)
-        if len(keys):
-            kept = [pa.concat_arrays([b.column(c) for b in batches]) for c in stay]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *kept, pa.array(Subtree(keys, counts).log10(crown.value))], names=["key", *stay, "log10"])
-
-    dealt = counted.withColumn("last", F.shiftrightunsigned("key", 48)).repartition("last").select("key", "c", *stay)
-    sums = dealt.mapInArrow(tops, "node long, zeros double, ones double, whole double").groupBy("node").agg(
-        *[F.sum(k).alias(k) for k in ("zeros", "ones", "whole")]).collect()
+        events, above = [], []
+        for b in batches:
+            is_event = b.column("told").is_null()
+            events.append(b.select(["key", "c", *stay]).filter(is_event))
+            above.append(b.select(["key", "told", "left"]).filter(b.column("told").is_valid()))
+        if not events:
+            return
+        nodes, told, left = _columns(above, ["key", "told", "left"])
+        order = np.argsort(nodes)
+        nodes, told, left = nodes[order].view(np.uint64), told[order], left[order]
+
+        def look(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = np.searchsorted(nodes, of)
+            return told[at], left[at]
+
+        keys, counts, *kept = _columns(events, ["key", "c", *stay])
+        for some in _chunks(keys.view(np.uint64)):
+            log10 = Subtree(keys[some].view(np.uint64), counts[some]).log10(look)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[some]), *(pa.array(k[some]) for k in kept), pa.array(log10)], names=["key", *stay, "log10"])
+
+    events = counted.select(F.shiftrightunsigned("key", 40).alias("last"), "key", "c", *stay)
+    top = materialize(events.repartition("last").select("key", "c").mapInArrow(tops, "node long, zeros double, ones double, whole double"), "ctw-tops")
+    add = [F.sum(k).alias(k) for k in ("zeros", "ones", "whole")]
+    pairs = top.groupBy(_parent_column("node").alias("node")).agg(*add).select("node", "zeros", "ones", "whole")
+    pairs = materialize(pairs.mapInArrow(mixed, "node long, zeros double, ones double, whole double, stop double"), "ctw-pairs")
+    sums = pairs.groupBy(_parent_column("node").alias("node")).agg(*add).collect()
     columns = [np.array([r[k] for r in sums], np.float64) for k in ("zeros", "ones", "whole")]
     crown = counted.sparkSession.sparkContext.broadcast(Crown(np.array([r.node for r in sums], np.uint64), *columns))
-    return dealt.mapInArrow(scores, ", ".join(["key long", *[f"{c} long" for c in stay], "log10 double"]))
+    down = pairs.select("node", "zeros", "ones", "stop").mapInArrow(downwards, "above long, told double, left double")
+    above = top.select("node", _parent_column("node").alias("above")).join(down, "above").select(
+        F.shiftrightunsigned("node", 8).alias("last"), F.col("node").alias("key"), "told", "left")
+    both = events.unionByName(above, allowMissingColumns=True).repartition("last").select("key", "c", *stay, "told", "left")
+    return both.mapInArrow(scores, ", ".join(["key long", *[f"{c} long" for c in stay], "log10 double"]))

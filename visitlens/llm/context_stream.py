@@ -172,18 +172,19 @@ def _heaviest(table: DataFrame, room: int) -> Column:
     """
     low = "greatest(length(bin(n)) - 16, 0)"
     step, share = F.expr(f"shiftleft(shiftright(n, {low}), {low})"), F.pmod(F.xxhash64("key"), F.lit(_SHARES))
-    taken = F.lit(False)
+    least = None  # the smallest count that fits as a whole
     for r in sorted(table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect(), key=lambda r: -r.step):
         if r.rows <= room:
-            taken, room = step >= F.lit(r.step), room - r.rows
+            least, room = r.step, room - r.rows
             continue
         part = dict(table.where(step == F.lit(r.step)).groupBy(share.alias("share")).agg(F.count(F.lit(1)).alias("rows")).collect())
         shares = 0
         while shares < _SHARES and part.get(shares, 0) <= room:
             room -= part.get(shares, 0)
             shares += 1
-        return taken | ((step == F.lit(r.step)) & (share < F.lit(shares)))
-    return taken
+        some = (step == F.lit(r.step)) & (share < F.lit(shares))
+        return some if least is None else (step >= F.lit(least)) | some
+    return F.lit(False) if least is None else step >= F.lit(least)
 
 
 def _arrays(table: DataFrame, kinds: dict[str, type]) -> list[np.ndarray]:

@@ -30,9 +30,9 @@ EDGE = 0xFF
 #: Entries of the broadcast table of frequent events.
 FREQUENT_EVENTS = 1 << 21
 #: Entries that a task gathers before it adds up equal ones, and distinct ones at which it sends them on.
-GATHER, SEND = 1 << 22, 3 << 20
+GATHER, SEND = 1 << 21, 3 << 19
 #: Bytes of text counted or scored at a time.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 Counts = tuple[np.ndarray, np.ndarray, np.ndarray]  # distinct sorted keys, training counts, all counts
 
@@ -286,6 +286,7 @@ def score(docs: DataFrame, training: Column, frequent: int = FREQUENT, frequent_
     table = spark.sparkContext.broadcast((hashes.view(np.uint64), *of_words, keys.view(np.uint64)[order], log10[order]))
 
     sums = materialize(_text_sums(rows, table), "ctw-text-sums")
+    table.destroy()  # its only reader is a stored table now
     zero = F.lit(0.0)
     others = words.filter(~often).select(F.lit(True).alias("word"), "key", "known", "base", zero.alias("log10")).unionByName(
         events.filter(~often_event).select(F.lit(False).alias("word"), "key", F.lit(0).cast("long").alias("known"), zero.alias("base"), "log10"))

@@ -47,6 +47,36 @@ def test_near_duplicates_group_of_near_copies(spark):
     check_near(spark, rows, 5)
 
 
+@pytest.mark.parametrize("crowd", [32, 1])
+def test_near_duplicates_common_passage(spark, monkeypatch, crowd):
+    """A passage in unlike texts fills buckets with them; their pairs aren't listed, and near copies among them are still found."""
+    monkeypatch.setattr(near_dedup, "CROWD", crowd, raising=False)
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = []
+    for k in range(700):
+        own = [f"o{k}x{i}" for i in range(rng.randint(60, 100))]
+        rows.append((k, f"{passage} {' '.join(own)}"))
+        if k % 10 == 0:  # copies on either side of the threshold
+            for c in range(2):
+                at = rng.sample(range(len(own)), rng.randint(1, 4))
+                rows.append((1000 * (c + 1) + k, f"{passage} {' '.join(f'e{k}x{c}' if i in at else w for i, w in enumerate(own))}"))
+    compared = []
+    whole = near_dedup._likely_blocks
+
+    def likely_blocks(pairs, percent):
+        compared.append(pairs.count())
+        return whole(pairs, percent)
+
+    monkeypatch.setattr(near_dedup, "_likely_blocks", likely_blocks)
+    check_near(spark, rows, 5)
+    assert compared[0] < 4 * len(rows)
+
+
+def test_near_duplicates_least_agreeing():
+    assert [near_dedup.least_agreeing(p) for p in (0, 80, 100)] == [4, 76, 128]
+
+
 def test_near_duplicates_empty(spark):
     assert near_dedup.near_duplicates(empty(spark)).collect() == []
 

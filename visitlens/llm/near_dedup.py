@@ -11,19 +11,25 @@ their Jaccard similarity. Four registers of 16 bits make one band.
    known set sizes estimates their similarity; a class joins the cell of the first hub, in a
    fixed random order, that is at least somewhat like it (CELL_LIKENESS). So a group of
    thousands of near copies is one cell, or a few, whether or not its members link with each other.
-3. Cells that share a bucket, and cells with themselves, are compared whole, in blocks: first
+3. Cells that share a bucket of at most CROWD cells are paired. A passage that many unlike texts
+   hold gathers more cells in a bucket. The classes of such buckets are paired by their rare registers instead:
+   two at the threshold agree in 76 of the 128 registers, so each forgets its 75 commonest values and
+   still shares one of the others; the passage's values are among the forgotten ones.
+4. Paired cells, and cells with themselves, are compared whole, in blocks: first
    the registers (pairs of blocks without a likely pair go no further; likely means an
    estimate of at least the threshold less five standard deviations), then the full sets, whose intersections are
    products of incidence matrices. Only a spanning forest of each block pair's links leaves
    the task, never its pairs.
-4. Links make components.
+5. Links make components.
 
-With 32 bands a pair of similarity 0.8 meets in no bucket with probability (1 - 0.8^4)^32 < 6e-8.
+With 32 bands a pair of similarity 0.8 meets in no bucket with probability (1 - 0.8^4)^32 < 6e-8, and
+agrees in fewer than 76 registers with probability below 3e-8.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +37,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from visitlens.llm.common import id_text, materialize, mix64, text_slices, word_hashes
+from visitlens.llm.common import id_text, materialize, mix64, slices, text_slices, word_hashes
 from visitlens.llm.components import components
 
 REGISTERS, BAND = 128, 4
 #: Estimated similarity at which a class joins a hub's cell; it decides what is compared together, not what is linked.
 CELL_LIKENESS = 0.3
+#: Cells of a bucket that are paired with each other; it decides how pairs are found, not which.
+CROWD = 32
 #: Classes in a block of a cell, shingles in a slice of an incidence matrix.
 BLOCK, SLICE = 128, 4096
 #: The sketch's scale: base and rate. Largest value with 32-bit hashes: about 25,200.
@@ -165,6 +173,16 @@ def _least_estimate(percent: int) -> float:
     return j - 5 * np.sqrt(j * (1 - j) / REGISTERS)
 
 
+def least_agreeing(percent: int) -> int:
+    """Registers in which two sets of that similarity agree at least, but for a chance below 6e-8; a band, as they share a bucket."""
+    j, below = percent / 100, 0.0
+    for k in range(REGISTERS):
+        below += comb(REGISTERS, k) * j**k * (1 - j)**(REGISTERS - k)
+        if below >= 6e-8:
+            return max(k, BAND)
+    return REGISTERS
+
+
 def _registers(blobs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, REGISTERS)
 
@@ -186,6 +204,34 @@ def _alike(pairs: DataFrame, nodes: DataFrame, at_least: float) -> DataFrame:
     return sized.select("node", "hub", "nx", "ny", "rx", "ry").mapInArrow(run, "node long, hub long")
 
 
+def _register_values(classes: DataFrame) -> DataFrame:
+    """(node, cell, block, value): a row for each register; different registers have different values."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = np.arange(REGISTERS, dtype=np.int64) << 16
+        for batch in slices(batches):
+            values = places | _registers(batch.column("registers").to_pylist())
+            row = pa.array(np.repeat(np.arange(batch.num_rows), REGISTERS))
+            of = batch.select(["node", "cell", "block"]).take(row)
+            yield pa.RecordBatch.from_arrays([*of.columns, pa.array(values.ravel())], names=["node", "cell", "block", "value"])
+
+    return classes.select("node", "cell", "block", "registers").mapInArrow(run, "node long, cell long, block int, value long")
+
+
+def _rare_pairs(classes: DataFrame, percent: int) -> DataFrame:
+    """(cx, bx, cy, by): blocks of different cells that hold classes with a rare register in common.
+
+    Values are ordered by the number of classes that have them. Of two classes that agree in ``least_agreeing``
+    registers, each drops one value fewer, its commonest ones: the rarest value that they share stays in both.
+    """
+    values = _register_values(classes)
+    common = values.groupBy("value").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    turn = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("held"), "value"))
+    rare = values.join(common, "value").withColumn("turn", turn).filter(F.col("turn") >= least_agreeing(percent))
+    rare = materialize(rare.select("value", "cell", "block").distinct(), "near-rare-values")
+    side = lambda c: rare.select("value", F.col("cell").alias(f"c{c}"), F.col("block").alias(f"b{c}"))
+    return side("x").join(side("y"), "value").filter("cx < cy").select("cx", "bx", "cy", "by").distinct()
+
+
 def _likely_blocks(pairs: DataFrame, percent: int) -> DataFrame:
     """(cx, bx, cy, by) of the block pairs with a likely pair of different classes."""
     def fitting(n_x: np.ndarray, n_y: np.ndarray) -> np.ndarray:
@@ -396,14 +442,18 @@ def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     # pairs of cells that share a bucket, and cells of several classes with themselves
     met = materialize(shared.join(dealt.select("node", "cell", "blocks"), "node").select("bucket", "cell", "blocks").distinct(), "near-bucket-cells")
-    one = met.select("bucket", F.col("cell").alias("cx"), F.col("blocks").alias("kx"))
-    two = met.select("bucket", F.col("cell").alias("cy"), F.col("blocks").alias("ky"))
+    crowds = materialize(met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select("bucket"), "near-crowds")
+    few = met.join(crowds, "bucket", "left_anti")
+    one = few.select("bucket", F.col("cell").alias("cx"), F.col("blocks").alias("kx"))
+    two = few.select("bucket", F.col("cell").alias("cy"), F.col("blocks").alias("ky"))
     near = one.join(two, "bucket").filter("cx < cy").select("cx", "kx", "cy", "ky").distinct()
     own = dealt.filter("members > 1").select(F.col("cell").alias("cx"), F.col("blocks").alias("kx"), F.col("cell").alias("cy"), F.col("blocks").alias("ky")).distinct()
     pairs = near.unionByName(own)
     for c in "xy":
         pairs = pairs.withColumn(f"b{c}", F.explode(F.sequence(F.lit(0), F.col(f"k{c}") - 1)))
     pairs = pairs.filter("cx != cy or bx <= by").select("cx", "bx", "cy", "by")
+    crowded = shared.join(crowds, "bucket", "left_semi").select("node").distinct()
+    pairs = pairs.unionByName(_rare_pairs(dealt.join(crowded, "node", "left_semi"), percent)).distinct()
 
     sketch_blocks = materialize(dealt.groupBy("cell", "block").agg(F.sort_array(F.collect_list(F.struct("node", "n_shingles", "registers"))).alias("m"))
                                 .mapInArrow(_pack_sketches, "cell long, block int, n binary, r binary"), "near-sketch-blocks")
